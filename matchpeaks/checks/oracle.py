@@ -334,6 +334,18 @@ def oracle_sql() -> dict[str, str]:
         "concat_records": _concat_records(),
     }
     sql["snapshot_roundtrip"] = sql["record_detect"]
+    sql["stream_refresh"] = sql["record_detect"]
+    sql["stream_ingest"] = DOCUMENT_ROWS
+    sql["stream_dedupe"] = "SELECT event_id, props FROM events"
+    # Only documents that are complete get into the table.
+    sql["daily_messages"] = MESSAGES.replace(
+        "        FROM events\n    ),\n    raw AS",
+        """        FROM events
+        WHERE event_type NOT IN ('error', 'signup') AND NOT (
+            event_type = 'view' AND CAST(json_extract_string(props, '$.k') AS BIGINT) = 50)
+    ),
+    raw AS""",
+    ) + " SELECT * EXCLUDE (roster_ord, metric_ord) FROM messages"
     return sql
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -10,8 +11,10 @@ from ..fixed_values import TEMPLATES
 from ..functions import dates, text as tx, values as vl
 from ..metrics import MetricSpec, match_metrics
 from ..operators import assets, ingest, messages, ranking, records, sets, weekly
+from ..plans import daily
 from ..sources import dimensions, matches, partitions, snapshots
 from ..session import scratch_dir
+from ..streaming import ingest as stream_ingest_job, triggers
 from . import derived
 from .derived import AS_OF, table
 
@@ -255,12 +258,15 @@ def distinct_participants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _participant_view(ingest.distinct_participants(rows.unionByName(rows)))
 
 
+def _land(documents: DataFrame, path: str) -> None:
+    by_day = documents.select("text", "load_date").hint("rebalance", F.col("load_date"))
+    by_day.write.partitionBy("load_date").text(path)
+
+
 def read_landed_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written as landed JSON files, read back through the source."""
     root = scratch_dir(spark, "landing")
-    derived.documents(spark, sf_dir).select("text", "load_date").hint(
-        "rebalance", F.col("load_date")
-    ).write.partitionBy("load_date").text(root)
+    _land(derived.documents(spark, sf_dir), root)
     documents = matches.valid_matches(matches.read_matches(spark, root))
     rows = ingest.participants_of(documents, ("source_nickname",))
     return _participant_view(rows)
@@ -495,6 +501,68 @@ def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.load_snapshot(spark, root, compute)
 
 
+# --- streams ----------------------------------------------------------------
+
+
+def _trigger_stream(spark, sf_dir, root) -> DataFrame:
+    """Every event as a trigger message, each sent twice."""
+    sent = derived.events(spark, sf_dir).select(
+        F.col("event_id").cast("string").alias("msg_id"),
+        F.col("ts").cast("timestamp").alias("ts"),
+        F.col("props").alias("payload"),
+    )
+    triggers.publish_trigger(sent, f"{root}/in")
+    triggers.publish_trigger(sent, f"{root}/in")
+    return triggers.read_triggers(spark, f"{root}/in")
+
+
+def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages that were handled: each id once."""
+    root = scratch_dir(spark, "stream")
+    stream = triggers.dedupe_triggers(_trigger_stream(spark, sf_dir, root), "60 days")
+    query = triggers.on_trigger(stream, lambda batch, _: None, f"{root}/at", f"{root}/done")
+    query.awaitTermination()
+    return spark.read.parquet(f"{root}/done").select(
+        F.col("msg_id").cast("bigint").alias("event_id"), F.col("payload").alias("props")
+    )
+
+
+def stream_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records as the last trigger left them."""
+    root = scratch_dir(spark, "stream")
+
+    def refresh(batch: DataFrame, batch_id: int) -> None:
+        snapshots.write_snapshot(record_detect(spark, sf_dir), f"{root}/records")
+
+    stream = _trigger_stream(spark, sf_dir, root)
+    triggers.on_trigger(stream, refresh, f"{root}/at").awaitTermination()
+    return snapshots.read_snapshot(spark, f"{root}/records")
+
+
+def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Participant rows of all landed documents, ingested in several batches."""
+    root = scratch_dir(spark, "stream")
+    _land(derived.documents(spark, sf_dir), f"{root}/landing")
+    documents = stream_ingest_job.stream_matches(spark, f"{root}/landing", files_per_batch=16)
+    query = stream_ingest_job.ingest_stream(documents, f"{root}/table", f"{root}/at")
+    query.awaitTermination()
+    return _participant_view(partitions.read_partitions(spark, f"{root}/table"))
+
+
+# --- daily jobs -------------------------------------------------------------
+
+
+def daily_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing, ingest, records and messages in one go, through stored tables."""
+    root = scratch_dir(spark, "daily")
+    places = daily.Places(root)
+    _land(derived.documents(spark, sf_dir), places.landing)
+    roster = derived.roster(spark, sf_dir)
+    as_of = dt.date.fromisoformat(AS_OF)
+    daily.daily_ingest(spark, places, roster, as_of, days=31)
+    return daily.current_messages(spark, places, roster, as_of).drop("roster_ord", "metric_ord")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = [
         record_detect,
@@ -537,5 +605,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         partition_roundtrip,
         list_partitions,
         snapshot_roundtrip,
+        stream_dedupe,
+        stream_refresh,
+        stream_ingest,
+        daily_messages,
     ]
     return {query.__name__: query for query in listed}

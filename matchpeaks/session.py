@@ -16,6 +16,9 @@ SESSION_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
+    # Column expressions are generated for dozens of metrics; recording a Python
+    # call site for each would cost more time than planning them.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
