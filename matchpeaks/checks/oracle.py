@@ -120,6 +120,8 @@ LONG = MATCH_RECORDS + ", long AS (" + " UNION ALL ".join(
 TEMPLATE_ROWS = ", ".join(f"('{m}', '{text}')" for m, text in TEMPLATES)
 LINK = MATCH_LINK.split("%s")
 
+EVENT_LINK = f"'{LINK[0]}' || event_id || '{LINK[1]}RU_' || event_id || '{LINK[2]}'"
+
 MESSAGES = LONG + f""", texts(metric, template) AS (VALUES {TEMPLATE_ROWS}),
 once AS (
     SELECT * FROM split QUALIFY row_number() OVER (
@@ -246,9 +248,13 @@ def oracle_sql() -> dict[str, str]:
         "message_text": f"""
             SELECT event_id, 'RU_' || event_id AS match_id, event_type AS champion,
                    {_plain_number("value")} AS value,
-                   user_id || ': ' || {_plain_number("value")} || ' in {LINK[0]}' || event_id
-                       || '{LINK[1]}RU_' || event_id || '{LINK[2]} as ' || event_type
-                       || ' (' || {_plain_number("value")} || ')' AS text
+                   CASE event_type
+                   WHEN 'click' THEN user_id || ': ' || {_plain_number("value")} || ' in ' || {EVENT_LINK}
+                       || ' as click (' || {_plain_number("value")} || ')'
+                   WHEN 'error' THEN 'error ' || {_plain_number("value")}
+                   WHEN 'purchase' THEN user_id || ' paid ' || {_plain_number("value")} || ', see ' || {EVENT_LINK}
+                   WHEN 'signup' THEN {EVENT_LINK} || user_id
+                   WHEN 'view' THEN 'no values at all' END AS text
             FROM events""",
         "explode_nested": DOCUMENT_ROWS,
         "read_landed_matches": DOCUMENT_ROWS,

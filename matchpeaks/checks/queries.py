@@ -20,6 +20,13 @@ from .derived import AS_OF, table
 
 EVENTS = records.GameTable("user_id", "event_id", "event_type", "ts")
 METRICS = [name for name, _ in TEMPLATES]
+EVENT_TEXTS = [
+    ("click", "{nickname}: {value} in {matchId} as {champion} ({value})"),
+    ("error", "{champion} {value}"),
+    ("purchase", "{nickname} paid {value}, see {matchId}"),
+    ("signup", "{matchId}{nickname}"),
+    ("view", "no values at all"),
+]
 
 
 def _double_decimals(df: DataFrame) -> DataFrame:
@@ -208,14 +215,12 @@ def message_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Template, link and value text for every event."""
     rows = derived.events(spark, sf_dir).select(
         "event_id",
-        F.lit("value").alias("metric"),
+        F.col("event_type").alias("metric"),
         F.col("user_id").alias("source_nickname"),
         tx.value_text(F.col("value"), T.DoubleType()).alias("value"),
         tx.join_meta(F.concat(F.lit("RU_"), F.col("event_id")), F.col("event_type")).alias("meta"),
     )
-    texts = dimensions.templates_of(
-        spark, [("value", "{nickname}: {value} in {matchId} as {champion} ({value})")]
-    )
+    texts = dimensions.templates_of(spark, EVENT_TEXTS)
     filled = messages.message_text(messages.split_meta(rows), texts)
     return filled.select("event_id", "match_id", "champion", "value", "text")
 

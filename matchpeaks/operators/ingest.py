@@ -21,12 +21,14 @@ def flatten_match(documents: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame
 def explode_participants(flat: DataFrame, array: str = "participants") -> DataFrame:
     """One row per participant; a document without participants gives none."""
     element: T.StructType = flat.schema[array].dataType.elementType
-    others = [F.col(quoted(name)) for name in flat.columns if name != array]
-    rows = flat.select(*others, F.explode(quoted(array)).alias("p"))
     fields = [
         F.col(f"p.{quoted(name)}").alias(f"participant.{name}") for name in element.fieldNames()
     ]
-    return rows.select(*others, *fields)
+    others = [F.col(quoted(name)) for name in flat.columns if name != array]
+    rows = flat.select(*others, F.explode(quoted(array)).alias("p"))
+    # The participant's columns take the place of the array.
+    at = flat.columns.index(array)
+    return rows.select(*others[:at], *fields, *others[at:])
 
 
 def add_source(df: DataFrame, player: str | Column) -> DataFrame:

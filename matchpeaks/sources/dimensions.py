@@ -58,5 +58,5 @@ def read_manifest(
     spark: SparkSession, path: str, base_dir: str | None = None, whole_file: bool = False
 ) -> DataFrame:
     """Manifest with one JSON object per line, or one object per file."""
-    text = spark.read.option("wholetext", whole_file).text(path)
+    text = spark.read.text(path, wholetext=whole_file)
     return manifest_rows(text, base_dir)

@@ -69,9 +69,12 @@ def register_all(spark: SparkSession, table: str) -> None:
     spark.catalog.recoverPartitions(table)
 
 
-def materialize_table(df: DataFrame, table: str) -> None:
-    """Replace a catalog table by the result of ``df``."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(table)
+def materialize_table(df: DataFrame, table: str, path: str | None = None) -> None:
+    """Replace a catalog table by the result of ``df``; ``path`` keeps it outside the warehouse."""
+    writer = df.write.mode("overwrite").format("parquet")
+    if path is not None:
+        writer = writer.option("path", path)
+    writer.saveAsTable(table)
 
 
 def materialize_view(df: DataFrame, name: str) -> None:

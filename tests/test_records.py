@@ -1,0 +1,219 @@
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from matchpeaks.metrics import GAME_COLUMNS, MetricSpec, match_metrics
+from matchpeaks.operators import records, sets
+from matchpeaks.schemas import RAW
+from matchpeaks.sources.dimensions import roster_of
+
+AS_OF = "2024-01-31"
+TABLE = records.GameTable("player", "match", "champion", "ts")
+SPECS = [MetricSpec("high"), MetricSpec("low", "min")]
+ROWS = "player string, match string, champion string, ts timestamp_ntz, high bigint, low double"
+
+
+def at(day, hour=12):
+    return dt.datetime.combine(dt.date.fromisoformat(day), dt.time(hour))
+
+
+def detect(spark, rows, players=("a",), specs=SPECS, schema=ROWS):
+    games = spark.createDataFrame(rows, schema)
+    roster = spark.createDataFrame([(p,) for p in players], "nickname string")
+    found = records.record_detect(games, roster, specs, AS_OF, table=TABLE)
+    return {row.source_nickname: row for row in found.collect()}
+
+
+def test_beaten_equalled_and_missing(spark):
+    history = ("a", "m0", "X", at("2024-01-10"), 10, 5.0)
+    found = detect(spark, [history, ("a", "m1", "Y", at("2024-01-30"), 11, 5.0)])["a"]
+    assert (found.high, found.high_meta) == (11, "m1-_-Y")
+    assert (found.low, found.low_meta) == (None, None)
+    found = detect(spark, [history])["a"]
+    assert found.high is None and found.low is None
+    found = detect(spark, [("a", "m1", "Y", at("2024-01-30"), 11, 5.0)])["a"]
+    assert found.high is None
+
+
+def test_every_roster_entry_has_a_row(spark):
+    rows = [("a", "m0", "X", at("2024-01-10"), 1, 1.0), ("z", "m0", "X", at("2024-01-30"), 9, 0.0)]
+    found = detect(spark, rows, ("a", "b"))
+    assert set(found) == {"a", "b"}
+    assert found["b"].high is None and found["b"].low_meta is None
+
+
+@pytest.mark.parametrize(
+    "day, counts",
+    [("2024-01-29", True), ("2023-12-30", True), ("2023-12-29", False), ("2024-01-31", False)],
+)
+def test_history_window_edges(spark, day, counts):
+    rows = [("a", "m0", "X", at(day), 10, 5.0), ("a", "m1", "Y", at("2024-01-30"), 11, 4.0)]
+    assert (detect(spark, rows)["a"].high == 11) is counts
+
+
+def test_target_day_edges(spark):
+    base = ("a", "m0", "X", at("2024-01-10"), 1, 5.0)
+    for stamp, counts in (
+        (dt.datetime(2024, 1, 30, 0, 0), True),
+        (dt.datetime(2024, 1, 30, 23, 59, 59, 999999), True),
+        (dt.datetime(2024, 1, 31, 0, 0), False),
+    ):
+        found = detect(spark, [base, ("a", "m1", "Y", stamp, 9, 9.0)])["a"]
+        assert (found.high == 9) is counts
+
+
+def test_ties_nulls_and_nan(spark):
+    rows = [
+        ("a", "m0", "X", at("2024-01-10"), 1, 5.0),
+        ("a", "m0", "X", at("2024-01-11"), None, float("nan")),
+        ("a", "m2", "Z", at("2024-01-30", 1), 7, 4.0),
+        ("a", "m1", "Y", at("2024-01-30", 2), 7, 4.0),
+        ("a", "m3", "W", at("2024-01-30", 3), None, None),
+        ("a", "m4", "W", at("2024-01-30", 4), None, float("nan")),
+    ]
+    found = detect(spark, rows)["a"]
+    assert (found.high, found.high_meta) == (7, "m1-_-Y")
+    assert (found.low, found.low_meta) == (4.0, "m1-_-Y")
+
+
+def test_boolean_and_extreme_values(spark):
+    schema = "player string, match string, champion string, ts timestamp_ntz, b boolean, n bigint"
+    least = -(2**63)
+    rows = [
+        ("a", "m0", "X", at("2024-01-10"), False, least),
+        ("a", "m1", "Y", at("2024-01-30"), True, least + 1),
+        ("a", "m2", "Y", at("2024-01-30"), False, least),
+    ]
+    found = detect(spark, rows, specs=[MetricSpec("b"), MetricSpec("n")], schema=schema)["a"]
+    assert (found.b, found.b_meta) == (True, "m1-_-Y")
+    assert (found.n, found.n_meta) == (least + 1, "m1-_-Y")
+
+
+def test_null_champion_gives_value_without_meta(spark):
+    rows = [("a", "m0", "X", at("2024-01-10"), 1, 5.0), ("a", "m1", None, at("2024-01-30"), 2, 6.0)]
+    found = detect(spark, rows)["a"]
+    assert found.high == 2 and found.high_meta is None
+
+
+def test_hot_player_goes_through_partial_aggregation(spark):
+    """A third of the rows on one player: the shuffle still carries few rows."""
+    games = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("p"), F.col("id") % 100)).alias("player"),
+        F.format_string("m%08d", "id").alias("match"),
+        F.lit("X").alias("champion"),
+        F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_interval(0,0,0,int(id div 3 % 30),0,0,0)").alias("ts"),
+        F.col("id").alias("high"),
+        F.col("id").cast("double").alias("low"),
+    )
+    roster = spark.createDataFrame([("hot",)], "nickname string")
+    found = records.record_detect(games, roster, SPECS, AS_OF, table=TABLE).first()
+    best = games.where("player = 'hot' and date(ts) = '2024-01-30'").agg(F.max("high")).first()[0]
+    before = games.where("player = 'hot' and date(ts) < '2024-01-30'").agg(F.max("high")).first()[0]
+    assert found.high == (best if best > before else None)
+
+
+def raw_row(**values):
+    row = {name: None for name in RAW.fieldNames()}
+    row.update(
+        {
+            "source_nickname": "Alpha#T1",
+            "participant.riotIdGameName": "Alpha",
+            "participant.riotIdTagline": "T1",
+        }
+    )
+    row.update({name.replace("__", "."): value for name, value in values.items()})
+    return tuple(row[name] for name in RAW.fieldNames())
+
+
+def metric_row(spark, mode="truncated", **values):
+    raw = spark.createDataFrame([raw_row(**values)], RAW)
+    return records.match_games(raw, match_metrics(mode)).first()
+
+
+def test_record_table_has_87_columns(spark):
+    raw = spark.createDataFrame([], RAW)
+    games = records.match_games(raw, match_metrics())
+    found = records.record_detect(games, roster_of(spark, ["Alpha#T1"]), match_metrics(), AS_OF)
+    assert len(found.columns) == 87
+    assert found.columns[:2] == ["dmg_to_champs", "dmg_to_champs_meta"]
+    assert found.columns[-1] == "source_nickname"
+    row = found.first().asDict()
+    assert row.pop("source_nickname") == "Alpha#T1"
+    assert set(row.values()) == {None}
+
+
+def test_games_columns_exist_in_the_table():
+    assert set(GAME_COLUMNS.values()) <= set(RAW.fieldNames())
+    assert len(RAW.fieldNames()) == 152
+
+
+def test_other_participants_are_not_own_rows(spark):
+    rows = [
+        raw_row(),
+        raw_row(participant__riotIdGameName="Beta"),
+        raw_row(participant__riotIdTagline=None),
+    ]
+    assert records.own_rows(spark.createDataFrame(rows, RAW)).count() == 1
+
+
+def test_rates(spark):
+    game = metric_row(
+        spark,
+        info__gameDuration=1800,
+        participant__totalMinionsKilled=221,
+        participant__totalDamageDealt=90001,
+        participant__goldEarned=12000,
+        participant__totalTimeSpentDead=90,
+    )
+    assert (str(game.cspm), game.dpm, game.gpm, game.undying_ratio) == ("7.4", 50, 6, 0)
+    real = metric_row(
+        spark,
+        "real",
+        info__gameDuration=1800,
+        participant__totalDamageDealt=90000,
+        participant__totalTimeSpentDead=90,
+    )
+    assert (real.dpm, real.undying_ratio) == (3000.0, 5.0)
+    zero = metric_row(spark, info__gameDuration=0, participant__totalDamageDealt=9)
+    assert zero.dpm is None and zero.cspm is None
+
+
+@pytest.mark.parametrize(
+    "deaths, kills, assists, flag",
+    [(0, 4, 5, 0), (0, 5, 5, 1), (1, 20, 20, 0), (None, 20, 20, 0), (0, None, 20, 0)],
+)
+def test_immortal(spark, deaths, kills, assists, flag):
+    game = metric_row(
+        spark,
+        participant__deaths=deaths,
+        participant__kills=kills,
+        participant__assists=assists,
+    )
+    assert game.immortal == flag
+
+
+@pytest.mark.parametrize("first, second, casts", [(4, 1, 3), (1, 4, 5), (4, 4, 8), (1, 2, 0)])
+def test_flash_casts(spark, first, second, casts):
+    game = metric_row(
+        spark,
+        participant__summoner1Id=first,
+        participant__summoner2Id=second,
+        participant__summoner1Casts=3,
+        participant__summoner2Casts=5,
+    )
+    assert game.flash_casts == casts
+
+
+def test_concat_matches_columns_by_name(spark):
+    left = spark.createDataFrame([(1, "x")], "a int, b string")
+    right = spark.createDataFrame([("y", 2), ("x", 1)], "b string, a int")
+    rows = sets.concat_records([left, right, left]).collect()
+    assert sorted((r.a, r.b) for r in rows) == [(1, "x"), (1, "x"), (1, "x"), (2, "y")]
+    with pytest.raises(ValueError):
+        sets.concat_records([])
+
+
+def test_unknown_aggregate_is_refused():
+    with pytest.raises(ValueError):
+        MetricSpec("x", "avg")
