@@ -138,9 +138,15 @@ once AS (
     FROM capped JOIN texts USING (metric)
 )"""
 
+
+def _two_digits(value: str) -> str:
+    """Mean, half up; by way of nine digits, so that float noise decides no tie."""
+    return f"CAST(round(CAST(round(avg({value}), 9) AS DECIMAL(30, 9)), 2) AS DOUBLE)"
+
+
 WEEKLY_RATIO = f"""WITH {EVENTS_K}
     SELECT user_id AS source_nickname, CAST(date_trunc('week', day) AS DATE) AS week_start,
-           round(avg(value / greatest(k, 1)), 2) AS avg_ratio
+           {_two_digits("value / greatest(k, 1)")} AS avg_ratio
     FROM g WHERE day < DATE '2024-01-29' AND day >= DATE '2023-12-25'
       AND user_id IN (SELECT c_custkey FROM customer)
     GROUP BY 1, 2"""
@@ -149,7 +155,7 @@ WEEKLY_RATIO = f"""WITH {EVENTS_K}
 def _weekly_kda(ratio: str) -> str:
     return f"""WITH {sql_raw()}
     SELECT source_nickname, CAST(date_trunc('week', game_day) AS DATE) AS week_start,
-           round(avg({ratio}), 2) AS avg_kda
+           {_two_digits(ratio)} AS avg_kda
     FROM raw WHERE game_day < DATE '2024-01-29' AND game_day >= DATE '2023-12-25'
       AND source_nickname IN (SELECT 'User' || c_custkey || '#T1' FROM customer)
     GROUP BY 1, 2"""

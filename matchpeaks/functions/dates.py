@@ -77,12 +77,23 @@ def game_date(df: DataFrame, column: str) -> Column:
     return F.to_date(value)
 
 
-def in_days(df: DataFrame, column: str, first: Column, last: Column) -> Column:
-    """Rows whose day is in ``[first, last]``, as a half-open range on the stored column."""
+def in_days(
+    df: DataFrame, column: str, first: Column, last: Column, day_partition: str | None = None
+) -> Column:
+    """Rows whose day is in ``[first, last]``, as a half-open range on the stored column.
+
+    ``day_partition`` names the partition column of a table laid out by day, so
+    that only those folders are opened. They may differ from the row's own day
+    by one, at the edge of a day.
+    """
     kind = df.schema[column].dataType
     if isinstance(kind, T.LongType):
         low, high = day_start_ms(first), day_start_ms(F.date_add(last, 1))
     else:
         low, high = first.cast(kind), F.date_add(last, 1).cast(kind)
     value = F.col(quoted(column))
-    return (value >= low) & (value < high)
+    inside = (value >= low) & (value < high)
+    if day_partition is not None:
+        folder = F.col(quoted(day_partition))
+        inside = folder.between(F.date_sub(first, 1), F.date_add(last, 1)) & inside
+    return inside

@@ -9,7 +9,6 @@ from ..session import cut_lineage
 
 # Above this Spark no longer plans a per-task limit in front of the shuffle.
 GROUP_LIMIT_THRESHOLD = 1000
-SALTS = 64
 
 
 def top_per_group(
@@ -19,7 +18,7 @@ def top_per_group(
 
     Each task keeps its own best ``k`` rows of a group before the shuffle, so a
     group that holds most of the table still moves at most ``k`` rows per task.
-    Very large ``k`` takes an extra round over salted groups instead.
+    Very large ``k`` takes an extra round per input partition instead.
     """
     keep = rank or "__rank"
     groups = [F.col(quoted(key)) for key in keys]
@@ -29,8 +28,8 @@ def top_per_group(
         return rows.withColumn(keep, position).where(F.col(keep) <= k)
 
     if k >= GROUP_LIMIT_THRESHOLD:
-        salt = F.pmod(F.xxhash64(*[F.col(quoted(c)) for c in df.columns]), F.lit(SALTS))
-        df = best(df.withColumn("__salt", salt), [*groups, F.col("__salt")]).drop(keep, "__salt")
+        salted = df.withColumn("__salt", F.spark_partition_id())
+        df = best(salted, [*groups, F.col("__salt")]).drop(keep, "__salt")
     ranked = best(df, groups)
     return ranked if rank else ranked.drop(keep)
 

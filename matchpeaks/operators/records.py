@@ -22,6 +22,8 @@ class GameTable:
     match: str = "match_id"
     champion: str = "champion_name"
     time: str = "game_creation_ts"
+    # Partition column with the day, for tables laid out by day.
+    day: str | None = None
 
 
 GAMES = GameTable()
@@ -38,10 +40,10 @@ def own_rows(participants: DataFrame) -> DataFrame:
     )
 
 
-def base_metrics(participants: DataFrame) -> DataFrame:
+def base_metrics(participants: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """The columns the metrics need, under short names."""
     columns = [F.col(quoted(raw)).alias(short) for short, raw in GAME_COLUMNS.items()]
-    return participants.select("source_nickname", *columns)
+    return participants.select("source_nickname", *columns, *[F.col(quoted(k)) for k in keep])
 
 
 def derived_metrics(
@@ -49,6 +51,8 @@ def derived_metrics(
 ) -> DataFrame:
     """Ids, time and every metric computed for each game."""
     ids = dict.fromkeys([table.player, table.match, table.champion, table.time])
+    if table.day is not None:
+        ids[table.day] = None
     return games.select(
         *[F.col(quoted(name)) for name in ids],
         *[F.expr(spec.sql).alias(spec.name) for spec in specs if spec.name not in ids],
@@ -75,7 +79,7 @@ def today_metrics(
     champion always come from one game; of equal games the lowest match id wins.
     """
     day = target_day(as_of)
-    rows = games.where(in_days(games, table.time, day, day))
+    rows = games.where(in_days(games, table.time, day, day, table.day))
     best = []
     for spec in specs:
         kind = games.schema[spec.name].dataType
@@ -102,7 +106,8 @@ def historical_best(
     Plain ``max``/``min`` buffers keep this pass, which reads nearly all rows,
     in hash aggregation; only the single target day carries match and champion.
     """
-    rows = games.where(in_days(games, table.time, *history_days(as_of, lookback_days)))
+    first, last = history_days(as_of, lookback_days)
+    rows = games.where(in_days(games, table.time, first, last, table.day))
     best = []
     for spec in specs:
         value = no_nan(F.col(quoted(spec.name)), games.schema[spec.name].dataType)
@@ -156,6 +161,9 @@ def record_detect(
     )
 
 
-def match_games(participants: DataFrame, specs: list[MetricSpec]) -> DataFrame:
+def match_games(
+    participants: DataFrame, specs: list[MetricSpec], table: GameTable = GAMES
+) -> DataFrame:
     """Metric rows of the tracked players' own games, from the participant table."""
-    return derived_metrics(base_metrics(own_rows(participants)), specs)
+    keep = () if table.day is None else (table.day,)
+    return derived_metrics(base_metrics(own_rows(participants), keep), specs, table)

@@ -10,6 +10,8 @@ from ..functions.values import at_least_one, truncated_ratio
 from ..schemas import quoted
 from .records import in_roster, own_rows
 
+MEAN_DIGITS = 9
+
 
 def kda(kills: Column, assists: Column, deaths: Column) -> Column:
     """Takedowns per death, counting no deaths as one."""
@@ -19,12 +21,15 @@ def kda(kills: Column, assists: Column, deaths: Column) -> Column:
 def _mean(ratio: Column, scale: int | None) -> Column:
     """Mean to two digits; or, with a scale, the mean of fixed-scale decimals.
 
-    The latter rounds each ratio and then the mean to ``scale`` digits, half up,
-    in whole numbers, which is what decimal division and average give in engines
-    that keep the scale of their inputs.
+    The mean is rounded to nine digits first, so that the order in which tasks
+    add up never decides which way a tie is rounded.
+
+    With a scale, each ratio and then the mean are rounded to ``scale`` digits,
+    half up, in whole numbers. That is what decimal division and average give in
+    engines that keep the scale of their inputs.
     """
     if scale is None:
-        return F.round(F.avg(ratio), 2)
+        return F.round(F.round(F.avg(ratio), MEAN_DIGITS), 2)
     unit = 10**scale
     scaled = F.round(F.round(ratio, scale) * unit).cast("bigint")
     total, count = F.sum(scaled), F.count(scaled)
@@ -43,6 +48,7 @@ def weekly_average(
     time: str = "game_creation_ts",
     result: str = "avg_kda",
     decimal_scale: int | None = None,
+    day_partition: str | None = None,
 ) -> DataFrame:
     """Mean of ``ratio`` per player and week over the last complete weeks.
 
@@ -50,7 +56,8 @@ def weekly_average(
     follows the aggregation: a small roster is moved before it by the optimizer,
     a large one then meets the few aggregated rows only.
     """
-    rows = games.where(in_days(games, time, *full_weeks(as_of, weeks))).select(
+    first, last = full_weeks(as_of, weeks)
+    rows = games.where(in_days(games, time, first, last, day_partition)).select(
         F.col(quoted(player)).alias("source_nickname"),
         week_start(game_date(games, time)).alias("week_start"),
         ratio.alias("__ratio"),
@@ -68,6 +75,7 @@ def weekly_avg_kda(
     weeks: int = WEEKS_BACK,
     own_rows_only: bool = False,
     decimal_scale: int | None = None,
+    day_partition: str | None = None,
 ) -> DataFrame:
     """Weekly KDA of the participant table.
 
@@ -88,6 +96,7 @@ def weekly_avg_kda(
         weeks,
         time="info.gameCreation",
         decimal_scale=decimal_scale,
+        day_partition=day_partition,
     )
 
 

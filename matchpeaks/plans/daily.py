@@ -7,15 +7,15 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from ..fixed_values import (
     INGEST_DAYS,
-    LOOKBACK_DAYS,
     MATCHES_PER_PLAYER_DAY,
     STALE_AFTER_SECONDS,
     TEMPLATES,
 )
-from ..functions.dates import as_of_date, full_weeks
+from ..functions.dates import as_of_date
 from ..functions.text import path_key
 from ..metrics import MetricSpec, match_metrics
 from ..operators.ingest import (
@@ -25,14 +25,16 @@ from ..operators.ingest import (
     missing_partitions,
     participants_of,
 )
-from ..operators.messages import build_messages
-from ..operators.records import match_games, record_detect
+from ..operators.messages import build_messages, number_messages
+from ..operators.records import GameTable, match_games, record_detect
 from ..operators.weekly import weekly_avg_kda
 from ..schemas import RAW
 from ..sources.dimensions import templates_of
 from ..sources.matches import read_matches, valid_matches
 from ..sources.partitions import list_partitions, write_partitions
 from ..sources.snapshots import load_snapshot, write_snapshot
+from ..streaming.ingest import ingest_stream, stream_matches
+from ..streaming.triggers import dedupe_triggers, on_trigger, read_triggers
 
 
 @dataclass(frozen=True)
@@ -61,6 +63,24 @@ class Places:
     def messages(self) -> str:
         return f"{self.root}/messages"
 
+    @property
+    def triggers(self) -> str:
+        return f"{self.root}/triggers"
+
+    @property
+    def ledger(self) -> str:
+        return f"{self.root}/handled_triggers"
+
+    @property
+    def rejected(self) -> str:
+        return f"{self.root}/rejected"
+
+    @property
+    def checkpoints(self) -> str:
+        return f"{self.root}/checkpoints"
+
+
+BY_DAY = GameTable(day="load_date")
 
 STORED = T.StructType(
     RAW.fields
@@ -116,22 +136,16 @@ def build_records(
 ) -> DataFrame:
     """Record rows of the roster from the participant table."""
     specs = specs or match_metrics()
-    day = as_of_date(as_of)
-    # Games sit in the folder of their day, or of a neighbour at the day's edge.
-    near = F.col("load_date").between(
-        F.date_sub(day, LOOKBACK_DAYS + 2), F.date_add(day, 0)
-    )
-    games = match_games(read_table(spark, places).where(near), specs)
-    return record_detect(games, roster, specs, as_of, carry=("roster_ord",))
+    games = match_games(read_table(spark, places), specs, BY_DAY)
+    return record_detect(games, roster, specs, as_of, table=BY_DAY, carry=("roster_ord",))
 
 
 def build_weekly(
     spark: SparkSession, places: Places, roster: DataFrame, as_of: dt.date | None = None
 ) -> DataFrame:
     """Weekly KDA of the roster from the participant table."""
-    first, last = full_weeks(as_of)
-    near = F.col("load_date").between(F.date_sub(first, 1), F.date_add(last, 1))
-    return weekly_avg_kda(read_table(spark, places).where(near), roster, as_of)
+    participants = read_table(spark, places)
+    return weekly_avg_kda(participants, roster, as_of, day_partition=BY_DAY.day)
 
 
 def refresh_models(
@@ -160,3 +174,36 @@ def current_messages(
     )
     metrics = [metric for metric, _ in TEMPLATES]
     return build_messages(records, templates_of(spark), metrics)
+
+
+def refresh_messages(
+    spark: SparkSession, places: Places, roster: DataFrame, as_of: dt.date | None = None
+) -> DataFrame:
+    """Force new records, and store their numbered messages."""
+    found = current_messages(spark, places, roster, as_of, force=True)
+    return write_snapshot(number_messages(found), places.messages)
+
+
+def serve_triggers(
+    spark: SparkSession, places: Places, roster: DataFrame, as_of: dt.date | None = None
+) -> StreamingQuery:
+    """Handle the waiting triggers: each new one has the messages rebuilt."""
+
+    def refresh(batch: DataFrame, batch_id: int) -> None:
+        refresh_messages(spark, places, roster, as_of)
+
+    stream = dedupe_triggers(read_triggers(spark, places.triggers))
+    return on_trigger(stream, refresh, f"{places.checkpoints}/triggers", places.ledger)
+
+
+def stream_ingest(spark: SparkSession, places: Places) -> StreamingQuery:
+    """Land new files as they come, into the table :func:`daily_ingest` fills.
+
+    Use one of the two for a table: this one goes by file, the other by player-day.
+    """
+    return ingest_stream(
+        stream_matches(spark, places.landing),
+        places.participants,
+        f"{places.checkpoints}/ingest",
+        places.rejected,
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -54,10 +54,12 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df):
-    """Reliable checkpoint of ``df`` in the shared folder."""
-    context = df.sparkSession.sparkContext
-    root = scratch_root(df.sparkSession)
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(root)
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Store ``df`` in the shared folder and read it back.
+
+    A written table keeps columns apart, so a later pass over one of them reads
+    only that one.
+    """
+    path = scratch_dir(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

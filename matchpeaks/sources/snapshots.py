@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..fixed_values import STALE_AFTER_SECONDS
 
-COMMIT_SCHEMA = "snapshot string, refreshed_at timestamp, written_rows bigint"
+COMMIT_SCHEMA = "seq bigint, snapshot string, refreshed_at timestamp, written_rows bigint"
 
 
 def _now() -> dt.datetime:
@@ -31,7 +31,7 @@ def latest_commit(spark: SparkSession, root: str):
         if error.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    newest = commits.agg(F.max(F.struct("refreshed_at", "snapshot")).alias("c"))
+    newest = commits.agg(F.max(F.struct("seq", "refreshed_at", "snapshot", "written_rows")).alias("c"))
     return newest.where("c is not null").select("c.*").first()
 
 
@@ -42,7 +42,9 @@ def write_snapshot(df: DataFrame, root: str, now: dt.datetime | None = None) ->
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("n"))
     counted.write.option("compression", "snappy").parquet(f"{root}/data/{name}")
-    commit = spark.createDataFrame([(name, now or _now(), seen.get["n"])], COMMIT_SCHEMA)
+    last = latest_commit(spark, root)
+    row = (last["seq"] + 1 if last else 1, name, now or _now(), seen.get["n"])
+    commit = spark.createDataFrame([row], COMMIT_SCHEMA)
     commit.coalesce(1).write.mode("append").json(f"{root}/commits")
     return _read(spark, root, name)
 

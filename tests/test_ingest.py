@@ -8,8 +8,9 @@ from matchpeaks.fixed_values import META_COLUMNS
 from matchpeaks.operators import ingest
 from matchpeaks.plans import daily
 from matchpeaks.schemas import MATCH, RAW
-from matchpeaks.sources import matches, partitions
+from matchpeaks.sources import matches, partitions, snapshots
 from matchpeaks.sources.dimensions import read_roster, roster_of
+from matchpeaks.streaming import triggers
 
 DAY = dt.date(2024, 1, 30)
 
@@ -239,12 +240,47 @@ def test_daily_jobs_end_to_end(spark, tmp_path):
     found = daily.current_messages(spark, places, roster, as_of).collect()
     assert {r.metric for r in found} == {"kills"}
     assert "RU_2" in found[0].text and found[0].source_nickname == "Alpha#T1"
+    sent = "msg_id string, ts timestamp, payload string"
+    for _ in range(2):
+        message = spark.createDataFrame([("t1", dt.datetime(2024, 1, 31, 9), "{}")], sent)
+        triggers.publish_trigger(message, places.triggers)
+    daily.serve_triggers(spark, places, roster, as_of).awaitTermination()
+    served = snapshots.read_snapshot(spark, places.messages).collect()
+    assert [(r.label, r.text) for r in served] == [("(1/1)", found[0].text)]
+    assert spark.read.parquet(places.ledger).count() == 1
+
     weekly = daily.build_weekly(spark, places, roster, as_of).collect()
     assert [(r.source_nickname, str(r.week_start), r.avg_kda) for r in weekly] == [
         ("Alpha#T1", "2024-01-22", 5.0)
     ]
 
 
+def test_streamed_table_has_the_stored_schema(spark, tmp_path):
+    places = daily.Places(str(tmp_path))
+    land(tmp_path / "landing", "2024-01-30", "Alpha#T1", [document("RU_1")])
+    daily.stream_ingest(spark, places).awaitTermination()
+    row = daily.read_table(spark, places).first()
+    assert (row["metadata.matchId"], row.player_key) == ("RU_1", "Alpha_T1")
+    assert row["info.gameDuration"] == 1800 and row.load_date == DAY
+
+
+@pytest.mark.parametrize("as_of", ["2024-01-31", None])
+def test_day_folders_and_time_bounds_reach_the_scan(spark, tmp_path, as_of):
+    places = daily.Places(str(tmp_path))
+    row = spark.range(1).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in daily.STORED.fields]
+    )
+    row.drop("load_date").write.parquet(f"{places.participants}/load_date={DAY}")
+    found = daily.build_records(spark, places, roster_of(spark, ["Alpha#T1"]), as_of)
+    text = found._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    )
+    filters = [line for line in text.splitlines() if line.startswith("PartitionFilters")]
+    assert len(filters) == 2 and all(">= 20" in line and "<= 20" in line for line in filters)
+    pushed = [line for line in text.splitlines() if line.startswith("PushedFilters")]
+    assert sum("GreaterThanOrEqual(`info.gameCreation`" in line for line in pushed) == 2
+
+
 def test_read_roster(spark, tmp_path):
     (tmp_path / "r.json").write_text('{"roster_ord": 1, "nickname": "Alpha#T1"}\n')
     assert read_roster(spark, str(tmp_path / "r.json")).first().nickname == "Alpha#T1"
