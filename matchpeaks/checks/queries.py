@@ -166,8 +166,7 @@ def for_player(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _messages(spark, sf_dir) -> DataFrame:
-    found = _match_records(spark, sf_dir)
-    return messages.build_messages(found, dimensions.templates_of(spark), METRICS)
+    return messages.build_messages(_match_records(spark, sf_dir))
 
 
 def unpivot_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -220,8 +219,7 @@ def message_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         tx.value_text(F.col("value"), T.DoubleType()).alias("value"),
         tx.join_meta(F.concat(F.lit("RU_"), F.col("event_id")), F.col("event_type")).alias("meta"),
     )
-    texts = dimensions.templates_of(spark, EVENT_TEXTS)
-    filled = messages.message_text(messages.split_meta(rows), texts)
+    filled = messages.message_text(messages.split_meta(rows), EVENT_TEXTS)
     return filled.select("event_id", "match_id", "champion", "value", "text")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..fixed_values import MESSAGES_PER_CHAMPION
+from ..fixed_values import MESSAGES_PER_CHAMPION, TEMPLATES
 from ..functions.text import (
     fill_template,
     has_value,
@@ -14,6 +14,7 @@ from ..functions.text import (
     value_text,
 )
 from ..schemas import quoted
+from ..sources.dimensions import templates_of
 from .ranking import first_per_key, number_rows, top_per_group
 
 MESSAGE_KEY = ["source_nickname", "metric", "match_id"]
@@ -69,10 +70,10 @@ def cap_per_champion(
     return top_per_group(rows, ["champion"], order, k)
 
 
-def message_text(rows: DataFrame, templates: DataFrame) -> DataFrame:
-    """Fill each row's template; ``templates`` has one row per metric."""
+def message_text(rows: DataFrame, texts: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
+    """Fill each row's template. The texts are a list in code, hence small."""
     return (
-        rows.join(F.broadcast(templates), "metric")
+        rows.join(templates_of(rows.sparkSession, texts), "metric")
         .withColumn(
             "text",
             fill_template(
@@ -91,21 +92,22 @@ def message_text(rows: DataFrame, templates: DataFrame) -> DataFrame:
 
 def build_messages(
     records: DataFrame,
-    templates: DataFrame,
-    metrics: list[str],
+    texts: list[tuple[str, str]] = TEMPLATES,
     order: tuple[str, ...] = ("roster_ord",),
     k: int = MESSAGES_PER_CHAMPION,
 ) -> DataFrame:
     """Messages of a record table, in message order by ``order`` then ``metric_ord``.
 
+    ``texts`` lists the metrics to report, in message order, with their templates.
     ``order`` must tell record rows apart. Dropping repeats before capping equals
     the row-by-row rule (cap first, then repeat) because a player has one
     champion per match: a repeat shares its champion with the row it repeats.
     """
     by = [F.col(quoted(name)) for name in order] + [F.col("metric_ord")]
+    metrics = [metric for metric, _ in texts]
     rows = split_meta(unpivot_records(valid_nick(records), metrics, order))
     kept = cap_per_champion(dedupe_messages(rows, by), by, k)
-    return message_text(kept, templates)
+    return message_text(kept, texts)
 
 
 def message_order(messages: DataFrame, order: tuple[str, ...] = ("roster_ord",)) -> DataFrame:

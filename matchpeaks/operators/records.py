@@ -64,8 +64,11 @@ def for_player(df: DataFrame, nickname: str, player: str = "source_nickname") ->
 
 
 def in_roster(df: DataFrame, roster: DataFrame, player: str = "source_nickname") -> DataFrame:
-    """Rows of tracked players. Put it after an aggregation where that is possible:
-    the optimizer moves it in front by itself when the roster is small."""
+    """Rows of tracked players.
+
+    With a long roster, put it after an aggregation where that is possible; the
+    optimizer moves it in front by itself when the roster is small.
+    """
     names = roster.select(F.col("nickname").alias(player))
     return df.join(names, player, "left_semi")
 
@@ -138,7 +141,8 @@ def record_detect(
     The two windows do not overlap, so with a table laid out by day every file
     is read once. Each window is reduced to one row per player before anything
     is joined, so a player holding much of the table costs no more than others.
-    ``carry`` names roster columns to keep.
+    ``carry`` names roster columns to keep. For a few players of a table that
+    holds many, pass ``in_roster(games, roster)`` as ``games``.
     """
     today = today_metrics(games, specs, as_of, table)
     history = historical_best(games, specs, as_of, lookback_days, table)

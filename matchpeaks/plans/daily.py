@@ -13,7 +13,6 @@ from ..fixed_values import (
     INGEST_DAYS,
     MATCHES_PER_PLAYER_DAY,
     STALE_AFTER_SECONDS,
-    TEMPLATES,
 )
 from ..functions.dates import as_of_date
 from ..functions.text import path_key
@@ -29,7 +28,6 @@ from ..operators.messages import build_messages, number_messages
 from ..operators.records import GameTable, match_games, record_detect
 from ..operators.weekly import weekly_avg_kda
 from ..schemas import RAW
-from ..sources.dimensions import templates_of
 from ..sources.matches import read_matches, valid_matches
 from ..sources.partitions import list_partitions, write_partitions
 from ..sources.snapshots import load_snapshot, write_snapshot
@@ -172,8 +170,7 @@ def current_messages(
         force=force,
         max_age_seconds=max_age_seconds,
     )
-    metrics = [metric for metric, _ in TEMPLATES]
-    return build_messages(records, templates_of(spark), metrics)
+    return build_messages(records)
 
 
 def refresh_messages(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..fixed_values import TEMPLATES
@@ -10,8 +11,14 @@ from ..schemas import ROSTER
 
 
 def roster_of(spark: SparkSession, nicknames: list[str]) -> DataFrame:
-    """Tracked players given in code, in display order."""
-    return spark.createDataFrame(list(enumerate(nicknames, start=1)), ROSTER)
+    """Tracked players given in code, in display order.
+
+    Made from an Arrow table, it has a known size, so joins with a short roster
+    are planned as broadcasts and move in front of aggregations.
+    """
+    order = pa.array(range(1, len(nicknames) + 1), pa.int32())
+    names = pa.array(nicknames, pa.string())
+    return spark.createDataFrame(pa.table({"roster_ord": order, "nickname": names}))
 
 
 def read_roster(spark: SparkSession, path: str) -> DataFrame:
@@ -20,11 +27,10 @@ def read_roster(spark: SparkSession, path: str) -> DataFrame:
 
 
 def templates_of(spark: SparkSession, texts: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
-    """One row per metric; as many rows as metrics, so always fit to broadcast."""
-    rows = [(metric, text) for metric, text in texts]
-    return spark.createDataFrame(rows, "metric string, template string").select(
-        "metric", template_parts(F.col("template")).alias("parts")
-    )
+    """One row (metric, parts) per metric, of known size."""
+    metrics, templates = (pa.array(column, pa.string()) for column in zip(*texts))
+    rows = spark.createDataFrame(pa.table({"metric": metrics, "template": templates}))
+    return rows.select("metric", template_parts(F.col("template")).alias("parts"))
 
 
 def manifest_rows(text: DataFrame, base_dir: str | None = None, column: str = "value") -> DataFrame:

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 from matchpeaks.fixed_values import TEMPLATES
 from matchpeaks.metrics import match_metrics
 from matchpeaks.operators import messages
-from matchpeaks.sources.dimensions import templates_of
 
 METRICS = ["m1", "m2", "m3"]
 TEXTS = [(m, m + ": {nickname} {value} {matchId} {champion}") for m in METRICS]
@@ -43,7 +42,7 @@ def sequential(rows, k=3):
 
 def built(spark, rows, k=3):
     records = spark.createDataFrame(rows, SCHEMA)
-    found = messages.build_messages(records, templates_of(spark, TEXTS), METRICS, k=k)
+    found = messages.build_messages(records, TEXTS, k=k)
     return [(r.text, r.champion) for r in messages.message_order(found).collect()]
 
 
@@ -85,7 +84,7 @@ def test_unknown_champions_share_one_cap(spark):
 def test_numbers_and_labels(spark):
     rows = [(i, f"p{i}", 1.0, f"RU_{i}-_-C{i % 50}", None, None, None, None) for i in range(200)]
     records = spark.createDataFrame(rows, SCHEMA)
-    found = messages.build_messages(records, templates_of(spark, TEXTS), METRICS)
+    found = messages.build_messages(records, TEXTS)
     numbered = messages.number_messages(found).orderBy("pos").collect()
     assert [r.pos for r in numbered] == list(range(1, 151))
     assert [r.roster_ord for r in numbered] == sorted(r.roster_ord for r in numbered)
@@ -103,6 +102,13 @@ def test_cap_limits_rows_before_the_shuffle(spark):
     assert capped.count() == 6
 
 
+def test_texts_are_broadcast_by_their_size(spark):
+    rows = [(1, "p", 1.0, "RU_1-_-A", None, None, None, None)]
+    found = messages.build_messages(spark.createDataFrame(rows, SCHEMA), TEXTS)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_every_metric_has_a_template():
     assert [spec.name for spec in match_metrics()] == [name for name, _ in TEMPLATES]
     assert len(TEMPLATES) == 43

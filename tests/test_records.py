@@ -113,6 +113,23 @@ def test_hot_player_goes_through_partial_aggregation(spark):
     assert found.high == (best if best > before else None)
 
 
+def test_a_few_players_of_many(spark):
+    rows = [(p, "m0", "X", at("2024-01-10"), 1, 1.0) for p in "abcd"]
+    rows += [(p, "m1", "Y", at("2024-01-30"), 2, 0.0) for p in "abc"]
+    games = spark.createDataFrame(rows, ROWS)
+    roster = roster_of(spark, ["a", "d", "absent"])
+    chosen = records.in_roster(games, roster, "player")
+    found = records.record_detect(chosen, roster, SPECS, AS_OF, table=TABLE).collect()
+    whole = records.record_detect(games, roster, SPECS, AS_OF, table=TABLE).collect()
+    key = lambda row: row.source_nickname
+    assert sorted(found, key=key) == sorted(whole, key=key)
+    assert {r.source_nickname: r.high for r in found} == {"a": 2, "d": None, "absent": None}
+    only = records.record_detect(
+        records.for_player(games, "a", "player"), roster, SPECS, AS_OF, table=TABLE
+    )
+    assert only.where("high is not null").count() == 1
+
+
 def raw_row(**values):
     row = {name: None for name in RAW.fieldNames()}
     row.update(
