@@ -190,6 +190,15 @@ DOCUMENT_ROWS = f"""WITH {sql_raw()}, {PARTICIPANTS}
       AND NOT (champion_name = 'view' AND match_id IN (
           SELECT 'RU_' || e FROM inputs WHERE k = 50))"""
 
+WEEKLY_KDA_ALL = f"""SELECT source_nickname,
+           CAST(date_trunc('week', make_timestamp(game_creation_ts * 1000)) AS DATE) AS week_start,
+           {_two_digits("(kills + assists) / CASE WHEN deaths IS NOT NULL THEN greatest(deaths, 1) END")} AS avg_kda
+    FROM ({DOCUMENT_ROWS.replace("kills + participant_id", "assists + participant_id - 1 AS assists, kills + participant_id")})
+    WHERE make_timestamp(game_creation_ts * 1000) >= TIMESTAMP '2023-12-25'
+      AND make_timestamp(game_creation_ts * 1000) < TIMESTAMP '2024-01-29'
+      AND source_nickname IN (SELECT 'User' || c_custkey || '#T1' FROM customer)
+    GROUP BY 1, 2"""
+
 PART_FILES = """
     files AS (
         SELECT p_brand AS champion, p_partkey AS num,
@@ -215,6 +224,21 @@ def oracle_sql() -> dict[str, str]:
         "record_detect": _event_records({"value": "max", "k": "max"}),
         "record_detect_min": _event_records({"value": "min", "k": "min"}),
         "record_detect_matches": MATCH_RECORDS + " SELECT * FROM records",
+        "today_metrics": f"""WITH {EVENTS_K},
+            today AS (SELECT * FROM g WHERE day = DATE '2024-01-30'),
+            high AS (SELECT * FROM today QUALIFY row_number() OVER (
+                PARTITION BY user_id ORDER BY value DESC, event_id) = 1),
+            low AS (SELECT * FROM today QUALIFY row_number() OVER (
+                PARTITION BY user_id ORDER BY k, event_id) = 1)
+            SELECT user_id AS nickname, high.value, high.event_id AS value_match,
+                   high.event_type AS value_champion, low.k, low.event_id AS k_match,
+                   low.event_type AS k_champion FROM high JOIN low USING (user_id)""",
+        "historical_best": f"""WITH {EVENTS_K}
+            SELECT user_id AS nickname, max(value) AS hist_value, min(k) AS hist_k FROM g
+            WHERE day BETWEEN DATE '2024-01-23' AND DATE '2024-01-29' GROUP BY 1""",
+        "own_rows": DOCUMENT_ROWS + " AND participant_id = 1",
+        "weekly_avg_kda_all_rows": WEEKLY_KDA_ALL,
+        "materialized_weekly": WEEKLY_RATIO,
         "derived_metrics": f"WITH {GAMES} SELECT * EXCLUDE (day) FROM games",
         "derived_metrics_real": f"""WITH {sql_raw()}
             SELECT source_nickname, match_id,
@@ -331,6 +355,9 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL
             SELECT p_brand, p_size, p_brand || '_' || p_size || '.jpg' FROM part""",
         "pick_random": f"WITH {PART_FILES}, {PICKS} SELECT champ_norm, file FROM picks",
+        "directory_manifest": f"""WITH {PART_FILES}
+            SELECT p_name AS champion, lower(regexp_replace(p_name, '[\\s_\\-]+', '', 'g')) AS champ_norm,
+                   file FROM files JOIN part ON p_partkey = num""",
         "manifest_join": f"""WITH {PART_FILES}, {PICKS}
             SELECT lower(regexp_replace(p_brand, '[\\s_\\-]+', '', 'g')) AS champ_norm, p_partkey, p_brand,
                    CASE WHEN p_brand NOT IN ('Brand#1', 'Brand#2') THEN file END AS file

@@ -75,6 +75,33 @@ def record_detect_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _double_decimals(_match_records(spark, sf_dir))
 
 
+def today_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best game of the target day per user."""
+    specs = [MetricSpec("value"), MetricSpec("k", "min")]
+    found = records.today_metrics(derived.events(spark, sf_dir), specs, AS_OF, EVENTS)
+    return found.select(
+        "nickname",
+        (-F.col("value.key")).alias("value"),
+        F.col("value.match").alias("value_match"),
+        F.col("value.champion").alias("value_champion"),
+        F.col("k.key").alias("k"),
+        F.col("k.match").alias("k_match"),
+        F.col("k.champion").alias("k_champion"),
+    )
+
+
+def historical_best(spark: SparkSession, sf_dir: str) -> DataFrame:
+    specs = [MetricSpec("value"), MetricSpec("k", "min")]
+    return records.historical_best(
+        derived.events(spark, sf_dir), specs, AS_OF, lookback_days=7, table=EVENTS
+    )
+
+
+def own_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of both participants of each document, the tracked player's row."""
+    return _participant_view(records.own_rows(_participants(spark, sf_dir)))
+
+
 def derived_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     specs = match_metrics()
     games = records.match_games(derived.own_participants(spark, sf_dir), specs)
@@ -135,6 +162,21 @@ def weekly_avg_kda(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weekly.order_weeks(result)
 
 
+def weekly_avg_kda_all_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both participants of every document count."""
+    return weekly.weekly_avg_kda(
+        _participants(spark, sf_dir), derived.roster(spark, sf_dir), AS_OF
+    )
+
+
+def materialized_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weekly model as a catalog table, read in its order."""
+    root = scratch_dir(spark, "weekly")
+    name = "weekly_" + root.rsplit("-", 1)[-1]
+    partitions.materialize_table(weekly_ratio(spark, sf_dir), name, root)
+    return weekly.order_weeks(spark.table(name))
+
+
 def weekly_avg_kda_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each game's KDA rounded to one digit first, as exact decimals give it."""
     result = weekly.weekly_avg_kda(
@@ -244,11 +286,14 @@ def _participant_view(rows: DataFrame) -> DataFrame:
     )
 
 
-def explode_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _participants(spark, sf_dir) -> DataFrame:
     documents = matches.valid_matches(_parsed(spark, sf_dir))
     rows = ingest.participants_of(documents, ("source_nickname", "load_date"))
-    rows = ingest.add_source(rows, F.col("source_nickname"))
-    return _participant_view(rows)
+    return ingest.add_source(rows, F.col("source_nickname"))
+
+
+def explode_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _participant_view(_participants(spark, sf_dir))
 
 
 def rejected_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -443,6 +488,11 @@ def pick_random(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assets.pick_random(files, seed=7)
 
 
+def directory_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = _part_files(spark, sf_dir).select("file")
+    return assets.directory_manifest(files).drop("pos")
+
+
 def manifest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line item's brand looked up among the picks; two brands have none."""
     files = _part_files(spark, sf_dir).where(~F.col("champion").isin("Brand#1", "Brand#2"))
@@ -571,12 +621,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         record_detect,
         record_detect_min,
         record_detect_matches,
+        today_metrics,
+        historical_best,
+        own_rows,
         derived_metrics,
         derived_metrics_real,
         concat_records,
         weekly_ratio,
         weekly_avg_kda,
+        weekly_avg_kda_all_rows,
         weekly_avg_kda_decimal,
+        materialized_weekly,
         roster_semi,
         for_player,
         unpivot_records,
@@ -603,6 +658,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         manifest_rows,
         skin_files,
         pick_random,
+        directory_manifest,
         manifest_join,
         prune_unlisted,
         partition_roundtrip,

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import normalised_key
 from ..schemas import quoted
@@ -49,9 +49,8 @@ def pick_random(manifest: DataFrame, seed: int | str, key: str = "champ_norm") -
     The row with the least seeded digest wins, so no list is built and tasks
     send one candidate per champion.
     """
-    digest = F.md5(
-        F.concat_ws("|", F.lit(str(seed)), F.col(quoted(key)).cast("string"), "pos", "file")
-    )
+    named = F.concat_ws("|", F.lit(str(seed)), F.col(quoted(key)).cast("string"), "pos", "file")
+    digest = F.md5(named)
     least = F.min(F.struct(digest.alias("digest"), "pos", "file"))
     return (
         manifest.groupBy(F.col(quoted(key)))
@@ -73,7 +72,24 @@ def prune_unlisted(present: DataFrame, listed: DataFrame, key: str | list[str])
     return present.join(names, keys, "left_anti")
 
 
-def present_files(spark, directory: str, pattern: str = "*.jpg") -> DataFrame:
+def directory_manifest(files: DataFrame) -> DataFrame:
+    """Manifest rows from file names alone: the champion is what precedes the last ``_``.
+
+    ``pos`` only has to be the same each time, so it is a hash of the name.
+    """
+    champion = F.regexp_extract("file", r"^(.+)_[^_]*\.(?:jpg|png)$", 1)
+    named = files.select(champion.alias("champion"), "file").where(F.col("champion") != "")
+    return named.select(
+        "champion",
+        normalised_key(F.col("champion")).alias("champ_norm"),
+        F.xxhash64("file").alias("pos"),
+        "file",
+    )
+
+
+def present_files(
+    spark: SparkSession, directory: str, pattern: str = "*.{jpg,png}"
+) -> DataFrame:
     """File names below ``directory``; contents are not read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(directory)
     return files.select("path", F.element_at(F.split("path", "/"), -1).alias("file"))
