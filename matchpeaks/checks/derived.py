@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..metrics import GAME_COLUMNS
+from ..session import spread
 
 AS_OF = "2024-01-31"
 
@@ -140,7 +141,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     cut = (F.col("event_type") == "view") & (F.col("k") == 50)
-    return _inputs(spark, sf_dir).select(
+    return spread(_inputs(spark, sf_dir)).select(
         F.col("e").alias("event_id"),
         F.when(cut, F.substring(text, 1, 30)).otherwise(text).alias("text"),
         F.concat(F.lit("User"), F.col("u"), F.lit("#T1")).alias("source_nickname"),

@@ -31,9 +31,11 @@ def write_partitions(
     """
     levels = [F.col(quoted(name)) for name in partition_by]
     order = [F.col(quoted(name)) for name in (*partition_by, *sort_by) if name in df.columns]
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        # Without adaptive execution this would put a whole day into one task.
+        df = df.hint("rebalance", *levels)
     (
-        df.hint("rebalance", *levels)
-        .sortWithinPartitions(*order)
+        df.sortWithinPartitions(*order)
         .write.mode(mode)
         .option("compression", "snappy")
         .option("partitionOverwriteMode", "dynamic")

@@ -36,7 +36,7 @@ def ingest_stream(
     def handle(batch: DataFrame, batch_id: int) -> None:
         rows = participants_of(valid_matches(batch), ("source_nickname", "load_date"))
         rows = with_player_key(add_source(rows, F.col("source_nickname")))
-        write_by_batch(rows, batch_id, table_path, ("load_date",))
+        write_by_batch(rows, batch_id, table_path, ("load_date",), ("player_key",))
         if rejected_path is not None:
             write_by_batch(rejected_matches(batch), batch_id, rejected_path)
 

@@ -58,11 +58,17 @@ def on_trigger(
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        refresh(batch, batch_id)
-        if ledger is not None:
-            write_by_batch(batch, batch_id, ledger)
+        # One full pass over the batch: a partial one would leave the duplicate
+        # filter's state of the other partitions unsaved.
+        batch.persist()
+        try:
+            if batch.count() == 0:
+                return
+            refresh(batch, batch_id)
+            if ledger is not None:
+                write_by_batch(batch, batch_id, ledger)
+        finally:
+            batch.unpersist()
 
     return (
         triggers.writeStream.foreachBatch(handle)
@@ -73,13 +79,22 @@ def on_trigger(
 
 
 def write_by_batch(
-    rows: DataFrame, batch_id: int, path: str, partition_by: tuple[str, ...] = ()
+    rows: DataFrame,
+    batch_id: int,
+    path: str,
+    partition_by: tuple[str, ...] = (),
+    sort_by: tuple[str, ...] = (),
 ) -> None:
-    """Write a batch into folders of its own; writing it again replaces them."""
+    """Write a batch into folders of its own; writing it again replaces them.
+
+    Rows stay in the tasks they are in. Gathering them by folder would send a
+    batch, which mostly holds one day, to one task: inside a stream nothing
+    splits such a partition afterwards.
+    """
     levels = (*partition_by, "batch_id")
     (
         rows.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .hint("rebalance", *[F.col(name) for name in levels])
+        .sortWithinPartitions(*levels, *sort_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*levels)

@@ -2,6 +2,7 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.errors import StreamingQueryException
 
 from matchpeaks.streaming import ingest, triggers
@@ -40,6 +41,20 @@ def test_each_message_once_over_restarts(spark, tmp_path, salted):
     assert sorted(r.msg_id for r in spark.read.parquet(f"{root}/ledger").collect()) == ["a", "b", "c"]
 
 
+def test_state_is_kept_without_a_ledger(spark, tmp_path):
+    root = str(tmp_path)
+    handled = []
+    for minute, ids in enumerate((["a", "b", "c", "d"], ["a", "b", "c", "d", "e"], ["e", "f"])):
+        send(spark, f"{root}/in", *ids, minute=minute)
+        stream = triggers.dedupe_triggers(triggers.read_triggers(spark, f"{root}/in"), "1 hour")
+        triggers.on_trigger(
+            stream,
+            lambda batch, _: handled.append(sorted(r.msg_id for r in batch.collect())),
+            f"{root}/at",
+        ).awaitTermination()
+    assert handled == [["a", "b", "c", "d"], ["e"], ["f"]]
+
+
 def test_a_failed_refresh_comes_again(spark, tmp_path):
     root = str(tmp_path)
     seen = []
@@ -78,6 +93,13 @@ def test_each_file_is_ingested_once(spark, tmp_path):
     assert keys == {"Alpha_T1", "Бета_T1"}
 
 
+def test_a_batch_of_one_day_is_written_by_all_its_tasks(spark, tmp_path):
+    rows = spark.range(1000, numPartitions=4).withColumn("load_date", F.lit("2024-01-30"))
+    triggers.write_by_batch(rows, 0, str(tmp_path / "t"), ("load_date",))
+    files = list((tmp_path / "t" / "load_date=2024-01-30" / "batch_id=0").glob("*.parquet"))
+    assert len(files) == 4
+
+
 def test_writing_a_batch_twice_doubles_nothing(spark, tmp_path):
     rows = spark.range(10)
     for batch_id in (0, 0, 1):
