@@ -127,10 +127,12 @@ def concat_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One model per table, put together by column name."""
     customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("nickname"))
     suppliers = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("nickname"))
+    orders = records.GameTable("o_custkey", "o_orderkey", "o_orderpriority", "o_orderdate")
+    lines = records.GameTable("l_suppkey", "l_orderkey", "l_returnflag", "l_shipdate")
     models = [
-        ("events", customers, "value", records.GameTable("user_id", "event_id", "event_type", "ts"), AS_OF),
-        ("orders", customers, "o_totalprice", records.GameTable("o_custkey", "o_orderkey", "o_orderpriority", "o_orderdate"), "2001-07-01"),
-        ("lineitem", suppliers, "l_extendedprice", records.GameTable("l_suppkey", "l_orderkey", "l_returnflag", "l_shipdate"), "2001-07-01"),
+        ("events", customers, "value", EVENTS, AS_OF),
+        ("orders", customers, "o_totalprice", orders, "2001-07-01"),
+        ("lineitem", suppliers, "l_extendedprice", lines, "2001-07-01"),
     ]
     found = []
     for name, roster, measure, columns, as_of in models:

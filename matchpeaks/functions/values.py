@@ -29,7 +29,9 @@ def better_first(value: Column, kind: T.DataType, agg: str) -> Column:
         return ~value
     if isinstance(kind, T.IntegralType):
         return F.bitwise_not(value)
-    return -value
+    if isinstance(kind, T.NumericType):
+        return -value
+    raise TypeError(f"metrics are numbers or booleans, not {kind.simpleString()}")
 
 
 def no_nan(value: Column, kind: T.DataType) -> Column:

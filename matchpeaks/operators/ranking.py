@@ -9,6 +9,8 @@ from ..session import cut_lineage
 
 # Above this Spark no longer plans a per-task limit in front of the shuffle.
 GROUP_LIMIT_THRESHOLD = 1000
+# Lower bits of monotonically_increasing_id, which count rows within a partition.
+PLACE_BITS = 33
 
 
 def top_per_group(
@@ -44,13 +46,18 @@ def number_rows(
 ) -> DataFrame:
     """Position in a total order, and the number of rows.
 
-    Rows are range-partitioned and stored once; then each range is numbered on
-    its own and shifted by the size of the ranges before it. Only the range
-    sizes, one row per range, meet in one task. ``order`` should be unique.
+    Rows are sorted over range partitions and stored with the number Spark gives
+    them there: the range in the upper bits, the place within it in the lower
+    ones. Adding the sizes of the ranges before it makes that the position, so
+    one shuffle is all it takes, and only the range sizes meet in one task.
+    ``order`` should be unique.
     """
-    ranges = cut_lineage(
-        df.repartitionByRange(*order).withColumn("__range", F.spark_partition_id())
+    placed = cut_lineage(
+        df.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .withColumn("__at", F.monotonically_increasing_id())
     )
+    ranges = placed.withColumn("__range", F.shiftright("__at", PLACE_BITS))
     sizes = ranges.groupBy("__range").agg(F.count(F.lit(1)).alias("__size"))
     before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.select(
@@ -58,9 +65,9 @@ def number_rows(
         F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__shift"),
         F.sum("__size").over(Window.partitionBy()).alias(total),
     )
-    within = F.row_number().over(Window.partitionBy("__range").orderBy(*order))
+    place = F.col("__at").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)) + 1
     return (
         ranges.join(F.broadcast(shifts), "__range")
-        .withColumn(position, F.col("__shift") + within)
-        .drop("__range", "__shift")
+        .withColumn(position, F.col("__shift") + place)
+        .drop("__range", "__shift", "__at")
     )

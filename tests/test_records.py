@@ -234,3 +234,9 @@ def test_concat_matches_columns_by_name(spark):
 def test_unknown_aggregate_is_refused():
     with pytest.raises(ValueError):
         MetricSpec("x", "avg")
+
+
+def test_text_is_no_metric(spark):
+    games = spark.createDataFrame([], ROWS)
+    with pytest.raises(TypeError):
+        records.today_metrics(games, [MetricSpec("champion")], AS_OF, TABLE)
