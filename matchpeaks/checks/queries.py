@@ -222,6 +222,18 @@ def build_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.message_order(_messages(spark, sf_dir))
 
 
+def cap_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a message row; k is the match, so most keys name several champions."""
+    rows = derived.events(spark, sf_dir).select(
+        F.col("user_id").alias("source_nickname"),
+        F.lit("value").alias("metric"),
+        F.col("k").alias("match_id"),
+        F.concat_ws("_", "event_type", F.hour("ts")).alias("champion"),
+        "event_id",
+    )
+    return messages.cap_in_order(rows, ("event_id",))
+
+
 def number_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.number_messages(_messages(spark, sf_dir)).select(
         "pos", "total", "label", "source_nickname", "metric", "text"
@@ -638,6 +650,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         for_player,
         unpivot_records,
         build_messages,
+        cap_in_order,
         number_messages,
         number_rows,
         cap_per_group,

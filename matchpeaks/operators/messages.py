@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..fixed_values import MESSAGES_PER_CHAMPION, TEMPLATES
 from ..functions.text import (
@@ -14,6 +14,7 @@ from ..functions.text import (
     value_text,
 )
 from ..schemas import quoted
+from ..session import cut_lineage
 from ..sources.dimensions import templates_of
 from .ranking import first_per_key, number_rows, top_per_group
 
@@ -70,6 +71,54 @@ def cap_per_champion(
     return top_per_group(rows, ["champion"], order, k)
 
 
+def cap_in_order(
+    rows: DataFrame, order: tuple[str, ...], k: int = MESSAGES_PER_CHAMPION
+) -> DataFrame:
+    """Repeats and cap by the row-by-row rule, for any input.
+
+    A row is kept when fewer than ``k`` kept rows of its champion and no kept row
+    of its player, metric and match precede it. Those two conditions only
+    depend on each other where one such key names several champions, so that is
+    the only place where more is done than in the two separate steps: the rule
+    is applied to a guess until nothing changes. Every round settles at least
+    the next row in order, and mostly all of them.
+    """
+    columns = rows.columns
+    key = MESSAGE_KEY
+    by = [F.col(quoted(name)) for name in order]
+    once = first_per_key(rows, [*key, "champion"], by).withColumn("__at", F.struct(*by))
+    several = (
+        once.groupBy(*key)
+        .agg(F.min("champion").alias("low"), F.max("champion").alias("high"))
+        .where("low <> high")
+        .select(*key, F.lit(True).alias("__shared"))
+    )
+    marked = cut_lineage(once.join(several, key, "left"))
+    alone = top_per_group(marked.where("__shared is null"), ["champion"], by, k)
+    # After k rows that only the cap can stop, nothing of that champion is kept.
+    full = alone.groupBy("champion").agg(
+        F.when(F.count(F.lit(1)) >= k, F.max("__at")).alias("__full")
+    )
+    contested = (
+        marked.where("__shared")
+        .join(full, "champion", "left")
+        .where(F.col("__full").isNull() | (F.col("__at") < F.col("__full")))
+        .drop("__full")
+    )
+    guess = cut_lineage(alone.unionByName(contested).withColumn("__kept", F.lit(True)))
+    earlier = (Window.unboundedPreceding, -1)
+    of_champion = Window.partitionBy("champion").orderBy("__at").rowsBetween(*earlier)
+    of_key = Window.partitionBy(*key).orderBy("__at").rowsBetween(*earlier)
+    while True:
+        used = F.coalesce(F.sum(F.col("__kept").cast("int")).over(of_champion), F.lit(0))
+        repeated = F.coalesce(F.max("__kept").over(of_key), F.lit(False))
+        ruled = cut_lineage(guess.withColumn("__ruled", (used < k) & ~repeated))
+        settled = ruled.where("__ruled <> __kept").isEmpty()
+        guess = ruled.drop("__kept").withColumnRenamed("__ruled", "__kept")
+        if settled:
+            return guess.where("__kept").select(*[F.col(quoted(name)) for name in columns])
+
+
 def message_text(rows: DataFrame, texts: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
     """Fill each row's template. The texts are a list in code, hence small."""
     return (
@@ -95,6 +144,7 @@ def build_messages(
     texts: list[tuple[str, str]] = TEMPLATES,
     order: tuple[str, ...] = ("roster_ord",),
     k: int = MESSAGES_PER_CHAMPION,
+    one_champion_per_match: bool = True,
 ) -> DataFrame:
     """Messages of a record table, in message order by ``order`` then ``metric_ord``.
 
@@ -102,11 +152,15 @@ def build_messages(
     ``order`` must tell record rows apart. Dropping repeats before capping equals
     the row-by-row rule (cap first, then repeat) because a player has one
     champion per match: a repeat shares its champion with the row it repeats.
+    Unset ``one_champion_per_match`` for tables where that does not hold.
     """
     by = [F.col(quoted(name)) for name in order] + [F.col("metric_ord")]
     metrics = [metric for metric, _ in texts]
     rows = split_meta(unpivot_records(valid_nick(records), metrics, order))
-    kept = cap_per_champion(dedupe_messages(rows, by), by, k)
+    if one_champion_per_match:
+        kept = cap_per_champion(dedupe_messages(rows, by), by, k)
+    else:
+        kept = cap_in_order(rows, (*order, "metric_ord"), k)
     return message_text(kept, texts)
 
 

@@ -7,8 +7,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..schemas import quoted
 from ..session import cut_lineage
 
-# Above this Spark no longer plans a per-task limit in front of the shuffle.
-GROUP_LIMIT_THRESHOLD = 1000
+# From this k on, Spark no longer plans a per-task limit in front of the shuffle.
+GROUP_LIMIT_THRESHOLD = "spark.sql.optimizer.windowGroupLimitThreshold"
 # Lower bits of monotonically_increasing_id, which count rows within a partition.
 PLACE_BITS = 33
 
@@ -29,7 +29,7 @@ def top_per_group(
         position = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
         return rows.withColumn(keep, position).where(F.col(keep) <= k)
 
-    if k >= GROUP_LIMIT_THRESHOLD:
+    if k >= int(df.sparkSession.conf.get(GROUP_LIMIT_THRESHOLD)):
         salted = df.withColumn("__salt", F.spark_partition_id())
         df = best(salted, [*groups, F.col("__salt")]).drop(keep, "__salt")
     ranked = best(df, groups)

@@ -83,15 +83,13 @@ def today_metrics(
     """
     day = target_day(as_of)
     rows = games.where(in_days(games, table.time, day, day, table.day))
+    match = F.col(quoted(table.match)).alias("match")
+    champion = F.col(quoted(table.champion)).alias("champion")
     best = []
     for spec in specs:
         kind = games.schema[spec.name].dataType
         value = no_nan(F.col(quoted(spec.name)), kind)
-        candidate = F.struct(
-            better_first(value, kind, spec.agg).alias("key"),
-            F.col(quoted(table.match)).alias("match"),
-            F.col(quoted(table.champion)).alias("champion"),
-        )
+        candidate = F.struct(better_first(value, kind, spec.agg).alias("key"), match, champion)
         best.append(F.min(F.when(value.isNotNull(), candidate)).alias(spec.name))
     return rows.groupBy(F.col(quoted(table.player)).alias("nickname")).agg(*best)
 

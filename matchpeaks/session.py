@@ -22,15 +22,24 @@ SESSION_CONF = {
 }
 
 
+# On a cluster shuffles start with many partitions, which adaptive execution
+# merges to the advisory size; the default of 200 would make them too large to sort
+# in memory long before a table reaches the terabytes.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8192",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+}
+
+
 def build_session(app_name: str = "matchpeaks", master: str | None = None, **conf) -> SparkSession:
     """A session with this library's defaults; ``conf`` keys use ``__`` for dots."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in SESSION_CONF.items():
+    local = (master or "").startswith("local")
+    given = {key.replace("__", "."): value for key, value in conf.items()}
+    for key, value in {**SESSION_CONF, **({} if local else CLUSTER_CONF), **given}.items():
         builder = builder.config(key, value)
-    for key, value in conf.items():
-        builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()
 
 

@@ -40,9 +40,9 @@ def sequential(rows, k=3):
     return out
 
 
-def built(spark, rows, k=3):
+def built(spark, rows, k=3, **options):
     records = spark.createDataFrame(rows, SCHEMA)
-    found = messages.build_messages(records, TEXTS, k=k)
+    found = messages.build_messages(records, TEXTS, k=k, **options)
     return [(r.text, r.champion) for r in messages.message_order(found).collect()]
 
 
@@ -69,6 +69,23 @@ def test_equals_the_sequential_rule(spark, seed):
     assert built(spark, rows) == sequential(rows)
 
 
+@pytest.mark.parametrize("seed", range(5))
+def test_any_input_equals_the_sequential_rule(spark, seed):
+    """Several champions for one player and match, so that cap and repeats interact."""
+    rng = random.Random(100 + seed)
+    rows = []
+    for order in range(80):
+        row = [order, rng.choice(["Alpha", "Beta"])]
+        for _ in METRICS:
+            champion = rng.choice(["A", "A", "A", "B", "C", "D", ""])
+            row += [rng.choice([0, 1]), rng.choice(["RU_1", "RU_2", ""]) + "-_-" + champion]
+        row[2] = float(row[2])
+        row[6] = rng.choice([None, True])
+        rows.append(tuple(row))
+    k = 1 + seed % 3
+    assert built(spark, rows, k, one_champion_per_match=False) == sequential(rows, k)
+
+
 def test_cap_holds_over_all_players(spark):
     rows = [(i, f"p{i}", 1.0, "RU_1-_-Ahri", 1, "RU_2-_-Zed", None, None) for i in range(6)]
     texts = built(spark, rows)

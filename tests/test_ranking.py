@@ -20,7 +20,8 @@ def expected(rows, k):
 def test_top_per_group_small_and_very_large_k(spark):
     df = hot_rows(spark)
     rows = df.collect()
-    for k in (1, 5, ranking.GROUP_LIMIT_THRESHOLD - 100, ranking.GROUP_LIMIT_THRESHOLD):
+    threshold = int(spark.conf.get(ranking.GROUP_LIMIT_THRESHOLD))
+    for k in (1, 5, threshold - 100, threshold):
         found = ranking.top_per_group(df, ["key"], [F.col("v").desc()], k)
         assert found.columns == ["key", "v"]
         assert sorted((r.key, r.v) for r in found.collect()) == expected(rows, k)
