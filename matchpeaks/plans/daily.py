@@ -25,6 +25,7 @@ from ..operators.ingest import (
     participants_of,
 )
 from ..operators.messages import build_messages, number_messages
+from ..operators.ranking import first_per_key
 from ..operators.records import GameTable, match_games, record_detect
 from ..operators.weekly import weekly_avg_kda
 from ..schemas import RAW
@@ -106,7 +107,8 @@ def daily_ingest(
 ) -> None:
     """Land the documents of player-days that are not in the table yet.
 
-    Running it again adds nothing. The day range prunes landing folders, and the
+    A match found twice for a player and day counts once. Running the job again
+    adds nothing. The day range prunes landing folders, and the
     list of player-days already there is read from two columns only.
     """
     day = as_of_date(as_of)
@@ -119,8 +121,10 @@ def daily_ingest(
         .withColumn("player_key", path_key(F.col("source_nickname")))
         .join(missing, ["load_date", "player_key"], "left_semi")
     )
-    newest = [F.col("info.gameCreation").desc(), F.col("metadata.matchId").desc()]
-    kept = limit_per_day(due, "player_key", "load_date", newest, per_day)
+    due = due.withColumn("match", F.col("metadata.matchId"))
+    newest = [F.col("info.gameCreation").desc(), F.col("match").desc()]
+    once = first_per_key(due, ["player_key", "load_date", "match"], newest)
+    kept = limit_per_day(once, "player_key", "load_date", newest, per_day)
     rows = participants_of(kept, ("source_nickname", "load_date", "player_key"))
     write_partitions(rows, places.participants)
 

@@ -225,6 +225,7 @@ def test_daily_jobs_end_to_end(spark, tmp_path):
 
     land(landing, "2024-01-22", "Alpha#T1", [played("RU_1", 5, "2024-01-22T10:00:00")])
     land(landing, "2024-01-30", "Alpha#T1", [played("RU_2", 9, "2024-01-30T10:00:00"), "{"])
+    land(landing, "2024-01-30", "Alpha#T1", [played("RU_2", 9, "2024-01-30T10:00:00")])
     land(landing, "2024-01-30", "Stranger#T1", [played("RU_3", 50, "2024-01-30T10:00:00", "Stranger")])
     as_of = dt.date(2024, 1, 31)
     for _ in range(2):
