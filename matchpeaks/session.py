@@ -36,11 +36,14 @@ def build_session(app_name: str = "matchpeaks", master: str | None = None, **con
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    local = (master or "").startswith("local")
     given = {key.replace("__", "."): value for key, value in conf.items()}
-    for key, value in {**SESSION_CONF, **({} if local else CLUSTER_CONF), **given}.items():
+    for key, value in {**SESSION_CONF, **given}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if not spark.sparkContext.master.startswith("local"):
+        for key in CLUSTER_CONF.keys() - given.keys():
+            spark.conf.set(key, CLUSTER_CONF[key])
+    return spark
 
 
 def scratch_root(spark: SparkSession) -> str:
