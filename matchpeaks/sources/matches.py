@@ -47,10 +47,13 @@ def parse_matches(df: DataFrame, text: str = "text") -> DataFrame:
     """Documents held as JSON text in a column; other columns are kept.
 
     Generating the parsed struct as a row keeps later filters behind it, so a
-    text is parsed once and not again for every filtered field.
+    text is parsed once and not again for every filtered field. Text that gave
+    no part of a document is kept in ``_corrupt_record``.
     """
-    others = [F.col(quoted(name)) for name in df.columns if name != text]
-    return df.select(*others, F.inline(F.array(parse_document(F.col(quoted(text)), MATCH))))
+    document = F.inline(F.array(parse_document(F.col(quoted(text)), MATCH)))
+    nothing = F.col("metadata").isNull() & F.col("info").isNull()
+    corrupt = F.when(nothing, F.col(quoted(text)))
+    return df.select("*", document).withColumn(CORRUPT, corrupt).drop(text)
 
 
 def _has_meta() -> Column:

@@ -92,6 +92,8 @@ def test_text_column_is_parsed_once(spark):
     plan = valid._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
     assert valid.count() == 1
+    rejected = matches.rejected_matches(matches.parse_matches(df)).first()
+    assert rejected[matches.CORRUPT] == "{"
 
 
 def test_conform_schema(spark):
