@@ -314,6 +314,11 @@ def oracle_sql() -> dict[str, str]:
             SELECT event_id, value, CAST(CASE WHEN event_type <> 'view' THEN k END AS DOUBLE) AS k,
                    CAST(CASE WHEN event_type <> 'view' THEN 2 ELSE 1 END AS BIGINT) AS n_keys,
                    true AS no_missions, user_id FROM g""",
+        "nested_columns": f"""WITH {EVENTS_K}
+            SELECT event_id, k AS offense, value AS challenge,
+                   CASE WHEN event_type = 'click' THEN k END AS click_mission,
+                   user_id AS style, perk
+            FROM (SELECT *, event_id AS perk FROM g UNION ALL SELECT *, k AS perk FROM g)""",
         "select_columns": "SELECT o_orderkey, o_totalprice FROM orders",
         "day_bounds": """
             WITH e AS (SELECT event_id, epoch_us(ts) // 1000 AS ms, CAST(ts AS DATE) AS day FROM events)

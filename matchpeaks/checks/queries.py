@@ -12,6 +12,7 @@ from ..functions import dates, text as tx, values as vl
 from ..metrics import MetricSpec, match_metrics
 from ..operators import assets, ingest, messages, ranking, records, sets, weekly
 from ..plans import daily
+from ..schemas import PARTICIPANT
 from ..sources import dimensions, matches, partitions, snapshots
 from ..session import scratch_dir
 from ..streaming import ingest as stream_ingest_job, triggers
@@ -378,6 +379,37 @@ def conform_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def nested_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Map and nested columns of a participant: kept as they are, and addressed."""
+    selections = F.array(F.struct(F.col("event_id").alias("perk")), F.struct(F.col("k").alias("perk")))
+    style = F.struct(F.col("user_id").alias("style"), selections.alias("selections"))
+    perks = F.struct(
+        F.struct(F.col("k").alias("offense")).alias("statPerks"), F.array(style).alias("styles")
+    )
+    text = F.to_json(
+        F.struct(
+            F.create_map(F.lit("value"), F.col("value")).alias("challenges"),
+            F.create_map(F.col("event_type"), F.col("k")).alias("missions"),
+            perks.alias("perks"),
+        )
+    )
+    parsed = F.inline(F.array(vl.parse_document(text, PARTICIPANT)))
+    styles = (
+        derived.events(spark, sf_dir)
+        .select("event_id", parsed)
+        .select(
+            "event_id",
+            F.col("perks.statPerks.offense").alias("offense"),
+            vl.map_value(F.col("challenges"), "value").alias("challenge"),
+            vl.map_value(F.col("missions"), "click").alias("click_mission"),
+            F.explode("perks.styles").alias("s"),
+        )
+    )
+    return styles.select("*", F.col("s.style").alias("style"), F.inline("s.selections")).drop(
+        "s", "var1", "var2", "var3"
+    )
+
+
 def select_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated columns dropped, then a projected read."""
     orders = table(spark, sf_dir, "orders")
@@ -664,6 +696,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ingest_grid_missing,
         json_map,
         conform_schema,
+        nested_columns,
         select_columns,
         day_bounds,
         week_bounds,
