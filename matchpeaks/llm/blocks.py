@@ -105,6 +105,27 @@ def unsqueeze(data: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(width, len(raw) // width).T).view(kind).ravel()
 
 
+def squeeze_codes(codes: np.ndarray) -> bytes:
+    """Codes numbered from the most frequent on: one byte for the first 255, the others apart."""
+    first = zstandard.compress(np.minimum(codes, 255).astype(np.uint8).tobytes(), 3)
+    return len(first).to_bytes(4, "little") + first + squeeze((codes[codes >= 255] - 255).astype(np.uint32))
+
+
+def unsqueeze_codes(data: bytes) -> np.ndarray:
+    n = int.from_bytes(data[:4], "little")
+    codes = np.frombuffer(zstandard.decompress(data[4 : 4 + n]), np.uint8).astype(np.uint32)
+    codes[codes == 255] += unsqueeze(data[4 + n :], np.uint32)
+    return codes
+
+
+def by_frequency(codes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``n`` codes from the most frequent on, and ``codes`` in that numbering."""
+    order = np.argsort(-np.bincount(codes, minlength=n), kind="stable")
+    rank = np.empty(n, np.uint32)
+    rank[order] = np.arange(n, dtype=np.uint32)
+    return order, rank[codes]
+
+
 def squeeze_sorted(keys: np.ndarray) -> bytes:
     """Ascending unsigned keys as differences: a 64-bit hash then takes five to six bytes."""
     return squeeze(np.diff(keys, prepend=keys.dtype.type(0)))

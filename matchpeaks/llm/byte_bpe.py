@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from .blocks import BLOCK_BYTES, EXCHANGE, answered, bucket_count, exchange_batch, finished, in_blocks, key_row, own_row, squeeze, squeeze_bytes, unsqueeze, unsqueeze_bytes
+from .blocks import BLOCK_BYTES, EXCHANGE, answered, bucket_count, by_frequency, exchange_batch, finished, in_blocks, key_row, own_row, squeeze, squeeze_bytes, squeeze_codes, unsqueeze, unsqueeze_bytes, unsqueeze_codes
 from .common import arrow_schema, table, texts
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -60,8 +60,10 @@ def _requests(buckets: int, block_bytes: int):
                 counts.append(len(words))
                 codes.append(np.fromiter(map(place.__getitem__, words), np.uint32, len(words)))
             words = [w.encode() for w in place]
+            order, code = by_frequency(np.concatenate(codes), len(words))
+            words = [words[i] for i in order]
             bucket = np.fromiter((xxhash.xxh3_64_intdigest(w) % buckets for w in words), np.int64, len(words))
-            rows = [own_row(block, squeeze(np.concatenate(codes)), _pack_docs(ids, counts))]
+            rows = [own_row(block, squeeze_codes(code), _pack_docs(ids, counts))]
             order = np.argsort(bucket, kind="stable")
             ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
             for b in np.flatnonzero(np.diff(ends)):
@@ -121,7 +123,7 @@ def _rebuilt(path: str, schema: str, digests: bool):
         lists = [np.frombuffer(found[i], np.uint32).tolist() for i in range(len(found))]
         numbers = [("," + ",".join(map(str, x))).encode() for x in lists]
         decoded = [b"".join([tokens[i] for i in x]) for x in lists]
-        codes, at = unsqueeze(data, np.uint32), 0
+        codes, at = unsqueeze_codes(data), 0
         rows = []
         for doc_id, n in zip(*_unpack_docs(more)):
             mine = codes[at : at + n].tolist()
