@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator, Sequence
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchpeaks.session import scratch_dir
@@ -41,10 +41,11 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def texts(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Only the two columns an operator needs, under fixed names, so that no other column can clash."""
+def texts(df: DataFrame, key: str = "doc_id", text: str = "text", also: dict[str, Column] | None = None) -> DataFrame:
+    """Only the columns an operator needs, under fixed names, so that no other column can clash."""
     ship(df.sparkSession)
-    return df.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    more = [column.alias(name) for name, column in (also or {}).items()]
+    return df.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"), *more)
 
 
 ARROW = {
@@ -66,23 +67,26 @@ def arrow_schema(schema: str) -> pa.Schema:
     return pa.schema([(name, ARROW[kind]) for name, kind in map(str.split, schema.split(", "))])
 
 
-def pairs(batches: Iterator[pa.RecordBatch], step: int = 256) -> Iterator[tuple[int | None, str]]:
-    """(doc_id, text) of each row, a few rows at a time as Python objects."""
+def pairs(batches: Iterator[pa.RecordBatch], step: int = 256) -> Iterator[tuple]:
+    """The values of each row, doc_id and text first, a few rows at a time as Python objects."""
     for batch in batches:
         for at in range(0, batch.num_rows, step):
-            part = batch.slice(at, step)
-            yield from zip(part.column(0).to_pylist(), part.column(1).to_pylist())
+            yield from zip(*(column.to_pylist() for column in batch.slice(at, step).columns))
 
 
-def map_texts(df: DataFrame, row: Callable[[int | None, str], Sequence], schema: str, setup: Callable | None = None) -> DataFrame:
-    """One output row for each (doc_id, text). ``setup`` runs once in each task and its result is passed on to ``row``."""
+def map_texts(df: DataFrame, row: Callable[..., Sequence], schema: str, setup: Callable | None = None, carried: int = 0) -> DataFrame:
+    """One output row for each (doc_id, text).
+
+    ``setup`` runs once in each task and its result is passed on to ``row``; the last ``carried``
+    columns are put behind what ``row`` returns.
+    """
     out = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         given = (setup(),) if setup else ()
         rows: list[Sequence] = []
-        for doc_id, text in pairs(batches):
-            rows.append(row(doc_id, text, *given))
+        for doc_id, text, *rest in pairs(batches):
+            rows.append((*row(doc_id, text, *rest[: len(rest) - carried], *given), *rest[len(rest) - carried :]))
             if len(rows) == 2048:
                 yield as_batch(rows, out)
                 rows = []
