@@ -7,11 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .byte_bpe import op8_byte_bpe
+from .license_scan import op6_license_scan
+from .main_text import op3_main_text
+from .quality_rules import op9_quality_rules
+from .quotation_linking import op2_quotation_linking
+from .secret_scan import op1_secret_scan
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_secret_scan": op1_secret_scan,
+        "op2_quotation_linking": op2_quotation_linking,
+        "op3_main_text": op3_main_text,
+        "op6_license_scan": op6_license_scan,
         "op8_byte_bpe": op8_byte_bpe,
+        "op9_quality_rules": op9_quality_rules,
     }
 
 
