@@ -148,6 +148,19 @@ def unsqueeze_bytes(data: bytes) -> list[bytes]:
     return [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
 
 
+def pack_ids(ids: list[int | None]) -> bytes:
+    """Ids with their nulls."""
+    sink = pa.BufferOutputStream()
+    batch = pa.RecordBatch.from_arrays([pa.array(ids, pa.int64())], ["id"])
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def unpack_ids(data: bytes) -> list[int | None]:
+    return pa.ipc.open_stream(data).read_all().column(0).to_pylist()
+
+
 def by_bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
     """Ends of the buckets in ascending 64-bit keys: a bucket is a range of hash values."""
     edges = [(b << 64) // buckets for b in range(1, buckets)]
@@ -157,7 +170,8 @@ def by_bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
 def merged_counts(data: list[bytes], more: list[bytes]) -> list[bytes]:
     """The ``answer`` of count tables: each key's count over all blocks, in the order of the request."""
     keys, counts = [unsqueeze_sorted(x) for x in data], [unsqueeze(x, np.uint32) for x in more]
-    distinct, where = np.unique(np.concatenate(keys), return_inverse=True)
-    total = np.bincount(where, np.concatenate(counts), len(distinct)).astype(np.uint64)
-    ends = np.cumsum([len(k) for k in keys])
-    return [squeeze(part) for part in np.split(total[where], ends[:-1])]
+    every = np.concatenate(keys)
+    distinct, where = np.unique(every, return_inverse=True)
+    total = np.zeros(len(distinct), np.uint64)
+    np.add.at(total, where, np.concatenate(counts).astype(np.uint64))
+    return [squeeze(part) for part in np.split(total[where], np.cumsum([len(k) for k in keys])[:-1])]

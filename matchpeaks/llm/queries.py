@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .byte_bpe import op8_byte_bpe
+from .decontaminate import op5_decontaminate
 from .license_scan import op6_license_scan
 from .main_text import op3_main_text
+from .ngram_join import op7_ngram_join
 from .quality_rules import op9_quality_rules
 from .quotation_linking import op2_quotation_linking
 from .secret_scan import op1_secret_scan
@@ -19,7 +21,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_secret_scan": op1_secret_scan,
         "op2_quotation_linking": op2_quotation_linking,
         "op3_main_text": op3_main_text,
+        "op5_decontaminate": op5_decontaminate,
         "op6_license_scan": op6_license_scan,
+        "op7_ngram_join": op7_ngram_join,
         "op8_byte_bpe": op8_byte_bpe,
         "op9_quality_rules": op9_quality_rules,
     }
