@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 import public_tokenizers
 
 from .blocks import BLOCK_BYTES, EXCHANGE, answered, bucket_count, by_frequency, exchange_batch, finished, in_blocks, key_row, own_row, squeeze, squeeze_bytes, squeeze_codes, unsqueeze, unsqueeze_bytes, unsqueeze_codes
-from .common import arrow_schema, table, texts
+from .common import arrow_schema, as_batch, table, texts
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 ENCODED = "doc_id bigint, ids array<int>, decoded binary"
@@ -120,25 +120,38 @@ def _rebuilt(path: str, schema: str, digests: bool):
     def run(data: bytes, more: bytes, replies: list[bytes]) -> Iterator[pa.RecordBatch]:
         tokens = {rank: token for token, rank in ranks(path).items()}
         found = _words_of(replies)
-        lists = [np.frombuffer(found[i], np.uint32).tolist() for i in range(len(found))]
-        numbers = [("," + ",".join(map(str, x))).encode() for x in lists]
-        decoded = [b"".join([tokens[i] for i in x]) for x in lists]
-        codes, at = unsqueeze_codes(data), 0
-        rows = []
-        for doc_id, n in zip(*_unpack_docs(more)):
-            mine = codes[at : at + n].tolist()
+        lists = [np.frombuffer(found[i], np.uint32) for i in range(len(found))]
+        decoded = [b"".join([tokens[i] for i in x.tolist()]) for x in lists]
+        ids, counts = _unpack_docs(more)
+        codes, at, backs = unsqueeze_codes(data), 0, []
+        for n in counts:
+            backs.append(b"".join(map(decoded.__getitem__, codes[at : at + n].tolist())))
             at += n
-            back = b"".join([decoded[c] for c in mine])
-            if digests:
-                listed = b"".join([numbers[c] for c in mine])[1:]
+        if digests:
+            numbers, at, rows = [("," + ",".join(map(str, x.tolist()))).encode() for x in lists], 0, []
+            for doc_id, n, back in zip(ids, counts, backs):
+                listed = b"".join(map(numbers.__getitem__, codes[at : at + n].tolist()))[1:]
+                at += n
                 rows.append((doc_id, listed.count(b",") + 1 if listed else 0, hashlib.sha256(listed).hexdigest(), hashlib.sha256(back).hexdigest()))
-            else:
-                rows.append((doc_id, [i for c in mine for i in lists[c]], back))
-        yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows), out)], schema=out)
+            yield as_batch(rows, out)
+        else:
+            flat, ends = _spelled(codes, lists, counts)
+            columns = [pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.astype(np.int32))), pa.array(backs, pa.binary())]
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, out)], schema=out)
 
     return run
 
 
+def _spelled(codes: np.ndarray, lists: list[np.ndarray], counts: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """All token ids of a block in order, and where each document's ids end."""
+    lengths = np.fromiter(map(len, lists), np.int64, len(lists))
+    begins = np.cumsum(lengths) - lengths
+    each = lengths[codes]
+    ends = np.cumsum(each)
+    flat = np.concatenate([np.empty(0, np.uint32), *lists])[np.repeat(begins[codes] - ends + each, each) + np.arange(each.sum())]
+    return flat, np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(np.array(counts, np.int64))])]
+
+
 def encode(df: DataFrame, path: str | None = None, block_bytes: int = BLOCK_BYTES, digests: bool = False) -> DataFrame:
     """Token ids and decoded bytes of every document, or their digests.
 

@@ -10,6 +10,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from matchpeaks.session import scratch_dir
 
@@ -99,3 +100,35 @@ def map_texts(df: DataFrame, row: Callable[..., Sequence], schema: str, setup: C
 def as_batch(rows: Sequence[Sequence], schema: pa.Schema) -> pa.RecordBatch:
     columns = list(zip(*rows)) if rows else [[] for _ in schema]
     return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
+def add_columns(df: DataFrame, row: Callable[[str], Sequence], schema: str, text: str = "text", setup: Callable | None = None) -> tuple[DataFrame, dict[str, str]]:
+    """Every row with all its columns and what ``row`` makes of its text; and the new columns' names.
+
+    The rows stay where they are: no join, whatever the ids.
+    """
+    ship(df.sparkSession)
+    made = arrow_schema(schema)
+    names = {f.name: fresh(df, f"{f.name}_made") for f in made}
+    new_fields = [StructField(names[f.name], f.dataType) for f in StructType.fromDDL(schema)]
+    out = StructType([*df.schema.fields, *new_fields])
+    at = df.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given = (setup(),) if setup else ()
+        for batch in batches:
+            for start in range(0, batch.num_rows, 512):
+                part = batch.slice(start, 512)
+                rows = [row(x or "", *given) for x in part.column(at).to_pylist()]
+                new = [pa.array(c, type=f.type) for c, f in zip(zip(*rows), made)]
+                yield pa.RecordBatch.from_arrays([*part.columns, *new], [*part.schema.names, *names.values()])
+
+    return df.mapInArrow(run, out), names

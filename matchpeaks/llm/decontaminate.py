@@ -23,6 +23,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -198,16 +199,40 @@ def _scan(part, q: int):
     return run
 
 
-def find_leaks(docs: DataFrame, items: DataFrame, q: int = Q, size: int = PIECE, edits: float = EDITS, part_chars: int = PART_CHARS) -> DataFrame:
-    """The best leak of each (doc_id, item_id): place in the normalised text, edit distance, and length of the piece."""
-    spark = docs.sparkSession
-    rows, items = texts(docs), texts(items, key="item_id").distinct()
+def _parts(items: DataFrame, q: int, size: int, edits: float, part_chars: int) -> Iterator[Broadcast]:
+    """The items' pieces in parts of bounded size, each sent to every executor."""
+    items = texts(items, key="item_id").distinct()
     chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     parts = int(chars) // part_chars + 1
-    found = None
     for n in range(parts):
         mine = items.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)) == n)
-        known = spark.sparkContext.broadcast(pieces_of([tuple(r) for r in mine.toLocalIterator()], q, size, edits))
+        yield items.sparkSession.sparkContext.broadcast(pieces_of([tuple(r) for r in mine.toLocalIterator()], q, size, edits))
+
+
+def keep_clean(docs: DataFrame, items: DataFrame, q: int = Q, size: int = PIECE, edits: float = EDITS, part_chars: int = PART_CHARS) -> DataFrame:
+    """The documents without any leak, with all their columns; each row is judged where it is."""
+    at = docs.columns.index("text")
+
+    def without(part: Broadcast):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for start in range(0, batch.num_rows, 512):
+                    rows = batch.slice(start, 512)
+                    held = [normal(x or "") for x in rows.column(at).to_pylist()]
+                    leaky = {i for i, *_ in leaks_in(list(range(len(held))), held, part.value, q)}
+                    yield rows.filter(pa.array([i not in leaky for i in range(len(held))]))
+
+        return run
+
+    for known in _parts(items, q, size, edits, part_chars):
+        docs = docs.mapInArrow(without(known), docs.schema)
+    return docs
+
+
+def find_leaks(docs: DataFrame, items: DataFrame, q: int = Q, size: int = PIECE, edits: float = EDITS, part_chars: int = PART_CHARS) -> DataFrame:
+    """The best leak of each (doc_id, item_id): place in the normalised text, edit distance, and length of the piece."""
+    rows, found = texts(docs), None
+    for known in _parts(items, q, size, edits, part_chars):
         leaks = rows.mapInArrow(_scan(known, q), LEAKS)
         found = leaks if found is None else found.union(leaks)
     order = F.struct(F.col("distance"), F.col("start"), F.col("end"), F.col("length"))

@@ -220,5 +220,13 @@ def ngram_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT
     return placed.select("doc_id", "n_shingles", F.coalesce(linked, "doc_id").alias("component_id"))
 
 
+def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """One document of each component: the one with the least id. Rows without an id stay."""
+    found = ngram_components(docs, words, percent)
+    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct()
+    stay = docs.join(gone, F.col("doc_id").cast("long") == F.col("gone"), "left_anti")
+    return stay.where("doc_id is not null").dropDuplicates(["doc_id"]).union(docs.where("doc_id is null"))
+
+
 def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_components(table(spark, sf_dir, "documents"))

@@ -25,7 +25,7 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACES, map_texts, stored, table, texts
+from .common import SPACES, add_columns, map_texts, stored, table, texts
 
 STRATA = ("en", "de", "fr", "es")
 RULES = ("symbols", "shouting", "exclamation", "repeated_lines", "repeated_words")
@@ -172,6 +172,16 @@ def quality_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang") ->
     return verdicts(rows, choose(labelled_counts(rows, labels), (*STRATA, "other")))
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, stratum: str = "lang") -> DataFrame:
+    """The documents that pass, with all their columns. The cutoffs come first; then each row is judged where it is."""
+    cutoffs = choose(labelled_counts(stored(measured(docs, stratum), "quality"), labels), (*STRATA, "other"))
+    known = F.when(F.col(stratum).isin(*STRATA), F.col(stratum)).otherwise("other")
+    rows, names = add_columns(docs, lambda text: measure(None, text)[1:], MEASURED.split(", ", 1)[1])
+    counts = F.struct(*[F.col(made).alias(name) for name, made in names.items()], known.alias("stratum"))
+    packed = rows.select(F.struct(*docs.columns).alias("document"), counts.alias("counts")).select("document", "counts.*")
+    return verdicts(packed, cutoffs).where("kept").select("document.*")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select(*[c.split()[0] for c in BASE.split(", ")], "base_failed", "kept")

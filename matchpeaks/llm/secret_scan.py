@@ -28,7 +28,7 @@ from collections import Counter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_texts, stored, table, texts
+from .common import add_columns, map_texts, stored, table, texts
 
 # The patterns of the contract.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
@@ -51,6 +51,7 @@ ALPHABETS = (
     ("base64url", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),
 )
 #: Ends of the length classes, levels of randomness, and the share of false discoveries allowed.
+MASK = "[SECRET]"
 LENGTHS, BINS, FDR = (24, 32, 48, 64, 128), 1000, 0.05
 FOUND = "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, base array<string>, starts array<int>, ends array<int>, classes array<int>, levels array<int>, nulls array<int>"
 RESULT = "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string, n_random bigint"
@@ -152,11 +153,15 @@ def thresholds(counts: dict[tuple[int, int, int], int], fdr: float = FDR) -> dic
     return cut
 
 
+def cut_levels(rows: DataFrame, fdr: float) -> dict[int, int]:
+    each = rows.select(F.explode(F.arrays_zip("classes", "levels", "nulls")).alias("t")).groupBy("t.classes", "t.levels", "t.nulls").count()
+    return thresholds({(r[0], r[1], r[2]): r[3] for r in each.collect()}, fdr)
+
+
 def secret_scan(docs: DataFrame, fdr: float = FDR) -> DataFrame:
     """Spans of every document; what the scan keeps is small and stored, and so the texts are read once."""
     rows = stored(map_texts(texts(docs), scan, FOUND), "secrets")
-    each = rows.select(F.explode(F.arrays_zip("classes", "levels", "nulls")).alias("t")).groupBy("t.classes", "t.levels", "t.nulls").count()
-    cut = thresholds({(r[0], r[1], r[2]): r[3] for r in each.collect()}, fdr)
+    cut = cut_levels(rows, fdr)
 
     def spans(doc_id, _text, assign, access, hexes, digest, base, starts, ends, classes, levels, nulls):
         found = [(s, 3, e) for s, e, c, level, null in zip(starts, ends, classes, levels, nulls) if not null and level >= cut.get(c, BINS)]
@@ -167,5 +172,32 @@ def secret_scan(docs: DataFrame, fdr: float = FDR) -> DataFrame:
     return map_texts(rows.select(*columns), spans, RESULT)
 
 
+def masked(text: str, spans: list[tuple[int, int]], mask: str) -> str:
+    """``text`` with its spans replaced; spans that overlap make one."""
+    parts, at = [], 0
+    for start, end in sorted(spans):
+        if start >= at:
+            parts += [text[at:start], mask]
+        at = max(at, end)
+    return "".join(parts) + text[at:]
+
+
+def redact(docs: DataFrame, fdr: float = FDR, mask: str = MASK) -> DataFrame:
+    """The documents with every secret masked; ``n_chars``, where there is one, follows the text."""
+    cut = cut_levels(stored(map_texts(texts(docs), scan, FOUND), "secrets"), fdr)
+
+    def row(text: str) -> tuple[str, bool]:
+        _, *_, base, starts, ends, classes, levels, nulls = scan(None, text)
+        found = [(s, e) for s, e, c, level, null in zip(starts, ends, classes, levels, nulls) if not null and level >= cut.get(c, BINS)]
+        found += [(int(s), int(e)) for _, s, e in (x.split(":") for x in base)]
+        return masked(text, found, mask), bool(found)
+
+    rows, names = add_columns(docs, row, "clean string, changed boolean")
+    columns = {"text": F.when(F.col(names["changed"]), F.col(names["clean"])).otherwise(F.col("text"))}
+    if "n_chars" in docs.columns:
+        columns["n_chars"] = F.when(F.col(names["changed"]), F.length(names["clean"])).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)
+    return rows.select(*[columns[c].alias(c) if c in columns else F.col(c) for c in docs.columns])
+
+
 def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan(table(spark, sf_dir, "documents"))
