@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .backoff_scores import op4_backoff_scores
 from .byte_bpe import op8_byte_bpe
 from .decontaminate import op5_decontaminate
 from .license_scan import op6_license_scan
@@ -21,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_secret_scan": op1_secret_scan,
         "op2_quotation_linking": op2_quotation_linking,
         "op3_main_text": op3_main_text,
+        "op4_backoff_scores": op4_backoff_scores,
         "op5_decontaminate": op5_decontaminate,
         "op6_license_scan": op6_license_scan,
         "op7_ngram_join": op7_ngram_join,
