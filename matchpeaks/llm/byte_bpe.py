@@ -29,9 +29,11 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from .blocks import BLOCK_BYTES, EXCHANGE, answered, bucket_count, by_frequency, exchange_batch, finished, in_blocks, key_row, own_row, squeeze, squeeze_bytes, squeeze_codes, unsqueeze, unsqueeze_bytes, unsqueeze_codes
+from .blocks import EXCHANGE, answered, bucket_count, by_frequency, exchange_batch, finished, in_blocks, key_row, own_row, squeeze, squeeze_bytes, squeeze_codes, unsqueeze, unsqueeze_bytes, unsqueeze_codes
 from .common import arrow_schema, as_batch, table, texts
 
+#: Characters of a block; a larger one repeats fewer words, and its list of distinct words still takes little memory.
+BLOCK = 16 << 20
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 ENCODED = "doc_id bigint, ids array<int>, decoded binary"
 DIGESTS = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
@@ -152,7 +154,7 @@ def _spelled(codes: np.ndarray, lists: list[np.ndarray], counts: list[int]) -> t
     return flat, np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(np.array(counts, np.int64))])]
 
 
-def encode(df: DataFrame, path: str | None = None, block_bytes: int = BLOCK_BYTES, digests: bool = False) -> DataFrame:
+def encode(df: DataFrame, path: str | None = None, block_bytes: int = BLOCK, digests: bool = False) -> DataFrame:
     """Token ids and decoded bytes of every document, or their digests.
 
     ``path``: file of base64 token and rank per line; every executor has it.
