@@ -15,6 +15,7 @@ from .ngram_join import op7_ngram_join
 from .quality_rules import op9_quality_rules
 from .quotation_linking import op2_quotation_linking
 from .secret_scan import op1_secret_scan
+from .suffix_dedup import op10_suffix_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -28,6 +29,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_ngram_join": op7_ngram_join,
         "op8_byte_bpe": op8_byte_bpe,
         "op9_quality_rules": op9_quality_rules,
+        "op10_suffix_dedup": op10_suffix_dedup,
     }
 
 
