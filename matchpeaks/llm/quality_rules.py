@@ -143,8 +143,8 @@ def measured(df: DataFrame, stratum: str = "lang") -> DataFrame:
 def labelled_counts(rows: DataFrame, labels: DataFrame) -> dict[tuple[str, str, int, int], int]:
     quality = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
     quality = quality.where("quality in (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    grid = F.array(*map(F.lit, CUTOFFS))
-    levels = [F.struct(F.lit(rule).alias("rule"), F.size(F.filter(grid, lambda c, s=score: s > c)).alias("level")) for rule, score in scores().items()]
+    passed = {rule: sum(((score > cutoff).cast("int") for cutoff in CUTOFFS), F.lit(0)) for rule, score in scores().items()}
+    levels = [F.struct(F.lit(rule).alias("rule"), level.alias("level")) for rule, level in passed.items()]
     counted = rows.where(~base_failed()).join(quality, "doc_id").select("stratum", "quality", F.explode(F.array(*levels)).alias("x"))
     counted = counted.groupBy("stratum", "x.rule", "x.level", "quality").count()
     return {(r["stratum"], r["rule"], r["level"], r["quality"]): r["count"] for r in counted.collect()}
