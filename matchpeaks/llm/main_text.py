@@ -41,31 +41,33 @@ MARKUP = re.compile(
 WORDS = re.compile(r"""\b(?:class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
 BLOCK = frozenset("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset(("hr",))
+#: Elements that are one block of text each: their blocks are neighbours below the element around them.
+LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd td th pre legend summary figcaption caption option".split())
 #: A start tag ends an open element of the same group.
 CLOSES = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
 #: Evidence for content in natural logarithms of odds, by element and by word of class or id.
-ELEMENTS = {"article": 6.0, "main": 5.0, "nav": -14.0, "footer": -14.0, "header": -14.0, "aside": -14.0, "form": -14.0, "menu": -14.0, "button": -14.0, "dialog": -14.0, "fieldset": -14.0, "head": -14.0}
+ELEMENTS = {"article": 6.0, "main": 5.0, "nav": -40.0, "footer": -40.0, "header": -40.0, "aside": -40.0, "form": -40.0, "menu": -40.0, "button": -40.0, "dialog": -40.0, "fieldset": -40.0, "head": -40.0}
 NAMES = {
     "content": 2.0, "article": 2.0, "post": 1.5, "entry": 1.5, "story": 2.0, "main": 2.0, "articlebody": 3.0,
-    "ad": -14.0, "ads": -14.0, "advert": -14.0, "adverts": -14.0, "advertisement": -14.0, "sponsored": -14.0, "sponsor": -14.0, "promo": -14.0, "banner": -14.0,
-    "nav": -14.0, "navbar": -14.0, "navigation": -14.0, "menu": -14.0, "breadcrumb": -14.0, "breadcrumbs": -14.0, "pagination": -14.0, "header": -14.0, "masthead": -14.0,
-    "footer": -14.0, "copyright": -14.0, "sidebar": -14.0, "aside": -14.0, "widget": -14.0, "related": -14.0, "recommended": -14.0,
-    "comment": -14.0, "comments": -14.0, "disqus": -14.0, "reply": -14.0, "replies": -14.0, "respond": -14.0,
-    "cookie": -14.0, "cookies": -14.0, "consent": -14.0, "notice": -14.0, "gdpr": -14.0, "popup": -14.0, "modal": -14.0, "newsletter": -14.0, "subscribe": -14.0, "signup": -14.0, "login": -14.0,
-    "share": -14.0, "sharing": -14.0, "social": -14.0, "toolbar": -14.0, "contentinfo": -14.0, "complementary": -14.0, "search": -14.0, "form": -14.0,
+    "ad": -40.0, "ads": -40.0, "advert": -40.0, "adverts": -40.0, "advertisement": -40.0, "sponsored": -40.0, "sponsor": -40.0, "promo": -40.0, "banner": -40.0,
+    "nav": -40.0, "navbar": -40.0, "navigation": -40.0, "menu": -40.0, "breadcrumb": -40.0, "breadcrumbs": -40.0, "pagination": -40.0, "header": -40.0, "masthead": -40.0,
+    "footer": -40.0, "copyright": -40.0, "sidebar": -40.0, "aside": -40.0, "widget": -40.0, "related": -40.0, "recommended": -40.0,
+    "comment": -40.0, "comments": -40.0, "disqus": -40.0, "reply": -40.0, "replies": -40.0, "respond": -40.0,
+    "cookie": -40.0, "cookies": -40.0, "consent": -40.0, "notice": -40.0, "gdpr": -40.0, "popup": -40.0, "modal": -40.0, "newsletter": -40.0, "subscribe": -40.0, "signup": -40.0, "login": -40.0,
+    "share": -40.0, "sharing": -40.0, "social": -40.0, "toolbar": -40.0, "contentinfo": -40.0, "complementary": -40.0, "search": -40.0, "form": -40.0,
 }
 #: Evidence without any named element; per link share; per tenfold length above 30 characters.
-PRIOR, LINKS, LENGTH = -2.0, -4.0, 2.0
+PRIOR, LINKS, LENGTH = -1.0, -4.0, 3.0
 #: What differing labels cost next to each other in the page, and next to each other below one element.
-ADJACENT, SIBLING = 0.4, 0.6
+ADJACENT, SIBLING = 0.6, 1.0
 SCHEMA = "page_id bigint, url string, text string, n_chars bigint"
 
 
 def blocks(page: str) -> list[tuple[str, float, int]]:
-    """(text, log-odds of content, parent element) of each block that holds text."""
+    """(text, log-odds of content, number of the element around it) of each block that holds text."""
     found: list[tuple[str, float, int]] = []
-    # Open block elements: name, evidence of the element and those around it, whether boilerplate is named around, number.
+    # Open block elements: name, evidence of the element and those around it, number.
     stack: list[tuple[str, float, int]] = [("", 0.0, 0)]
     held: list[str] = []
     linked, in_link, opened = 0, 0, 0
@@ -74,7 +76,8 @@ def blocks(page: str) -> list[tuple[str, float, int]]:
         nonlocal linked
         text = " ".join(html.unescape("".join(held)).split())
         if text:
-            found.append((text, evidence(stack[-1][1], len(text), min(1.0, linked / max(1, len(text)))), stack[-1][2]))
+            below = stack[-2] if stack[-1][0] in LEAVES else stack[-1]
+            found.append((text, evidence(stack[-1][1], len(text), min(1.0, linked / max(1, len(text)))), below[2]))
         held.clear()
         linked = 0
 
