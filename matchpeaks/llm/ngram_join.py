@@ -8,9 +8,10 @@
    ``l``. Each set chooses the ``l`` of least estimated cost: the documents on its prefix tokens' lists,
    plus verification of those that may reach ``l`` matches. For a pair the smaller ``l`` counts.
 4. Components: in a few rounds every set is compared with one set of another component that
-   it shares prefix tokens with, drawn anew each round, which joins groups of near copies
-   without all their pairs. Then *all* pairs of different components that share enough prefix
-   tokens are verified, so no link between components is lost.
+   it shares prefix tokens with, drawn anew each round, which joins most near copies without
+   all their pairs. Then *all* sets of different components that share enough prefix tokens are
+   compared, so no link between components is lost: pair by pair where they meet on short
+   lists, and part by part, as matrix products, where they meet on a long one.
 
 Hot shingles come once per block when counted, are last in the order, and so reach no prefix but of
 sets that consist of them.
@@ -38,7 +39,8 @@ from .hashing import mixed, shingles
 WORDS, PERCENT = 5, 75
 #: Largest number of prefix matches asked for, and a verification's cost in list entries read.
 MATCHES, VERIFY = 8, 50
-ROUNDS = 3
+#: Rounds with drawn partners; lists longer than this are compared in parts of so many sets.
+ROUNDS, LONG_LIST, PART = 2, 32, 256
 SETS = "doc_id bigint, n_shingles bigint, fp_a bigint, fp_b bigint, may_link boolean, shared binary"
 
 
@@ -128,15 +130,16 @@ def _in_order(data: bytes, n: int, percent: int) -> tuple[np.ndarray, int, np.nd
     return keys, ell, keys[order[:length]]
 
 
-def _prefixes(percent: int):
-    out = arrow_schema("token bigint, rep bigint, ell int")
+def _prefixes(percent: int, schema: str):
+    out = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rep, n, data in zip(*(c.to_pylist() for c in batch.columns)):
-                _, ell, prefix = _in_order(data, n, percent)
+                keys, ell, prefix = _in_order(data, n, percent)
                 if len(prefix):
-                    yield pa.RecordBatch.from_arrays([pa.array(prefix.view(np.int64)), pa.array(np.full(len(prefix), rep, np.int64)), pa.array(np.full(len(prefix), ell, np.int32))], schema=out)
+                    same = [pa.array(np.full(len(prefix), x, np.int32)) for x in (ell, n, len(keys))]
+                    yield pa.RecordBatch.from_arrays([pa.array(prefix.view(np.int64)), pa.array(np.full(len(prefix), rep, np.int64)), *same], schema=out)
 
     return run
 
@@ -180,26 +183,111 @@ def _drawn(placed: DataFrame, turn: int) -> DataFrame:
     return best.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
 
 
+def _crossing(placed: DataFrame) -> DataFrame:
+    """Prefix lists that hold sets of several components, with their lengths."""
+    lists = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("listed"))
+    return placed.join(lists.where("low <> high").select("token", "listed"), "token")
+
+
+def _short_list_pairs(crossing: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components on short lists that share as many prefix tokens as asked for."""
+    left = crossing.where(F.col("listed") <= LONG_LIST)
+    right = left.select("token", *[F.col(c).alias(f"{c}_b") for c in ("rep", "ell", "component", "n_shingles", "n_shared")])
+    # Both sets must have as many tokens in common with others as the link would need in common with each other.
+    enough = (100 + percent) * F.least("n_shared", "n_shared_b") >= percent * (F.col("n_shingles") + F.col("n_shingles_b"))
+    met = left.join(right, "token").where((F.col("rep") < F.col("rep_b")) & (F.col("component") != F.col("component_b")) & enough)
+    met = met.groupBy(F.col("rep").alias("a"), F.col("rep_b").alias("b")).agg(F.count("*").alias("n"), F.min(F.least("ell", "ell_b")).alias("asked"))
+    return met.where("n >= asked").select("a", "b")
+
+
+def _packed(group: pa.Table) -> pa.Table:
+    group = group.sort_by("rep")
+    first = [group.column(c)[:1] for c in ("cluster", "part")]
+    lists = [pa.array([group.column(c).to_pylist()], pa.list_(pa.int64())) for c in ("rep", "n_shingles", "component")]
+    return pa.Table.from_arrays([*first, *lists, pa.array([squeeze_bytes(group.column("shared").to_pylist())], pa.binary())], ["cluster", "part", "reps", "sizes", "components", "sets"])
+
+
+def _link_parts(percent: int):
+    out = arrow_schema("a bigint, b bigint")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for reps, sizes, labels, sets, *other in zip(*(c.to_pylist() for c in batch.columns)):
+                rows += links_between((reps, sizes, labels, sets), tuple(other), percent)
+            yield as_batch(rows, out)
+
+    return run
+
+
+def links_between(one: tuple, two: tuple, percent: int) -> list[tuple[int, int]]:
+    """Links between two parts' sets of different components; of links that join the same two components one is enough."""
+    sides = []
+    for reps, sizes, labels, sets in (one, two):
+        keys = [unpack_set(x)[0] for x in unsqueeze_bytes(sets)]
+        sides.append((np.array(reps), np.array(sizes), np.array(labels), np.concatenate(keys), np.repeat(np.arange(len(keys)), list(map(len, keys)))))
+    (r, n, c, k, d), (r2, n2, c2, k2, d2) = sides
+    tokens = np.intersect1d(k, k2)
+    both = np.zeros((len(r), len(r2)), np.int64)
+    # Sets as rows of zeros and ones over some of the common tokens at a time: the product counts what they share.
+    for at in range(0, len(tokens), 4096):
+        part = tokens[at : at + 4096]
+        rows = []
+        for key, doc, size in ((k, d, len(r)), (k2, d2, len(r2))):
+            place = np.minimum(np.searchsorted(part, key), len(part) - 1)
+            hit = part[place] == key
+            matrix = np.zeros((size, len(part)), np.float32)
+            matrix[doc[hit], place[hit]] = 1
+            rows.append(matrix)
+        both += (rows[0] @ rows[1].T).round().astype(np.int64)
+    linked = (100 * both >= percent * (n[:, None] + n2[None, :] - both)) & (c[:, None] != c2[None, :])
+    found = {}
+    for i, j in zip(*np.nonzero(linked)):
+        found.setdefault((min(c[i], c2[j]), max(c[i], c2[j])), (int(r[i]), int(r2[j])))
+    return [(min(p), max(p)) for p in found.values()]
+
+
+def _long_list_links(crossing: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of different components between sets that meet on a long list.
+
+    Sets that meet there are dealt to clusters by the longest list each is on, and clusters are cut
+    into parts of about ``PART`` sets. Parts of clusters that meet are compared as wholes: pairs of sets are
+    never rows, and no task holds more than two parts.
+    """
+    long = crossing.where(F.col("listed") > LONG_LIST)
+    homes = stored(long.groupBy("rep", "component").agg(F.max(F.struct("listed", "token"))["token"].alias("cluster")), "homes")
+    parts = homes.groupBy("cluster").agg(F.ceil(F.count("*") / F.lit(PART)).cast("int").alias("parts"))
+    dealt = homes.join(parts, "cluster").withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
+    packed = dealt.join(sets, "rep").select("cluster", "part", "rep", F.col("n_shingles").cast("long").alias("n_shingles"), "component", "shared")
+    packed = stored(packed.groupBy("cluster", "part").applyInArrow(_packed, "cluster bigint, part int, reps array<bigint>, sizes array<bigint>, components array<bigint>, sets binary"), "parts")
+    on = long.select("token", "rep").join(homes.select("rep", "cluster"), "rep").select("token", "cluster").distinct()
+    met = on.join(on.withColumnRenamed("cluster", "cluster_b"), "token").where("cluster <= cluster_b").select("cluster", "cluster_b").distinct()
+    met = met.join(parts, "cluster").join(parts.select(F.col("cluster").alias("cluster_b"), F.col("parts").alias("parts_b")), "cluster_b")
+    met = met.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("part_b", F.explode(F.sequence(F.lit(0), F.col("parts_b") - 1)))
+    met = met.where("cluster < cluster_b or part <= part_b").select("cluster", "part", "cluster_b", "part_b")
+    other = packed.select(*[F.col(c).alias(f"{c}_b") for c in packed.columns])
+    pairs = met.join(packed, ["cluster", "part"]).join(other, ["cluster_b", "part_b"])
+    columns = ("reps", "sizes", "components", "sets")
+    return pairs.select(*columns, *[f"{c}_b" for c in columns]).mapInArrow(_link_parts(percent), "a bigint, b bigint")
+
+
 def joined_sets(sets: DataFrame, percent: int = PERCENT, rounds: int = ROUNDS) -> DataFrame:
     """(rep, component) of the sets (rep, n_shingles, shared) that link to another one."""
-    prefixes = stored(sets.select("rep", "n_shingles", "shared").mapInArrow(_prefixes(percent), "token bigint, rep bigint, ell int"), "prefixes")
-    links = None
-    found = None
+    schema = "token bigint, rep bigint, ell int, n_shingles int, n_shared int"
+    prefixes = stored(sets.select("rep", "n_shingles", "shared").mapInArrow(_prefixes(percent, schema), schema), "prefixes")
+    links, found = None, None
     for turn in range(rounds + 1):
         if found is None:
             placed = prefixes.withColumn("component", F.col("rep"))
         else:
             placed = prefixes.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
         if turn < rounds:
-            pairs = _drawn(placed, turn)
+            new = verified(_drawn(placed, turn), sets, percent).where("linked").select("a", "b")
         else:
-            crossing = placed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("token")
-            left = placed.join(crossing, "token")
-            right = left.select("token", F.col("rep").alias("b"), F.col("ell").alias("ell_b"), F.col("component").alias("component_b"))
-            met = left.join(right, "token").where((F.col("rep") < F.col("b")) & (F.col("component") != F.col("component_b")))
-            met = met.groupBy(F.col("rep").alias("a"), "b").agg(F.count("*").alias("n"), F.min(F.least("ell", "ell_b")).alias("asked"))
-            pairs = met.where("n >= asked").select("a", "b")
-        new = stored(verified(pairs, sets, percent).where("linked").select("a", "b"), "links")
+            crossing = stored(_crossing(placed), "crossing")
+            new = verified(_short_list_pairs(crossing, percent), sets, percent).where("linked").select("a", "b")
+            new = new.union(_long_list_links(crossing, sets, percent))
+        new = stored(new, "links")
         links = new if links is None else links.union(new)
         if turn == rounds or not new.isEmpty():
             found = components(links)
