@@ -66,7 +66,7 @@ def _requests(buckets: int, block_bytes: int, order: int):
             every = np.concatenate([g[g != TOTAL] for g in grams])
             keys, counts = np.unique(every, return_counts=True)
             keys, counts = np.concatenate([[TOTAL], keys]), np.concatenate([[len(doc)], counts])
-            rows = [own_row(block, squeeze_bytes(lowered), pack_ids(ids))]
+            rows = []
             for b, (start, end) in enumerate(pairwise(by_bucket(keys, buckets))):
                 if end > start:
                     rows.append(key_row(block, b, squeeze_sorted(keys[start:end]), squeeze(counts[start:end].astype(np.uint32))))
@@ -75,6 +75,14 @@ def _requests(buckets: int, block_bytes: int, order: int):
     return run
 
 
+def _blocks(block_bytes: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, ids, held in in_blocks(batches, block_bytes):
+            yield exchange_batch([own_row(block, squeeze_bytes([text.encode().lower() for text in held]), pack_ids(ids))])
+
+    return run
+
+
 def _without_own(doc: np.ndarray, grams: np.ndarray, keys: np.ndarray, totals: np.ndarray) -> np.ndarray:
     """Counts of each place's n-gram in the other documents (0 where there is no n-gram)."""
     order = np.lexsort((grams, doc))
@@ -128,9 +136,15 @@ def _scored(order: int, discount: float):
 
 
 def backoff_scores(docs: DataFrame, order: int = ORDER, discount: float = DISCOUNT, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Sum and mean of the log scores of every document, and how many places were scored at each order."""
-    requests = texts(docs).mapInArrow(_requests(bucket_count(docs.sparkSession), block_bytes, order), EXCHANGE)
-    return finished(answered(requests, merged_counts), _scored(order, discount), SCORES)
+    """Sum and mean of the log scores of every document, and how many places were scored at each order.
+
+    The documents are read twice, for the requests and for the blocks that wait for the answers, and
+    must come in the same order both times, as from a table of files; otherwise the job fails.
+    """
+    rows = texts(docs)
+    requests = rows.mapInArrow(_requests(bucket_count(docs.sparkSession), block_bytes, order), EXCHANGE)
+    blocks = rows.mapInArrow(_blocks(block_bytes), EXCHANGE)
+    return finished(answered(requests, merged_counts).union(blocks), _scored(order, discount), SCORES)
 
 
 def op4_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

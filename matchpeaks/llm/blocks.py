@@ -13,6 +13,7 @@ own row), ``data`` and ``more`` (packed bytes).
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -35,19 +36,22 @@ def bucket_count(spark: SparkSession) -> int:
 
 
 def in_blocks(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[tuple[str, list, list[str]]]:
-    """(block id, doc ids, texts); the id is the same when a lost task is run again."""
+    """(block id, doc ids, texts); the id is the same when a task is run again on the same rows."""
     task, n, size = TaskContext.get().partitionId(), 0, 0
     ids: list = []
     held: list[str] = []
+
+    def name() -> str:
+        return f"{task}-{n}-{zlib.crc32(repr([(i, len(t)) for i, t in zip(ids, held)]).encode()):08x}"
     for doc_id, text in pairs(batches):
         ids.append(doc_id)
         held.append(text)
         size += len(text)
         if size >= block_bytes:
-            yield f"{task}-{n}", ids, held
+            yield name(), ids, held
             ids, held, size, n = [], [], 0, n + 1
     if ids:
-        yield f"{task}-{n}", ids, held
+        yield name(), ids, held
 
 
 def own_row(block: str, data: bytes, more: bytes) -> tuple:
@@ -85,6 +89,8 @@ def finished(answers: DataFrame, finish: Callable[[bytes, bytes, list[bytes]], I
 
     def run(group: pa.Table) -> pa.Table:
         group = group.sort_by("bucket")
+        if group.column("bucket")[0].as_py() >= 0:
+            raise RuntimeError("the documents came in another order the second time; store them first")
         data, more = group.column("data").to_pylist(), group.column("more").to_pylist()
         return pa.Table.from_batches(list(finish(data[0], more[0], data[1:])), schema=out)
 
