@@ -26,8 +26,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .blocks import BLOCK_BYTES, EXCHANGE, answered, bucket_count, by_bucket, exchange_batch, finished, in_blocks, key_row, merged_counts, own_row, pack_ids, squeeze, squeeze_bytes, squeeze_sorted, unpack_ids, unsqueeze, unsqueeze_bytes
-from .common import arrow_schema, as_batch, table, texts
+from .blocks import BLOCK_BYTES, EXCHANGE, answered, bucket_count, by_bucket, exchange_batch, finished, in_blocks, key_row, merged_counts, numbered, own_row, pack_ids, squeeze, squeeze_bytes, squeeze_sorted, unpack_ids, unsqueeze, unsqueeze_bytes
+from .common import arrow_schema, as_batch, table
 from .hashing import BASE, groups_of, mixed, word_hashes
 
 ORDER, DISCOUNT = 3, 0.4
@@ -141,7 +141,7 @@ def backoff_scores(docs: DataFrame, order: int = ORDER, discount: float = DISCOU
     The documents are read twice, for the requests and for the blocks that wait for the answers, and
     must come in the same order both times, as from a table of files; otherwise the job fails.
     """
-    rows = texts(docs)
+    rows = numbered(docs)
     requests = rows.mapInArrow(_requests(bucket_count(docs.sparkSession), block_bytes, order), EXCHANGE)
     blocks = rows.mapInArrow(_blocks(block_bytes), EXCHANGE)
     return finished(answered(requests, merged_counts).union(blocks), _scored(order, discount), SCORES)

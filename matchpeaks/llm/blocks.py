@@ -19,11 +19,10 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import arrow_schema, pairs
+from .common import arrow_schema, pairs, texts
 
 BLOCK_BYTES = 8 << 20
 EXCHANGE = "key string, block string, bucket int, data binary, more binary"
@@ -36,14 +35,14 @@ def bucket_count(spark: SparkSession) -> int:
 
 
 def in_blocks(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[tuple[str, list, list[str]]]:
-    """(block id, doc ids, texts); the id is the same when a task is run again on the same rows."""
-    task, n, size = TaskContext.get().partitionId(), 0, 0
+    """(block id, doc ids, texts) of rows from ``numbered``; the id is the same when the same rows are read again."""
+    task, n, size = 0, 0, 0
     ids: list = []
     held: list[str] = []
 
     def name() -> str:
         return f"{task}-{n}-{zlib.crc32(repr([(i, len(t)) for i, t in zip(ids, held)]).encode()):08x}"
-    for doc_id, text in pairs(batches):
+    for doc_id, text, task in pairs(batches):
         ids.append(doc_id)
         held.append(text)
         size += len(text)
@@ -54,6 +53,11 @@ def in_blocks(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[t
         yield name(), ids, held
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """doc_id and text with the number of the input partition; it doesn't change where the rows become part of a union."""
+    return texts(df).withColumn("task", F.spark_partition_id())
+
+
 def own_row(block: str, data: bytes, more: bytes) -> tuple:
     return f"d{block}", block, -1, data, more
 

@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from .blocks import EXCHANGE, answered, bucket_count, by_frequency, exchange_batch, finished, in_blocks, key_row, own_row, squeeze, squeeze_bytes, squeeze_codes, unsqueeze, unsqueeze_bytes, unsqueeze_codes
-from .common import arrow_schema, as_batch, table, texts
+from .blocks import EXCHANGE, answered, bucket_count, by_frequency, exchange_batch, finished, in_blocks, key_row, numbered, own_row, squeeze, squeeze_bytes, squeeze_codes, unsqueeze, unsqueeze_bytes, unsqueeze_codes
+from .common import arrow_schema, as_batch, table
 
 #: Characters of a block; a larger one repeats fewer words, and its list of distinct words still takes little memory.
 BLOCK = 16 << 20
@@ -161,7 +161,7 @@ def encode(df: DataFrame, path: str | None = None, block_bytes: int = BLOCK, dig
     """
     path = path or public_tokenizers.path(VOCABULARY)
     schema = DIGESTS if digests else ENCODED
-    requests = texts(df).mapInArrow(_requests(bucket_count(df.sparkSession), block_bytes), EXCHANGE)
+    requests = numbered(df).mapInArrow(_requests(bucket_count(df.sparkSession), block_bytes), EXCHANGE)
     return finished(answered(requests, _encode_once(path)), _rebuilt(path, schema, digests), schema)
 
 

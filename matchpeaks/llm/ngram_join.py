@@ -31,8 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .blocks import BLOCK_BYTES, EXCHANGE, answered, bucket_count, by_bucket, exchange_batch, finished, in_blocks, key_row, merged_counts, own_row, pack_ids, squeeze, squeeze_bytes, squeeze_sorted, unpack_ids, unsqueeze, unsqueeze_bytes, unsqueeze_sorted
-from .common import arrow_schema, as_batch, stored, table, texts
+from .blocks import BLOCK_BYTES, EXCHANGE, answered, bucket_count, by_bucket, exchange_batch, finished, in_blocks, key_row, merged_counts, numbered, own_row, pack_ids, squeeze, squeeze_bytes, squeeze_sorted, unpack_ids, unsqueeze, unsqueeze_bytes, unsqueeze_sorted
+from .common import arrow_schema, as_batch, stored, table
 from .components import components
 from .hashing import mixed, shingles
 
@@ -104,7 +104,7 @@ def document_sets(df: DataFrame, words: int = WORDS, percent: int = PERCENT, blo
 
     Of equal sets in a block only one carries its tokens.
     """
-    requests = texts(df).mapInArrow(_requests(bucket_count(df.sparkSession), block_bytes, words), EXCHANGE)
+    requests = numbered(df).mapInArrow(_requests(bucket_count(df.sparkSession), block_bytes, words), EXCHANGE)
     return finished(answered(requests, merged_counts), _sets(words, percent), SETS)
 
 

@@ -34,9 +34,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .blocks import BLOCK_BYTES, EXCHANGE, answered, bucket_count, by_bucket, exchange_batch, finished, in_blocks, key_row, own_row, pack_ids, squeeze, squeeze_bytes, squeeze_sorted, unpack_ids, unsqueeze, unsqueeze_bytes, unsqueeze_sorted
+from .blocks import BLOCK_BYTES, EXCHANGE, answered, bucket_count, by_bucket, exchange_batch, finished, in_blocks, key_row, numbered, own_row, pack_ids, squeeze, squeeze_bytes, squeeze_sorted, unpack_ids, unsqueeze, unsqueeze_bytes, unsqueeze_sorted
 from .column_bwt import collection, suffixes
-from .common import arrow_schema, as_batch, stored, table, texts
+from .common import arrow_schema, as_batch, stored, table
 from .hashing import groups_of, mixed, powers, prefix_sums, stretch_hashes
 
 SPAN, GRAM = 100, 24
@@ -254,7 +254,7 @@ def _cut(span: int, schema: str, digests: bool):
 def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, digests: bool = False, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """What is left of every document, or its digest, with the numbers of removed bytes and runs."""
     buckets, schema = bucket_count(docs.sparkSession), DIGESTS if digests else KEPT
-    blocks = stored(texts(docs).mapInArrow(_blocks(block_bytes), EXCHANGE), "blocks")
+    blocks = stored(numbered(docs).mapInArrow(_blocks(block_bytes), EXCHANGE), "blocks")
     # A block's own row names its block to the steps that get no key.
     own = blocks.withColumn("more", F.concat(F.concat(F.expr("unhex(lpad(hex(length(block)), 2, '0'))"), F.unhex(F.lit("000000"))), F.encode("block", "UTF-8"), F.col("more")))
     requests = blocks.select("block", "data", "more").mapInArrow(_requests(buckets, span, gram), EXCHANGE)
