@@ -380,6 +380,31 @@ def oracle_sql() -> dict[str, str]:
     sql["snapshot_roundtrip"] = sql["record_detect"]
     sql["stream_refresh"] = sql["record_detect"]
     sql["stream_ingest"] = DOCUMENT_ROWS
+    # One step for each kept row: the first one behind it that the rows kept so far allow.
+    sql["cap_in_order"] = f"""WITH RECURSIVE {EVENTS_K},
+        listed AS (
+            SELECT user_id AS source_nickname, 'value' AS metric, k AS match_id,
+                   event_type || '_' || hour(ts) AS champion, event_id,
+                   user_id || '/' || k AS key
+            FROM g
+        ),
+        steps AS (
+            SELECT CAST(-1 AS BIGINT) AS event_id, CAST([] AS VARCHAR[]) AS champions,
+                   CAST([] AS VARCHAR[]) AS keys
+            UNION ALL
+            SELECT n.event_id, list_append(champions, n.champion), list_append(keys, n.key)
+            FROM (
+                SELECT arg_min(listed, listed.event_id) AS n, any_value(champions) AS champions,
+                       any_value(keys) AS keys
+                FROM steps JOIN listed ON listed.event_id > steps.event_id
+                    AND NOT list_contains(keys, key)
+                    AND len(list_filter(champions, lambda c: c = champion)) < 3
+            ) WHERE n IS NOT NULL
+        )
+        SELECT source_nickname, metric, match_id, champion, event_id
+        FROM listed JOIN steps USING (event_id)"""
+    sql["daily_late_matches"] = DOCUMENT_ROWS
+    sql["stream_ingest_repeats"] = DOCUMENT_ROWS
     sql["stream_dedupe"] = "SELECT event_id, props FROM events"
     # Only documents that are complete get into the table.
     sql["daily_messages"] = MESSAGES.replace(

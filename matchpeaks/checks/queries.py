@@ -326,6 +326,11 @@ def _land(documents: DataFrame, path: str) -> None:
     by_day.write.partitionBy("load_date").text(path)
 
 
+def _append(documents: DataFrame, path: str) -> None:
+    by_day = documents.select("text", "load_date").hint("rebalance", F.col("load_date"))
+    by_day.write.mode("append").partitionBy("load_date").text(path)
+
+
 def read_landed_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written as landed JSON files, read back through the source."""
     root = scratch_dir(spark, "landing")
@@ -603,22 +608,22 @@ def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams ----------------------------------------------------------------
 
 
-def _trigger_stream(spark, sf_dir, root) -> DataFrame:
+def _trigger_stream(spark, sf_dir, root, files_per_batch=1000) -> DataFrame:
     """Every event as a trigger message, each sent twice."""
     sent = derived.events(spark, sf_dir).select(
         F.col("event_id").cast("string").alias("msg_id"),
         F.col("ts").cast("timestamp").alias("ts"),
         F.col("props").alias("payload"),
     )
-    triggers.publish_trigger(sent, f"{root}/in")
-    triggers.publish_trigger(sent, f"{root}/in")
-    return triggers.read_triggers(spark, f"{root}/in")
+    for _ in range(2):
+        triggers.publish_trigger(sent.repartition(4, F.xxhash64("msg_id")), f"{root}/in")
+    return triggers.read_triggers(spark, f"{root}/in", files_per_batch)
 
 
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The messages that were handled: each id once."""
+    """The messages that were handled: each id once, in batches that go back and forth in time."""
     root = scratch_dir(spark, "stream")
-    stream = triggers.dedupe_triggers(_trigger_stream(spark, sf_dir, root), "60 days")
+    stream = triggers.dedupe_triggers(_trigger_stream(spark, sf_dir, root, files_per_batch=4))
     query = triggers.on_trigger(stream, lambda batch, _: None, f"{root}/at", f"{root}/done")
     query.awaitTermination()
     return spark.read.parquet(f"{root}/done").select(
@@ -658,10 +663,38 @@ def daily_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     _land(derived.documents(spark, sf_dir), places.landing)
     roster = derived.roster(spark, sf_dir)
     as_of = dt.date.fromisoformat(AS_OF)
-    daily.daily_ingest(spark, places, roster, as_of, days=31)
+    daily.daily_ingest(spark, places, roster, as_of, days=32)
     return daily.current_messages(spark, places, roster, as_of).drop("roster_ord", "metric_ord")
 
 
+def daily_late_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that land after others of their player-day, and in a later folder, are loaded.
+
+    A third of them land for the first run; the second finds all, three days later.
+    """
+    places = daily.Places(scratch_dir(spark, "daily"))
+    found = derived.documents(spark, sf_dir)
+    roster = derived.roster(spark, sf_dir)
+    as_of = dt.date.fromisoformat(AS_OF)
+    _land(found.where("event_id % 3 = 0"), places.landing)
+    daily.daily_ingest(spark, places, roster, as_of, days=32)
+    _land(found.withColumn("load_date", F.date_add("load_date", 3)), f"{places.root}/late")
+    late = daily.Places(places.root, landing_folder="late")
+    for _ in range(2):
+        daily.daily_ingest(spark, late, roster, as_of + dt.timedelta(days=4), days=36)
+    return _participant_view(daily.read_table(spark, places))
+
+
+def stream_ingest_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document lands twice, in files of different batches."""
+    root = scratch_dir(spark, "stream")
+    for _ in range(2):
+        _append(derived.documents(spark, sf_dir), f"{root}/landing")
+    documents = stream_ingest_job.stream_matches(spark, f"{root}/landing", files_per_batch=16)
+    stream_ingest_job.ingest_stream(documents, f"{root}/table", f"{root}/at").awaitTermination()
+    return _participant_view(partitions.read_partitions(spark, f"{root}/table"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = [
         record_detect,
@@ -715,6 +748,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         stream_dedupe,
         stream_refresh,
         stream_ingest,
+        stream_ingest_repeats,
         daily_messages,
+        daily_late_matches,
     ]
     return {query.__name__: query for query in listed}

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..fixed_values import INGEST_DAYS, MATCHES_PER_PLAYER_DAY, META_COLUMNS
-from ..functions.dates import ingest_days
-from ..functions.text import path_key, strip_isolates
+from ..functions.dates import epoch_ms_to_date, ingest_days
+from ..functions.text import is_player_id, path_key, strip_isolates
 from ..schemas import quoted
-from .ranking import top_per_group
+from .ranking import first_per_key, top_per_group
 
 
 def flatten_match(documents: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -53,6 +53,32 @@ def distinct_participants(rows: DataFrame) -> DataFrame:
     )
 
 
+def check_roster(roster: DataFrame) -> None:
+    """An id without a tag is an error, before anything is loaded."""
+    wrong = roster.where(~F.coalesce(is_player_id(F.col("nickname")), F.lit(False)))
+    row = wrong.select("nickname").first()
+    if row is not None:
+        raise ValueError(f"no player id: {row['nickname']!r}")
+
+
+def own_day(documents: DataFrame) -> DataFrame:
+    """Documents under the day their game began on, whichever folder they landed in."""
+    return documents.withColumn("load_date", epoch_ms_to_date(F.col("info.gameCreation")))
+
+
+def new_matches(documents: DataFrame, landed: DataFrame) -> DataFrame:
+    """Documents whose (player, match) is not in ``landed`` yet, each once.
+
+    Anti-join and repeats go by the same key, so documents are shuffled once. The player is
+    compared by id; the path form of an id may belong to two players.
+    """
+    key = ["source_nickname", "match"]
+    keyed = documents.withColumn("match", F.col("metadata.matchId"))
+    known = landed.select("source_nickname", F.col("`metadata.matchId`").alias("match"))
+    fresh = keyed.join(known.distinct(), key, "left_anti")
+    return first_per_key(fresh, key, [F.col("info.gameCreation").desc()])
+
+
 def ingest_grid(roster: DataFrame, as_of=None, days: int = INGEST_DAYS) -> DataFrame:
     """Every player with each of the last ``days`` days; no join involved."""
     return roster.select("*", F.explode(ingest_days(as_of, days)).alias("load_date")).withColumn(

@@ -9,28 +9,24 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..fixed_values import (
-    INGEST_DAYS,
-    MATCHES_PER_PLAYER_DAY,
-    STALE_AFTER_SECONDS,
-)
+from ..fixed_values import INGEST_DAYS, STALE_AFTER_SECONDS
 from ..functions.dates import as_of_date
-from ..functions.text import path_key
+from ..functions.text import path_key, strip_isolates
 from ..metrics import MetricSpec, match_metrics
 from ..operators.ingest import (
     add_source,
-    ingest_grid,
+    check_roster,
     limit_per_day,
-    missing_partitions,
+    new_matches,
+    own_day,
     participants_of,
 )
 from ..operators.messages import build_messages, number_messages
-from ..operators.ranking import first_per_key
 from ..operators.records import GameTable, match_games, record_detect
 from ..operators.weekly import weekly_avg_kda
 from ..schemas import RAW
-from ..sources.matches import read_matches, valid_matches
-from ..sources.partitions import list_partitions, write_partitions
+from ..sources.matches import landed_matches, read_matches, rejected_matches, valid_matches
+from ..sources.partitions import write_partitions
 from ..sources.snapshots import load_snapshot, write_snapshot
 from ..streaming.ingest import ingest_stream, stream_matches
 from ..streaming.triggers import dedupe_triggers, on_trigger, read_triggers
@@ -41,10 +37,11 @@ class Places:
     """Where the tables live."""
 
     root: str
+    landing_folder: str = "landing"
 
     @property
     def landing(self) -> str:
-        return f"{self.root}/landing"
+        return f"{self.root}/{self.landing_folder}"
 
     @property
     def participants(self) -> str:
@@ -74,6 +71,10 @@ class Places:
     def rejected(self) -> str:
         return f"{self.root}/rejected"
 
+    @property
+    def rejected_daily(self) -> str:
+        return f"{self.root}/rejected_daily"
+
     @property
     def checkpoints(self) -> str:
         return f"{self.root}/checkpoints"
@@ -103,29 +104,36 @@ def daily_ingest(
     roster: DataFrame,
     as_of: dt.date | None = None,
     days: int = INGEST_DAYS,
-    per_day: int = MATCHES_PER_PLAYER_DAY,
+    per_day: int | None = None,
 ) -> None:
-    """Land the documents of player-days that are not in the table yet.
-
-    A match found twice for a player and day counts once. Running the job again
-    adds nothing. The day range prunes landing folders, and the
-    list of player-days already there is read from two columns only.
+    """Land the roster's documents that are not in the table yet.
+
+    Documents filed in the landing folders of the last ``days`` days are looked at. Each goes to
+    the day its game began on. A match is known by player id and match id, so one that
+    arrives after others of its day, or in another folder, is loaded as well; found
+    twice, it counts once. Running the job again adds nothing. ``per_day`` keeps that many newest matches of a
+    player and day only; by default nothing is left out. Documents that are none are
+    kept by run under ``rejected_daily``.
     """
+    check_roster(roster)
     day = as_of_date(as_of)
-    wanted = F.col("load_date").between(F.date_sub(day, days), F.date_sub(day, 1))
-    landed = list_partitions(read_table(spark, places).where(wanted))
-    missing = missing_partitions(ingest_grid(roster, as_of, days), landed)
-    documents = valid_matches(read_matches(spark, places.landing).where(wanted))
-    due = (
-        add_source(documents, F.col("source_nickname"))
-        .withColumn("player_key", path_key(F.col("source_nickname")))
-        .join(missing, ["load_date", "player_key"], "left_semi")
-    )
-    due = due.withColumn("match", F.col("metadata.matchId"))
-    newest = [F.col("info.gameCreation").desc(), F.col("match").desc()]
-    once = first_per_key(due, ["player_key", "load_date", "match"], newest)
-    kept = limit_per_day(once, "player_key", "load_date", newest, per_day)
-    rows = participants_of(kept, ("source_nickname", "load_date", "player_key"))
+    filed = F.col("load_date").between(F.date_sub(day, days), F.date_sub(day, 1))
+    found = read_matches(spark, places.landing).where(filed)
+    run = F.date_format(day, "yyyy-MM-dd").alias("run")
+    rejects = rejected_matches(found).withColumn("run", run)
+    rejects.write.mode("overwrite").partitionBy("run").parquet(places.rejected_daily)
+    tracked = roster.select(strip_isolates(F.col("nickname")).alias("source_nickname")).distinct()
+    documents = add_source(valid_matches(found), F.col("source_nickname"))
+    due = own_day(documents).join(tracked, "source_nickname", "left_semi")
+    landed = landed_matches(spark, places.participants, due)
+    if landed is None:
+        return
+    fresh = new_matches(due, landed)
+    if per_day is not None:
+        newest = [F.col("info.gameCreation").desc(), F.col("match").desc()]
+        fresh = limit_per_day(fresh, "source_nickname", "load_date", newest, per_day)
+    keyed = fresh.withColumn("player_key", path_key(F.col("source_nickname")))
+    rows = participants_of(keyed, ("source_nickname", "load_date", "player_key"))
     write_partitions(rows, places.participants)
 
 
@@ -198,9 +206,9 @@ def serve_triggers(
 
 
 def stream_ingest(spark: SparkSession, places: Places) -> StreamingQuery:
-    """Land new files as they come, into the table :func:`daily_ingest` fills.
+    """Land new files as they come, into a table like the one :func:`daily_ingest` fills.
 
-    Use one of the two for a table: this one goes by file, the other by player-day.
+    Use one of the two for a table: their folders differ.
     """
     return ingest_stream(
         stream_matches(spark, places.landing),

@@ -5,8 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.ingest import add_source, participants_of
-from ..sources.matches import CORRUPT, match_schema, rejected_matches, valid_matches
+from ..operators.ingest import add_source, new_matches, own_day, participants_of
+from ..sources.matches import (
+    CORRUPT,
+    landed_matches,
+    match_schema,
+    rejected_matches,
+    valid_matches,
+)
 from ..sources.partitions import with_player_key
 from .triggers import FILES_PER_BATCH, write_by_batch
 
@@ -27,16 +33,20 @@ def stream_matches(
 def ingest_stream(
     documents: DataFrame, table_path: str, checkpoint: str, rejected_path: str | None = None
 ) -> StreamingQuery:
-    """Append participant rows by load day and batch until the input is used up.
+    """Append participant rows by the day of the game and batch until the input is used up.
 
     A batch that was cut short is written again into the same folders, so rows
-    are neither lost nor doubled.
+    are neither lost nor doubled. A match that an earlier batch landed for the
+    player, or that a batch holds twice, counts once.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        rows = participants_of(valid_matches(batch), ("source_nickname", "load_date"))
-        rows = with_player_key(add_source(rows, F.col("source_nickname")))
-        write_by_batch(rows, batch_id, table_path, ("load_date",), ("player_key",))
+        documents = own_day(add_source(valid_matches(batch), F.col("source_nickname")))
+        landed = landed_matches(batch.sparkSession, table_path, documents, batch_id)
+        if landed is not None:
+            fresh = new_matches(documents, landed)
+            rows = with_player_key(participants_of(fresh, ("source_nickname", "load_date")))
+            write_by_batch(rows, batch_id, table_path, ("load_date",), ("player_key",))
         if rejected_path is not None:
             write_by_batch(rejected_matches(batch), batch_id, rejected_path)
 

@@ -29,19 +29,22 @@ def publish_trigger(messages: DataFrame, path: str) -> None:
 def dedupe_triggers(
     triggers: DataFrame, window: str = DUPLICATE_WINDOW, salted: bool = True
 ) -> DataFrame:
-    """Each message id once within ``window`` of event time.
+    """Each message id once within ``window`` of its arrival.
 
+    The window goes by the time a batch takes a message in, not by the time the message
+    bears: a message is never late, however old it is, and its first copy is always handled.
     A message sent over and over would meet in one task. Dropping repeats per
     input partition first leaves at most one row per partition for that id.
     """
-    marked = triggers.withWatermark("ts", window)
+    arrived = "__arrived"
+    marked = triggers.withColumn(arrived, F.current_timestamp()).withWatermark(arrived, window)
     if salted:
         marked = (
             marked.withColumn("__salt", F.spark_partition_id())
             .dropDuplicatesWithinWatermark(["msg_id", "__salt"])
             .drop("__salt")
         )
-    return marked.dropDuplicatesWithinWatermark(["msg_id"])
+    return marked.dropDuplicatesWithinWatermark(["msg_id"]).drop(arrived)
 
 
 def on_trigger(

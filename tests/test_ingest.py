@@ -233,11 +233,16 @@ def test_daily_jobs_end_to_end(spark, tmp_path):
     for _ in range(2):
         daily.daily_ingest(spark, places, roster, as_of, days=9)
         assert daily.read_table(spark, places).count() == 4
-    # A new file of a player-day that is there already is not loaded again.
-    land(landing, "2024-01-30", "Alpha#T1", [played("RU_4", 77, "2024-01-30T11:00:00")])
-    land(landing, "2024-01-29", "Бета#T1", [played("RU_5", 3, "2024-01-29T11:00:00", "Бета")])
+    # A file that comes after others of its player-day, and one filed under a later day.
+    land(landing, "2024-01-30", "Alpha#T1", [played("RU_4", 8, "2024-01-30T11:00:00")])
+    land(landing, "2024-01-30", "Бета#T1", [played("RU_5", 3, "2024-01-28T11:00:00", "Бета")])
     daily.daily_ingest(spark, places, roster, as_of, days=9)
-    assert daily.read_table(spark, places).count() == 6
+    table = daily.read_table(spark, places)
+    assert table.count() == 8
+    days = {r["metadata.matchId"]: str(r.load_date) for r in table.collect()}
+    assert days["RU_4"] == "2024-01-30" and days["RU_5"] == "2024-01-28"
+    rejects = spark.read.parquet(places.rejected_daily).collect()
+    assert [(r[matches.CORRUPT], str(r.run)) for r in rejects] == [("{", "2024-01-31")]
 
     daily.refresh_models(spark, places, roster, as_of)
     found = daily.current_messages(spark, places, roster, as_of).collect()
@@ -253,11 +258,57 @@ def test_daily_jobs_end_to_end(spark, tmp_path):
     assert spark.read.parquet(places.ledger).count() == 1
 
     weekly = daily.build_weekly(spark, places, roster, as_of).collect()
-    assert [(r.source_nickname, str(r.week_start), r.avg_kda) for r in weekly] == [
-        ("Alpha#T1", "2024-01-22", 5.0)
+    assert sorted((r.source_nickname, str(r.week_start), r.avg_kda) for r in weekly) == [
+        ("Alpha#T1", "2024-01-22", 5.0),
+        ("Бета#T1", "2024-01-22", 3.0),
     ]
 
 
+def test_players_with_one_path_form_are_two(spark, tmp_path):
+    places = daily.Places(str(tmp_path))
+    roster = roster_of(spark, ["A#B_1", "A_B#1"])
+    for match, player in (("RU_1", "A#B_1"), ("RU_2", "A_B#1"), ("RU_1", "A_B#1")):
+        target = tmp_path / "landing" / f"load_date={DAY}"
+        target.mkdir(parents=True, exist_ok=True)
+        body = {**document(match), "source_nickname": player}
+        (target / f"{match}-{player[1] == '#'}.json").write_text(json.dumps(body))
+    for _ in range(2):
+        daily.daily_ingest(spark, places, roster, "2024-01-31")
+        rows = daily.read_table(spark, places).collect()
+        found = sorted((r["metadata.matchId"], r.source_nickname) for r in rows)
+        assert found == [("RU_1", "A#B_1"), ("RU_1", "A_B#1"), ("RU_2", "A_B#1")]
+
+
+def test_no_day_is_capped_unless_asked_for(spark, tmp_path):
+    places = daily.Places(str(tmp_path))
+    roster = roster_of(spark, ["Alpha#T1"])
+    land(tmp_path / "landing", DAY, "Alpha#T1", [document(f"RU_{i}") for i in range(130)])
+    daily.daily_ingest(spark, places, roster, "2024-01-31")
+    assert daily.read_table(spark, places).count() == 130
+    capped = daily.Places(str(tmp_path / "capped"), landing_folder="../landing")
+    daily.daily_ingest(spark, capped, roster, "2024-01-31", per_day=100)
+    assert daily.read_table(spark, capped).count() == 100
+
+
+def test_malformed_ids_and_empty_landing(spark, tmp_path):
+    places = daily.Places(str(tmp_path))
+    with pytest.raises(ValueError, match="NoTag"):
+        daily.daily_ingest(spark, places, roster_of(spark, ["Alpha#T1", "NoTag"]), "2024-01-31")
+    land(tmp_path / "landing", DAY, "Stranger#T1", [document("RU_1")])
+    daily.daily_ingest(spark, places, roster_of(spark, ["Alpha#T1"]), "2024-01-31")
+    assert daily.read_table(spark, places).count() == 0
+
+
+def test_documents_cross_one_shuffle(spark, tmp_path):
+    land(tmp_path, DAY, "Alpha#T1", [document("RU_1")])
+    documents = ingest.own_day(matches.valid_matches(matches.read_matches(spark, str(tmp_path))))
+    landed = spark.createDataFrame([], RAW).select("source_nickname", "`metadata.matchId`")
+    plan = ingest.new_matches(documents, landed.hint("merge"))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(exchanges) == 2 and sum("match#" in line for line in exchanges) == 2
+
+
 def test_streamed_table_has_the_stored_schema(spark, tmp_path):
     places = daily.Places(str(tmp_path))
     land(tmp_path / "landing", "2024-01-30", "Alpha#T1", [document("RU_1")])

@@ -55,6 +55,14 @@ def test_state_is_kept_without_a_ledger(spark, tmp_path):
     assert handled == [["a", "b", "c", "d"], ["e"], ["f"]]
 
 
+def test_an_older_message_is_never_late(spark, tmp_path):
+    root, handled = str(tmp_path), []
+    for minute, name in ((10, "a"), (0, "late"), (11, "c"), (-600, "later"), (0, "late")):
+        send(spark, f"{root}/in", name, minute=minute)
+        run(spark, root, lambda batch, _: handled.extend(r.msg_id for r in batch.collect()))
+    assert handled == ["a", "late", "c", "later"]
+
+
 def test_a_failed_refresh_comes_again(spark, tmp_path):
     root = str(tmp_path)
     seen = []
@@ -93,6 +101,16 @@ def test_each_file_is_ingested_once(spark, tmp_path):
     assert keys == {"Alpha_T1", "Бета_T1"}
 
 
+def test_a_match_landed_again_counts_once(spark, tmp_path):
+    landing, table = tmp_path / "landing", str(tmp_path / "table")
+    for day in ("2024-01-30", "2024-01-31", "2024-01-31"):
+        land(landing, day, "Alpha#T1", [document("RU_1"), document("RU_1"), document("RU_2")])
+        stream = ingest.stream_matches(spark, str(landing), files_per_batch=1)
+        ingest.ingest_stream(stream, table, str(tmp_path / "at")).awaitTermination()
+    rows = spark.read.parquet(table).collect()
+    assert sorted(r["metadata.matchId"] for r in rows) == ["RU_1", "RU_2"]
+
+
 def test_a_batch_of_one_day_is_written_by_all_its_tasks(spark, tmp_path):
     rows = spark.range(1000, numPartitions=4).withColumn("load_date", F.lit("2024-01-30"))
     triggers.write_by_batch(rows, 0, str(tmp_path / "t"), ("load_date",))
