@@ -403,6 +403,9 @@ def oracle_sql() -> dict[str, str]:
         )
         SELECT source_nickname, metric, match_id, champion, event_id
         FROM listed JOIN steps USING (event_id)"""
+    sql["drifted_documents"] = (
+        f"SELECT * FROM ({DOCUMENT_ROWS}) WHERE CAST(substr(match_id, 4) AS BIGINT) % 5 <> 3"
+    )
     sql["daily_late_matches"] = DOCUMENT_ROWS
     sql["stream_ingest_repeats"] = DOCUMENT_ROWS
     sql["stream_dedupe"] = "SELECT event_id, props FROM events"

@@ -340,6 +340,19 @@ def read_landed_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _participant_view(rows)
 
 
+def drifted_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kills as 5.0, as "5" and as "x": the first two are read, the third is rejected."""
+    root = scratch_dir(spark, "landing")
+    found = derived.documents(spark, sf_dir)
+    text = F.col("text")
+    for rest, kills in ((1, "$1.0"), (2, '"$1"'), (3, '"x"')):
+        drifted = F.regexp_replace(text, r'(?<="kills":)(\d+)', kills)
+        text = F.when(F.col("event_id") % 5 == rest, drifted).otherwise(text)
+    _land(found.withColumn("text", text), root)
+    documents = matches.valid_matches(matches.read_matches(spark, root))
+    return _participant_view(ingest.participants_of(documents, ("source_nickname",)))
+
+
 def ingest_grid_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     grid = ingest.ingest_grid(derived.event_roster(spark, sf_dir), AS_OF)
     landed = derived.events(spark, sf_dir).select(
@@ -726,6 +739,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         rejected_matches,
         distinct_participants,
         read_landed_matches,
+        drifted_documents,
         ingest_grid_missing,
         json_map,
         conform_schema,

@@ -11,6 +11,12 @@ from ..schemas import MATCH, RAW, quoted
 
 CORRUPT = "_corrupt_record"
 
+# Values of JSON fields that are whole numbers in another dress: 5.0, and "7" without leading zeros.
+DRIFTED_NUMBERS = (
+    (r'("\s*:\s*-?\d+)\.0+(?=\s*[,}\]])', "$1"),
+    (r'("\s*:\s*)"(-?(?:0|[1-9]\d{0,17}))"(?=\s*[,}\]])', "$1$2"),
+)
+
 # What landing adds to a document, as folder levels or (the player) as a field.
 # Declared types keep a player called "007" a text.
 LANDING_LEVELS = T.StructType(
@@ -35,7 +41,7 @@ def read_matches(
     document. One document per line, or one per file. Text that is no document
     is kept in ``_corrupt_record``.
     """
-    return (
+    return mended(
         spark.read.schema(match_schema(levels))
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
@@ -44,6 +50,28 @@ def read_matches(
     )
 
 
+def mended(documents: DataFrame) -> DataFrame:
+    """Documents that one value of another type spoiled, read again with whole numbers as such.
+
+    ``5.0`` and ``"7"`` in the place of a whole number are that number. Only texts that the first
+    reading put aside are touched. What still doesn't fit stays in ``_corrupt_record``.
+    """
+    text = F.col(CORRUPT)
+    for drifted, whole in DRIFTED_NUMBERS:
+        text = F.regexp_replace(text, drifted, whole)
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    schema = T.StructType(MATCH.fields + [T.StructField(CORRUPT, T.StringType())])
+    again = documents.withColumn("__again", F.from_json(text, schema, options))
+    fits = F.col("__again").isNotNull() & F.col(f"__again.{CORRUPT}").isNull()
+    fits = fits & (F.col("__again.metadata").isNotNull() | F.col("__again.info").isNotNull())
+    parts = {
+        name: F.when(fits, F.col(f"__again.{name}")).otherwise(F.col(name))
+        for name in MATCH.fieldNames()
+    }
+    parts[CORRUPT] = F.when(~F.coalesce(fits, F.lit(False)), F.col(CORRUPT))
+    return again.withColumns(parts).drop("__again")
+
+
 def parse_matches(df: DataFrame, text: str = "text") -> DataFrame:
     """Documents held as JSON text in a column; other columns are kept.
 
@@ -64,14 +92,23 @@ def _has_meta() -> Column:
     return complete
 
 
+def _complete(documents: DataFrame) -> Column:
+    if CORRUPT not in documents.columns:
+        return _has_meta()
+    return _has_meta() & F.col(CORRUPT).isNull()
+
+
 def valid_matches(documents: DataFrame) -> DataFrame:
-    """Documents that have both parts and all six meta values."""
-    return documents.where(_has_meta())
+    """Documents that have both parts and all six meta values, and no value that doesn't fit.
+
+    A meta value that is an explicit null counts as missing.
+    """
+    return documents.where(_complete(documents))
 
 
 def rejected_matches(documents: DataFrame) -> DataFrame:
     """Exactly the documents :func:`valid_matches` leaves out."""
-    return documents.where(~F.coalesce(_has_meta(), F.lit(False)))
+    return documents.where(~F.coalesce(_complete(documents), F.lit(False)))
 
 
 def read_participants(spark: SparkSession, path: str, schema: T.StructType = RAW) -> DataFrame:

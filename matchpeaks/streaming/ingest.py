@@ -10,6 +10,7 @@ from ..sources.matches import (
     CORRUPT,
     landed_matches,
     match_schema,
+    mended,
     rejected_matches,
     valid_matches,
 )
@@ -21,7 +22,7 @@ def stream_matches(
     spark: SparkSession, landing: str, files_per_batch: int = FILES_PER_BATCH
 ) -> DataFrame:
     """The landing folder as a stream of documents."""
-    return (
+    return mended(
         spark.readStream.schema(match_schema())
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)

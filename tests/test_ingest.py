@@ -51,6 +51,20 @@ def test_valid_and_rejected_documents(spark, tmp_path):
     assert {r.source_nickname for r in rejected} == {"Alpha#T1"}
 
 
+def test_drifted_numbers(spark, tmp_path):
+    people = [{"kills": 5.0, "deaths": "7", "missions": {"x": 2.0}, "riotIdTagline": "12", "lane": "x: 5.0"}]
+    kept = [document("RU_1", people), document("RU_2", [{"kills": 3}])]
+    bad = [document("RU_3", [{"kills": "x"}]), document("RU_4", [{"missions": {"x": 1.5}}])]
+    land(tmp_path, DAY, "Alpha#T1", [*kept, *bad])
+    documents = matches.read_matches(spark, str(tmp_path))
+    rows = {r.metadata.matchId: r for r in matches.valid_matches(documents).collect()}
+    assert sorted(rows) == ["RU_1", "RU_2"]
+    player = rows["RU_1"].info.participants[0]
+    assert (player.kills, player.deaths, player.missions, player.lane) == (5, 7, {"x": 2}, "x: 5.0")
+    assert player.riotIdTagline == "12" and rows["RU_1"].source_nickname == "Alpha#T1"
+    assert matches.rejected_matches(documents).count() == 2
+
+
 def test_one_document_per_file(spark, tmp_path):
     target = tmp_path / f"load_date={DAY}"
     target.mkdir()
