@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import sql
 from .backoff_scores import op4_backoff_scores
 from .byte_bpe import op8_byte_bpe
 from .decontaminate import op5_decontaminate
@@ -34,4 +35,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_ngram_join": sql.NGRAM_JOIN, "op10_suffix_dedup": sql.SUFFIX_DEDUP}
