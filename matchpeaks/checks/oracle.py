@@ -403,6 +403,23 @@ def oracle_sql() -> dict[str, str]:
         )
         SELECT source_nickname, metric, match_id, champion, event_id
         FROM listed JOIN steps USING (event_id)"""
+    sql["materialized_view"] = WEEKLY_RATIO
+    sql["ordered_weeks"] = f"""
+        SELECT *, row_number() OVER (ORDER BY week_start DESC, source_nickname) AS pos,
+               count(*) OVER () AS total FROM ({WEEKLY_RATIO})"""
+    sql["ordered_messages"] = MESSAGES + """
+        SELECT row_number() OVER (ORDER BY roster_ord, metric_ord) AS pos,
+               source_nickname, metric, text FROM messages"""
+    sql["participant_table"] = DOCUMENT_ROWS
+    sql["snapshot_counts"] = """
+        SELECT CAST(1 AS BIGINT) AS seq, count(*) AS written_rows FROM events
+        UNION ALL SELECT 2, count(*) FROM orders"""
+    # Steps 2 and 3 see what step 1 and step 3 stored; step 1 still gets the old rows.
+    sql["snapshot_branches"] = """
+        SELECT CAST(step AS INTEGER) AS step, event_id
+        FROM (VALUES (0, 1), (1, 1), (2, 2), (3, 4), (4, 5)) AS served(step, every), events
+        WHERE event_id % every = 0"""
+    sql["stream_restart"] = "SELECT event_id, event_id % 2 AS batch_id FROM events"
     sql["drifted_documents"] = (
         f"SELECT * FROM ({DOCUMENT_ROWS}) WHERE CAST(substr(match_id, 4) AS BIGINT) % 5 <> 3"
     )

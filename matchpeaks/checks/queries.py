@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -180,6 +181,28 @@ def materialized_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weekly.order_weeks(spark.table(name))
 
 
+def materialized_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weekly model as a view of the session."""
+    name = "weekly_view_" + scratch_dir(spark, "view").rsplit("-", 1)[-1]
+    partitions.materialize_view(weekly_ratio(spark, sf_dir), name)
+    return spark.table(name)
+
+
+def _in_sequence(rows: DataFrame) -> DataFrame:
+    """Numbers the rows in the order they come in."""
+    placed = rows.withColumn("__place", F.monotonically_increasing_id())
+    return ranking.number_rows(placed, [F.col("__place")]).drop("__place")
+
+
+def ordered_weeks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _in_sequence(weekly.order_weeks(weekly_ratio(spark, sf_dir)))
+
+
+def ordered_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ordered = _in_sequence(messages.message_order(_messages(spark, sf_dir)))
+    return ordered.select("pos", "source_nickname", "metric", "text")
+
+
 def weekly_avg_kda_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each game's KDA rounded to one digit first, as exact decimals give it."""
     result = weekly.weekly_avg_kda(
@@ -596,6 +619,16 @@ def partition_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(name)
 
 
+def participant_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog table of participants, created first and filled afterwards."""
+    root = scratch_dir(spark, "participants")
+    name = "participants_" + root.rsplit("-", 1)[-1]
+    matches.create_participant_table(spark, name, root)
+    partitions.write_partitions(partitions.with_player_key(_participants(spark, sf_dir)), root)
+    partitions.register_all(spark, name)
+    return _participant_view(spark.table(name))
+
+
 def list_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "partitions")
     rows = derived.events(spark, sf_dir).select(
@@ -618,6 +651,27 @@ def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshots.load_snapshot(spark, root, compute)
 
 
+def snapshot_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows counted while snapshots were written."""
+    root = scratch_dir(spark, "snapshot")
+    for name in ("events", "orders"):
+        snapshots.write_snapshot(table(spark, sf_dir, name), root)
+    commits = spark.read.schema(snapshots.COMMIT_SCHEMA).json(f"{root}/commits")
+    return commits.select("seq", "written_rows")
+
+
+def snapshot_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a caller is served: first, when too old, after that, without old results, and forced."""
+    root = scratch_dir(spark, "snapshot")
+    served = []
+    calls = ({}, {"max_age_seconds": -1}, {}, {"max_age_seconds": -1, "serve_stale": False}, {"force": True})
+    for step, options in enumerate(calls):
+        rows = derived.events(spark, sf_dir).where(F.col("event_id") % (step + 1) == 0).select("event_id")
+        found = snapshots.load_snapshot(spark, root, lambda rows=rows: rows, **options)
+        served.append(found.select(F.lit(step).alias("step"), "event_id"))
+    return functools.reduce(DataFrame.unionAll, served)
+
+
 # --- streams ----------------------------------------------------------------
 
 
@@ -644,6 +698,25 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that stops and starts again goes on where it stood."""
+    root = scratch_dir(spark, "stream")
+    sent = derived.events(spark, sf_dir).select(
+        F.col("event_id").cast("string").alias("msg_id"),
+        F.col("ts").cast("timestamp").alias("ts"),
+        F.col("props").alias("payload"),
+    )
+    odd = F.col("msg_id").cast("bigint") % 2 == 1
+    for part in (sent.where(~odd), sent.where(odd), None):
+        if part is not None:
+            triggers.publish_trigger(part, f"{root}/in")
+        stream = triggers.read_triggers(spark, f"{root}/in")
+        triggers.on_trigger(stream, lambda batch, _: None, f"{root}/at", f"{root}/done").awaitTermination()
+    return spark.read.parquet(f"{root}/done").select(
+        F.col("msg_id").cast("bigint").alias("event_id"), "batch_id"
+    )
+
+
 def stream_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records as the last trigger left them."""
     root = scratch_dir(spark, "stream")
@@ -724,6 +797,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         weekly_avg_kda_all_rows,
         weekly_avg_kda_decimal,
         materialized_weekly,
+        materialized_view,
+        ordered_weeks,
+        ordered_messages,
         roster_semi,
         for_player,
         unpivot_records,
@@ -757,9 +833,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         manifest_join,
         prune_unlisted,
         partition_roundtrip,
+        participant_table,
         list_partitions,
         snapshot_roundtrip,
+        snapshot_counts,
+        snapshot_branches,
         stream_dedupe,
+        stream_restart,
         stream_refresh,
         stream_ingest,
         stream_ingest_repeats,
