@@ -122,36 +122,33 @@ def _rebuilt(path: str, schema: str, digests: bool):
     def run(data: bytes, more: bytes, replies: list[bytes]) -> Iterator[pa.RecordBatch]:
         tokens = {rank: token for token, rank in ranks(path).items()}
         found = _words_of(replies)
-        lists = [np.frombuffer(found[i], np.uint32) for i in range(len(found))]
-        decoded = [b"".join([tokens[i] for i in x.tolist()]) for x in lists]
-        ids, counts = _unpack_docs(more)
-        codes, at, backs = unsqueeze_codes(data), 0, []
-        for n in counts:
-            backs.append(b"".join(map(decoded.__getitem__, codes[at : at + n].tolist())))
+        spelled = [found.pop(i) for i in range(len(found))]
+        lengths = np.fromiter(map(len, spelled), np.int64, len(spelled)) // 4
+        flat, begins = np.frombuffer(b"".join(spelled), np.uint32), np.cumsum(lengths) - lengths
+        lists = [np.frombuffer(x, np.uint32).tolist() for x in spelled]
+        decoded = [b"".join([tokens[i] for i in x]) for x in lists]
+        numbers = [("," + ",".join(map(str, x))).encode() for x in lists] if digests else []
+        del spelled, lists
+        codes, at, rows = unsqueeze_codes(data), 0, []
+        for doc_id, n in zip(*_unpack_docs(more)):
+            mine = codes[at : at + n]
             at += n
-        if digests:
-            numbers, at, rows = [("," + ",".join(map(str, x.tolist()))).encode() for x in lists], 0, []
-            for doc_id, n, back in zip(ids, counts, backs):
-                listed = b"".join(map(numbers.__getitem__, codes[at : at + n].tolist()))[1:]
-                at += n
+            back = b"".join(map(decoded.__getitem__, mine.tolist()))
+            if digests:
+                listed = b"".join(map(numbers.__getitem__, mine.tolist()))[1:]
                 rows.append((doc_id, listed.count(b",") + 1 if listed else 0, hashlib.sha256(listed).hexdigest(), hashlib.sha256(back).hexdigest()))
-            yield as_batch(rows, out)
-        else:
-            flat, ends = _spelled(codes, lists, counts)
-            columns = [pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.astype(np.int32))), pa.array(backs, pa.binary())]
-            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, out)], schema=out)
+            else:
+                rows.append((doc_id, _spelled(mine, flat, begins, lengths), back))
+        yield as_batch(rows, out)
 
     return run
 
 
-def _spelled(codes: np.ndarray, lists: list[np.ndarray], counts: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """All token ids of a block in order, and where each document's ids end."""
-    lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-    begins = np.cumsum(lengths) - lengths
+def _spelled(codes: np.ndarray, flat: np.ndarray, begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Token ids of one document: the ids of its words, one after another."""
     each = lengths[codes]
     ends = np.cumsum(each)
-    flat = np.concatenate([np.empty(0, np.uint32), *lists])[np.repeat(begins[codes] - ends + each, each) + np.arange(each.sum())]
-    return flat, np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(np.array(counts, np.int64))])]
+    return flat[np.repeat(begins[codes] - ends + each, each) + np.arange(each.sum())].astype(np.int32)
 
 
 def encode(df: DataFrame, path: str | None = None, block_bytes: int = BLOCK, digests: bool = False) -> DataFrame:
