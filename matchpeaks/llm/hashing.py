@@ -55,7 +55,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.searchsorted(limits, starts, "right"), stretch_hashes(prefix_sums(data), starts, ends)
 
 
-def groups_of(texts: list[bytes], size: int = 1 << 20):
+def groups_of(texts: list[bytes], size: int = 1 << 18):
     """(first number, texts) of stretches of about ``size`` bytes, so that work arrays stay small."""
     at = held = 0
     for i, text in enumerate(texts):
