@@ -34,12 +34,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .blocks import BLOCK_BYTES, EXCHANGE, answered, bucket_count, by_bucket, exchange_batch, finished, in_blocks, key_row, numbered, own_row, pack_ids, squeeze, squeeze_bytes, squeeze_sorted, unpack_ids, unsqueeze, unsqueeze_bytes, unsqueeze_sorted
+from .blocks import EXCHANGE, answered, bucket_count, by_bucket, exchange_batch, finished, in_blocks, key_row, numbered, own_row, pack_ids, squeeze, squeeze_bytes, squeeze_sorted, unpack_ids, unsqueeze, unsqueeze_bytes, unsqueeze_sorted
 from .column_bwt import collection, suffixes
 from .common import arrow_schema, as_batch, stored, table
 from .hashing import groups_of, mixed, powers, prefix_sums, stretch_hashes
 
 SPAN, GRAM = 100, 24
+#: Characters of a block: it is one row of several exchanges, and large rows cost much memory.
+BLOCK = 4 << 20
 LAST = np.iinfo(np.int64).max
 KEPT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
 DIGESTS = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
@@ -251,7 +253,7 @@ def _cut(span: int, schema: str, digests: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, digests: bool = False, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def remove_repeats(docs: DataFrame, span: int = SPAN, gram: int = GRAM, digests: bool = False, block_bytes: int = BLOCK) -> DataFrame:
     """What is left of every document, or its digest, with the numbers of removed bytes and runs."""
     buckets, schema = bucket_count(docs.sparkSession), DIGESTS if digests else KEPT
     blocks = stored(numbered(docs).mapInArrow(_blocks(block_bytes), EXCHANGE), "blocks")
