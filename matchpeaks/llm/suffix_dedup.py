@@ -58,7 +58,10 @@ def window_minimum(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def pieces(docs: list[bytes], span: int = SPAN, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """(anchor hash, content hash, document, start, length) of every piece, by document and start."""
+    """(anchor hash, content hash, document, start, length) of every piece, by document and start.
+
+    Anchors have the least hashes of their windows; hashed once more, they spread over all buckets.
+    """
     parts: list[list[np.ndarray]] = [[], [], [], [], []]
     for first, group in groups_of(docs):
         data = np.frombuffer(b"".join(group), np.uint8)
@@ -78,7 +81,7 @@ def pieces(docs: list[bytes], span: int = SPAN, gram: int = GRAM) -> tuple[np.nd
         at = np.flatnonzero(new)
         begin, end = start[at], (start[np.append(at[1:], len(start)) - 1] + span) if len(at) else start
         doc = np.searchsorted(ends, begin, "right")
-        for part, values in zip(parts, (grams[anchor[at]], stretch_hashes(sums, begin, end), doc + first, begin - (ends - lengths)[doc], end - begin)):
+        for part, values in zip(parts, (mixed(~grams[anchor[at]]), stretch_hashes(sums, begin, end), doc + first, begin - (ends - lengths)[doc], end - begin)):
             part.append(values)
     kinds = (np.uint64, np.uint64, np.int64, np.int64, np.int64)
     return tuple(np.concatenate([np.empty(0, k), *p]) for p, k in zip(parts, kinds))
