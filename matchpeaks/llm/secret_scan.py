@@ -6,11 +6,13 @@ uniformly" three statistics have known laws: chi-squared of the symbol counts, t
 runs above and below the middle of the alphabet, and the correlation of neighbours. Fisher's
 method joins their p-values to one *randomness* between 0 and 1.
 
-What counts as a discovery is decided on the corpus. Tokens of letters alone are the null
-sample: long words. A token with digits and letters is as surprising as the share of null
-tokens of its length class that look at least as random, and the Benjamini-Hochberg rule in
-each length class keeps the share of false discoveries below ``FDR``. Lengths are kept apart
-because the tests have more power on long tokens. The counts behind this are by length class
+A token is as surprising as the share of text-like tokens of its length class and alphabet that
+look at least as random, and the Benjamini-Hochberg rule in each class and alphabet keeps the
+share of false discoveries below ``FDR``. Text-like tokens are a fixed model, not the corpus:
+words and numbers strung together as the alphabet allows, of the class's least length (where
+they look most random), whose tail is carried on by a log-normal law of Fisher's statistic. So the
+rule is the same for any corpus, however few long words it holds. Lengths are kept apart
+because the tests have more power on long tokens. The counts behind this are by length class, alphabet
 and one of ``BINS`` levels of randomness, a fixed number of rows.
 
 Defined results: null text counts as empty (no spans; the digest is that of the empty
@@ -22,8 +24,11 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 import re
 from collections import Counter
+from functools import lru_cache
+from statistics import fmean, stdev
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +58,23 @@ ALPHABETS = (
 #: Ends of the length classes, levels of randomness, and the share of false discoveries allowed.
 MASK = "[SECRET]"
 LENGTHS, BINS, FDR = (24, 32, 48, 64, 128), 1000, 0.05
+#: What text-like tokens are made of; how many are drawn, and the number of tokens that their law is given as.
+WORDS = """account address application archive available backup branch build cache category certificate change client collection
+common compile component config container content context controller count create customer data database default delete deploy
+description development directory document download element error event example export factory field file filter format function
+generate handler header history image import index information install interface internal language library license list load local
+manager member message method model module name network number object option order package page parameter password path player
+position process product profile project property public query record reference release report request resource response result
+return schema script search section security server service session setting source start state status storage string summary
+system table target template test thread time title token transaction transfer type update upload user value version view window
+anderung arbeit ausgabe beispiel benutzer bericht datei eigenschaft einheit einstellung ergebnis fehler freundschaft gesellschaft
+geschwindigkeit haftpflicht krankenversicherung leitung lichkeit nachricht rechnung schaltung sicherheit sprache stellung verwaltung
+werkzeug wirtschaft zeichen zusammenarbeit adresse ailleurs aujourd besoin bonjour chercher compte demande developpement donnees
+ecole ensemble exemple fichier gouvernement heureusement logiciel maison moteur nouvelle ouvrage paiement quelle recherche reseau
+semaine toujours utilisateur vitesse ayuntamiento busqueda ciudad conocimiento cuenta desarrollo direccion ejemplo empresa
+entonces gobierno herramienta informacion lenguaje mensaje nombre pagina palabra problema proyecto pruebas respuesta seguridad
+servicio siguiente tiempo trabajo usuario ventana""".split()
+NULL_DRAWS, NULL_TOKENS = 1000, 10**12
 FOUND = "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, base array<string>, starts array<int>, ends array<int>, classes array<int>, levels array<int>, nulls array<int>"
 RESULT = "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string, n_random bigint"
 _NOT_TOKEN = bytes(32 if not (chr(b).isascii() and (chr(b).isalnum() or chr(b) in "+/_=-.")) else b for b in range(256))
@@ -105,16 +127,70 @@ def battery(token: str, alphabet: str) -> tuple[float, float, float]:
     return uniform, min(1.0, runs_p), 2 * _upper_tail(abs(serial))
 
 
+def surprise(token: str, alphabet: str) -> float:
+    """Fisher's statistic, halved: large if any test rejects uniform independent symbols."""
+    return -sum(math.log(max(p, 1e-300)) for p in battery(token, alphabet))
+
+
+def combined(x: float) -> float:
+    return math.exp(-x) * (1 + x + x * x / 2)
+
+
 def randomness(token: str, alphabet: str) -> float:
     """Fisher's combination: small if any test rejects uniform independent symbols."""
-    x = -sum(math.log(max(p, 1e-300)) for p in battery(token, alphabet))
-    return math.exp(-x) * (1 + x + x * x / 2)
+    return combined(surprise(token, alphabet))
+
+
+def text_like(rng: random.Random, alphabet: str, n: int) -> str:
+    """Words and numbers in one spelling, joined by at most one kind of mark, as far as the alphabet holds them."""
+    join = rng.choice(["", *(c for c in "+/-_" if c in alphabet)])
+    spell = rng.choice([str.lower, str.upper, str.title] if {"a", "A"} <= set(alphabet) else [str.lower if "a" in alphabet else str.upper])
+    token = ""
+    while len(token) < n:
+        part = str(rng.choice([rng.randrange(10), rng.randrange(100), rng.randrange(1990, 2030)])) if rng.random() < 0.25 else spell(rng.choice(WORDS))
+        token += "".join(c for c in part + join if c in alphabet)
+    return token[:n]
+
+
+@lru_cache(maxsize=None)
+def null_law(k: int, alphabet: str) -> tuple[float, ...]:
+    """For each level of randomness, the share of text-like tokens of class ``k`` at it or above."""
+    rng = random.Random(f"{k} {alphabet}")
+    drawn = [surprise(text_like(rng, alphabet, (LEAST_TOKEN, *LENGTHS)[k]), alphabet) for _ in range(NULL_DRAWS)]
+    logs = [math.log(max(x, 1e-9)) for x in drawn]
+    mean, spread = fmean(logs), stdev(logs)
+    counts = Counter(min(BINS - 1, int(combined(x) * BINS)) for x in drawn)
+    law, above, low = [1.0] * BINS, 0, 0.0
+    for level in range(BINS - 1, 0, -1):
+        above += counts[level]
+        # The statistic with this randomness: ``combined`` falls from 1, so the bound only moves up.
+        high = max(low, 1e-6)
+        while combined(high) > level / BINS:
+            high *= 2
+        for _ in range(40):
+            middle = (low + high) / 2
+            low, high = (middle, high) if combined(middle) > level / BINS else (low, middle)
+        law[level] = max(above / NULL_DRAWS, _upper_tail((mean - math.log(high)) / spread))
+    # The log-normal law ends at randomness 1; its last tenth is dealt evenly, so that no chance hit there counts as a wonder.
+    last = BINS * 9 // 10
+    return tuple(max(p, law[last] * (BINS - level) / (BINS - last)) if level > last else p for level, p in enumerate(law))
+
+
+def null_counts(family: int) -> dict[tuple[int, int, int], int]:
+    """The law of a family (length class and alphabet) as numbers of ``NULL_TOKENS`` tokens."""
+    law = [round(p * NULL_TOKENS) for p in null_law(family // len(ALPHABETS), ALPHABETS[family % len(ALPHABETS)][1])] + [0]
+    return {(family, level, 1): law[level] - law[level + 1] for level in range(BINS) if law[level] > law[level + 1]}
 
 
 def length_class(n: int) -> int:
     return sum(n >= end for end in LENGTHS)
 
 
+def family_of(token: str, alphabet: str) -> int:
+    """Tokens are judged among those of their length class and alphabet."""
+    return length_class(len(token)) * len(ALPHABETS) + [symbols for _, symbols in ALPHABETS].index(alphabet)
+
+
 def scan(doc_id: int | None, text: str) -> tuple:
     """Base spans and the tested tokens of a text."""
     raw = text.encode()
@@ -129,7 +205,7 @@ def scan(doc_id: int | None, text: str) -> tuple:
         alphabet = alphabet_of(token)
         if alphabet and letters and not any(start < m.end() and m.start() < end for start, _, end in spans):
             level = min(BINS - 1, int(randomness(token, alphabet) * BINS))
-            tested.append((m.start(), m.end(), length_class(len(token)), level, int(not digits)))
+            tested.append((m.start(), m.end(), family_of(token, alphabet), level, int(not digits)))
     base = named(spans)
     counts = [sum(kind == k for _, kind, _ in spans) for k in range(3)]
     digest = hashlib.sha256(",".join(base).encode()).hexdigest()
@@ -137,7 +213,7 @@ def scan(doc_id: int | None, text: str) -> tuple:
 
 
 def thresholds(counts: dict[tuple[int, int, int], int], fdr: float = FDR) -> dict[int, int]:
-    """The least level of randomness that is a discovery, by length class; classes without one are left out.
+    """The least level of randomness that is a discovery, by class; classes without one are left out.
 
     ``counts[class, level, null]`` are numbers of tokens. A level's p-value is the share of null
     tokens at it or above, with one added to both numbers.
@@ -155,7 +231,10 @@ def thresholds(counts: dict[tuple[int, int, int], int], fdr: float = FDR) -> dic
 
 def cut_levels(rows: DataFrame, fdr: float) -> dict[int, int]:
     each = rows.select(F.explode(F.arrays_zip("classes", "levels", "nulls")).alias("t")).groupBy("t.classes", "t.levels", "t.nulls").count()
-    return thresholds({(r[0], r[1], r[2]): r[3] for r in each.collect()}, fdr)
+    counts = {(r[0], r[1], 0): r[3] for r in each.collect() if not r[2]}
+    for family in {f for f, _, _ in counts}:
+        counts |= null_counts(family)
+    return thresholds(counts, fdr)
 
 
 def secret_scan(docs: DataFrame, fdr: float = FDR) -> DataFrame:

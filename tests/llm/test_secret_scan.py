@@ -78,3 +78,29 @@ def test_masking(spark):
     df = spark.createDataFrame([(1, "a token=abcdef1 b", 17), (2, "clean", 99)], "doc_id bigint, text string, n_chars bigint")
     assert [tuple(r) for r in s.redact(df).orderBy("doc_id").collect()] == [(1, "a [SECRET] b", 12), (2, "clean", 99)]
     assert s.masked("0123456789", [(2, 5), (4, 7), (8, 9)], "#") == "01#7#9"
+
+
+def test_keys_are_found_without_long_words(spark):
+    """A few keys of every length and alphabet, in a corpus without a single long word."""
+    rng = random.Random(7)
+    rows = []
+    for n in (28, 40, 56, 80, 140):
+        for name in ("base62", "base64", "HEX"):
+            symbols = dict(s.ALPHABETS)[name]
+            rows += [(len(rows) + i, "a short text " + "".join(rng.choices(symbols, k=n)) + " ends") for i in range(4)]
+    found = s.secret_scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sum(r["n_random"] for r in found) >= 0.9 * len(rows)
+    masked = s.redact(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sum(r["text"] == "a short text [SECRET] ends" for r in masked) >= 0.85 * len(rows)
+
+
+def test_null_law_holds_for_text_like_tokens():
+    """Fresh text-like tokens are as rarely random as the law says, up to chance."""
+    rng = random.Random(8)
+    for _, alphabet in s.ALPHABETS:
+        for k, n in enumerate((s.LEAST_TOKEN, *s.LENGTHS[:3])):
+            levels = [int(s.randomness(s.text_like(rng, alphabet, n), alphabet) * s.BINS) for _ in range(300)]
+            law = s.null_law(k, alphabet)
+            assert all(x >= y for x, y in zip(law, law[1:]))
+            for level in (10, 100, 500):
+                assert sum(x >= level for x in levels) / 300 <= law[level] + 4 * (law[level] / 300) ** 0.5 + 0.01
