@@ -32,12 +32,19 @@ from pyspark.sql import functions as F
 
 from .common import map_texts, ship, table
 
-RAW = "script|style|noscript|template|textarea|iframe|svg|math|object|title|select|xmp|noframes"
-#: A comment, an element whose content is no text, a declaration, or a tag; quoted attribute values may hold ">".
+#: A comment, a declaration, or a tag; quoted attribute values may hold ">".
 MARKUP = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<(?P<raw>{RAW})\b(?>[^>\"']|\"[^\"]*\"|'[^']*')*>(?:.*?</(?P=raw)\s*>|.*\Z)|<[!?][^>]*>|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attributes>(?>[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.DOTALL | re.IGNORECASE,
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(?P<end>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attributes>(?>[^>\"']|\"[^\"]*\"|'[^']*')*)>",
+    re.DOTALL,
 )
+#: Elements without markup inside: all up to their end tag, or to the end of the page, is theirs. That of xmp is shown.
+RAW = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.IGNORECASE) for name in ("script", "style", "textarea", "title", "xmp")}
+#: Elements that show nothing of what they hold. They end at their end tag, with their parent, or at once if self-closed.
+HIDDEN = frozenset("svg template select iframe noscript noframes annotation annotation-xml".split())
+#: In these a self-closed element of any name is empty.
+FOREIGN = frozenset(("svg", "math"))
+#: Start tags that end an open svg, as it can't hold them.
+BREAKS = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
 WORDS = re.compile(r"""\b(?:class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
 BLOCK = frozenset("address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset(("hr",))
@@ -67,10 +74,10 @@ SCHEMA = "page_id bigint, url string, text string, n_chars bigint"
 def blocks(page: str) -> list[tuple[str, float, int]]:
     """(text, log-odds of content, number of the element around it) of each block that holds text."""
     found: list[tuple[str, float, int]] = []
-    # Open block elements: name, evidence of the element and those around it, number.
-    stack: list[tuple[str, float, int]] = [("", 0.0, 0)]
+    # Open block and hidden elements: name, evidence of the element and those around it, number, whether text is shown.
+    stack: list[tuple[str, float, int, bool]] = [("", 0.0, 0, True)]
     held: list[str] = []
-    linked, in_link, opened = 0, 0, 0
+    linked, in_link, opened, math_open = 0, 0, 0, 0
 
     def close() -> None:
         nonlocal linked
@@ -81,32 +88,72 @@ def blocks(page: str) -> list[tuple[str, float, int]]:
         held.clear()
         linked = 0
 
+    def show(text: str) -> None:
+        nonlocal linked
+        if stack[-1][3]:
+            held.append(text)
+            linked += len(text) * (in_link > 0)
+
+    def leave(depth: int) -> None:
+        """End all open elements from ``depth`` on; text held so far belongs to the innermost that is shown."""
+        while len(stack) > depth and not stack[-1][3]:
+            stack.pop()
+        if len(stack) > depth:
+            close()
+            del stack[depth:]
+
     at = 0
-    for m in MARKUP.finditer(page):
+    while m := MARKUP.search(page, at):
         if m.start() > at:
-            held.append(page[at : m.start()])
-            linked += (m.start() - at) * (in_link > 0)
+            show(page[at : m.start()])
         at = m.end()
-        name = (m["name"] or "").lower()
+        name, ends, attributes = (m["name"] or "").lower(), bool(m["end"]), m["attributes"] or ""
+        empty = attributes.endswith("/")
+        if name == "math":
+            math_open = 0 if ends or empty else 1
+        if not ends and name in RAW and not (empty and (math_open or any(x[0] in FOREIGN for x in stack))):
+            stop = RAW[name].search(page, at)
+            inside, at = page[at : stop.start() if stop else len(page)], stop.end() if stop else len(page)
+            if name == "xmp" and stack[-1][3]:
+                close()
+                show(html.escape(inside))
+                close()
+            continue
+        if name in BREAKS and not ends and stack[-1][0] == "svg":
+            stack.pop()
+        if name in HIDDEN:
+            if ends:
+                depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name), 0)
+                # Only what is open inside it ends with it.
+                if depth:
+                    del stack[depth:]
+            elif not empty:
+                opened += 1
+                stack.append((name, stack[-1][1], opened, False))
+            continue
         if name == "a":
-            in_link = 0 if m["end"] else 1
+            in_link = 0 if ends else 1
         elif name == "br":
-            held.append(" ")
+            show(" ")
         if name not in BLOCK:
             continue
-        close()
-        if m["end"]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == name:
-                    del stack[i:]
-                    break
-        else:
-            if stack[-1][0] in CLOSES.get(name, ()):
-                stack.pop()
-            opened += 1
-            if name not in VOID and not (m["attributes"] or "").endswith("/"):
-                stack.append((name, stack[-1][1] + named(name, m["attributes"]), opened))
-    held.append(page[at:])
+        if ends:
+            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name), 0)
+            if depth:
+                leave(depth)
+            elif stack[-1][3]:
+                close()
+            continue
+        shown = stack[-1][3]
+        if shown:
+            close()
+        if stack[-1][0] in CLOSES.get(name, ()):
+            stack.pop()
+        opened += 1
+        if name not in VOID and not empty:
+            stack.append((name, stack[-1][1] + named(name, attributes), opened, shown))
+    show(page[at:])
+    leave(1)
     close()
     return found
 

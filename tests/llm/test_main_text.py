@@ -50,3 +50,16 @@ def test_query_columns(spark):
     rows = sorted(map(tuple, m.extract(df).collect()), key=str)
     assert rows[-1] == (None, None, "", 0) and rows[0] == rows[1] and rows[0][3] == len(rows[0][2])
     assert m.extract(df.limit(0)).collect() == []
+
+
+def test_raw_elements_hide_only_what_is_theirs():
+    assert m.main_text('<article><p>One <svg class="i"/> two</p><p>Three</p></article>') == "One two\n\nThree"
+    assert m.main_text("<article><p>One <svg><title/><path d=x /><text>icon</text></svg> two</p><p>Three</p></article>") == "One two\n\nThree"
+    for name in ("svg", "select", "template", "iframe", "noscript", "object"):
+        assert m.main_text(f"<article><p>One <{name} class=x> </p><p>Three</p></article><p>{'and more text ' * 9}</p>").startswith("One\n\nThree\n\nand more")
+    assert m.main_text("<article><p>One <svg> <p>Three</article>") == "One\n\nThree"
+    assert m.main_text("<article><p>If <math><mi>x</mi><mo>=</mo><mn>1</mn></math> or <math/> holds</p></article>") == "If x=1 or holds"
+    assert m.main_text("<article><p>See <object data=f><param name=a>the film</object> here</p></article>") == "See the film here"
+    assert m.main_text("<article>Code<xmp><p>&amp; raw</XMP >end</article>") == "Code\n\n<p>&amp; raw\n\nend"
+    assert m.main_text("<article><p>One <select><option>a<option>b</select> <template><div>no</div></template>two</p></article>") == "One two"
+    assert m.main_text("<article><p>One</p><textarea>rest <p>of the page") == "One"
