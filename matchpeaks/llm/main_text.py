@@ -2,7 +2,8 @@
 
 A page is cut into blocks: the text between two tags of block elements. A classifier gives each
 block a cost for being called content and one for being called boilerplate, from the
-elements it lies in, their class and id words, its share of link text and its length. The costs
+elements it lies in, their class and id words, its share of link text and its length. A word against
+counts by how much running text lies beside its element: next to nothing for a wrapper of the article. The costs
 are the capacities between a block and the two terminals. Neighbours in the page, and
 neighbours below the same element, are joined by edges that cost something if their labels
 differ. The maximum flow gives the labelling of least total cost.
@@ -26,6 +27,7 @@ import math
 import re
 from collections import deque
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,15 +57,20 @@ CLOSES = {"p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "t
 
 #: Evidence for content in natural logarithms of odds, by element and by word of class or id.
 ELEMENTS = {"article": 6.0, "main": 5.0, "nav": -40.0, "footer": -40.0, "header": -40.0, "aside": -40.0, "form": -40.0, "menu": -40.0, "button": -40.0, "dialog": -40.0, "fieldset": -40.0, "head": -40.0}
+OTHER = -20.0
 NAMES = {
     "content": 2.0, "article": 2.0, "post": 1.5, "entry": 1.5, "story": 2.0, "main": 2.0, "articlebody": 3.0,
-    "ad": -40.0, "ads": -40.0, "advert": -40.0, "adverts": -40.0, "advertisement": -40.0, "sponsored": -40.0, "sponsor": -40.0, "promo": -40.0, "banner": -40.0,
-    "nav": -40.0, "navbar": -40.0, "navigation": -40.0, "menu": -40.0, "breadcrumb": -40.0, "breadcrumbs": -40.0, "pagination": -40.0, "header": -40.0, "masthead": -40.0,
-    "footer": -40.0, "copyright": -40.0, "sidebar": -40.0, "aside": -40.0, "widget": -40.0, "related": -40.0, "recommended": -40.0,
-    "comment": -40.0, "comments": -40.0, "disqus": -40.0, "reply": -40.0, "replies": -40.0, "respond": -40.0,
-    "cookie": -40.0, "cookies": -40.0, "consent": -40.0, "notice": -40.0, "gdpr": -40.0, "popup": -40.0, "modal": -40.0, "newsletter": -40.0, "subscribe": -40.0, "signup": -40.0, "login": -40.0,
-    "share": -40.0, "sharing": -40.0, "social": -40.0, "toolbar": -40.0, "contentinfo": -40.0, "complementary": -40.0, "search": -40.0, "form": -40.0,
+    "ad": OTHER, "ads": OTHER, "advert": OTHER, "adverts": OTHER, "advertisement": OTHER, "sponsored": OTHER, "sponsor": OTHER, "promo": OTHER, "banner": OTHER,
+    "nav": OTHER, "navbar": OTHER, "navigation": OTHER, "menu": OTHER, "breadcrumb": OTHER, "breadcrumbs": OTHER, "pagination": OTHER, "header": OTHER, "masthead": OTHER,
+    "footer": OTHER, "copyright": OTHER, "sidebar": OTHER, "aside": OTHER, "widget": OTHER, "related": OTHER, "recommended": OTHER,
+    "comment": OTHER, "comments": OTHER, "disqus": OTHER, "reply": OTHER, "replies": OTHER, "respond": OTHER,
+    "cookie": OTHER, "cookies": OTHER, "consent": OTHER, "notice": OTHER, "gdpr": OTHER, "popup": OTHER, "modal": OTHER, "newsletter": OTHER, "subscribe": OTHER, "signup": OTHER, "login": OTHER,
+    "share": OTHER, "sharing": OTHER, "social": OTHER, "toolbar": OTHER, "contentinfo": OTHER, "complementary": OTHER, "search": OTHER, "form": OTHER,
 }
+#: Words before these tell what a part has, lacks or is about, not what it is: "has-sidebar", "category-social".
+STATES = frozenset("has no not with without is hide hidden show category tag type format status".split())
+#: A named part that holds ``WRAPS`` times as much running text as there is beside it loses half of its name's weight and more.
+WRAPS, BESIDE = 8.0, 10.0
 #: Evidence without any named element; per link share; per tenfold length above 30 characters.
 PRIOR, LINKS, LENGTH = -1.0, -4.0, 3.0
 #: What differing labels cost next to each other in the page, and next to each other below one element.
@@ -71,32 +78,44 @@ ADJACENT, SIBLING = 0.6, 1.0
 SCHEMA = "page_id bigint, url string, text string, n_chars bigint"
 
 
+class Node(NamedTuple):
+    """A block element of a page."""
+
+    around: int
+    element: float
+    good: float
+    bad: float
+    region: bool
+
+
 def blocks(page: str) -> list[tuple[str, float, int]]:
     """(text, log-odds of content, number of the element around it) of each block that holds text."""
-    found: list[tuple[str, float, int]] = []
-    # Open block and hidden elements: name, evidence of the element and those around it, number, whether text is shown.
-    stack: list[tuple[str, float, int, bool]] = [("", 0.0, 0, True)]
+    found: list[tuple[str, float, int, int]] = []
+    # All block elements by number: the element around, evidence of the element and those around it, and names for and against.
+    nodes: list[Node] = [Node(0, 0.0, 0.0, 0.0, False)]
+    # Open block and hidden elements: name, number, whether text is shown.
+    stack: list[tuple[str, int, bool]] = [("", 0, True)]
     held: list[str] = []
-    linked, in_link, opened, math_open = 0, 0, 0, 0
+    linked, in_link, math_open = 0, 0, 0
 
     def close() -> None:
         nonlocal linked
         text = " ".join(html.unescape("".join(held)).split())
         if text:
             below = stack[-2] if stack[-1][0] in LEAVES else stack[-1]
-            found.append((text, evidence(stack[-1][1], len(text), min(1.0, linked / max(1, len(text)))), below[2]))
+            found.append((text, evidence(0.0, len(text), min(1.0, linked / max(1, len(text)))), stack[-1][1], below[1]))
         held.clear()
         linked = 0
 
     def show(text: str) -> None:
         nonlocal linked
-        if stack[-1][3]:
+        if stack[-1][2]:
             held.append(text)
             linked += len(text) * (in_link > 0)
 
     def leave(depth: int) -> None:
         """End all open elements from ``depth`` on; text held so far belongs to the innermost that is shown."""
-        while len(stack) > depth and not stack[-1][3]:
+        while len(stack) > depth and not stack[-1][2]:
             stack.pop()
         if len(stack) > depth:
             close()
@@ -114,7 +133,7 @@ def blocks(page: str) -> list[tuple[str, float, int]]:
         if not ends and name in RAW and not (empty and (math_open or any(x[0] in FOREIGN for x in stack))):
             stop = RAW[name].search(page, at)
             inside, at = page[at : stop.start() if stop else len(page)], stop.end() if stop else len(page)
-            if name == "xmp" and stack[-1][3]:
+            if name == "xmp" and stack[-1][2]:
                 close()
                 show(html.escape(inside))
                 close()
@@ -128,8 +147,7 @@ def blocks(page: str) -> list[tuple[str, float, int]]:
                 if depth:
                     del stack[depth:]
             elif not empty:
-                opened += 1
-                stack.append((name, stack[-1][1], opened, False))
+                stack.append((name, stack[-1][1], False))
             continue
         if name == "a":
             in_link = 0 if ends else 1
@@ -141,31 +159,85 @@ def blocks(page: str) -> list[tuple[str, float, int]]:
             depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == name), 0)
             if depth:
                 leave(depth)
-            elif stack[-1][3]:
+            elif stack[-1][2]:
                 close()
             continue
-        shown = stack[-1][3]
+        shown = stack[-1][2]
         if shown:
             close()
         if stack[-1][0] in CLOSES.get(name, ()):
             stack.pop()
-        opened += 1
         if name not in VOID and not empty:
-            stack.append((name, stack[-1][1] + named(name, attributes), opened, shown))
+            around = stack[-1][1]
+            good, bad = named(name, attributes)
+            own = ELEMENTS.get(name, 0.0)
+            nodes.append(Node(around, nodes[around].element + own, good, bad, name in ("article", "main") and not bad))
+            stack.append((name, len(nodes) - 1, shown))
     show(page[at:])
     leave(1)
     close()
-    return found
+    around = names_around(nodes, [(node, len(text), odds) for text, odds, node, _ in found])
+    return [(text, odds + around[node], below) for text, odds, node, below in found]
 
 
-def named(name: str, attributes: str) -> float:
-    """Evidence of one element. Words of body and html tell about the page, not about its parts."""
-    total = ELEMENTS.get(name, 0.0)
+def named(name: str, attributes: str) -> tuple[float, float]:
+    """Evidence of one element's names, for and against. Words of body and html tell about the page, not about its parts."""
+    good = bad = 0.0
     if attributes and name not in ("body", "html"):
         for groups in WORDS.findall(attributes):
-            words = re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", "".join(groups)).lower())
-            total += min((NAMES.get(w, 0.0) for w in words), default=0.0) or max((NAMES.get(w, 0.0) for w in words), default=0.0)
-    return total
+            known = [0.0]
+            for one in re.sub(r"([a-z])([A-Z])", r"\1 \2", "".join(groups)).lower().split():
+                words = re.findall(r"[a-z]+", one)
+                known += [NAMES.get(w, 0.0) for w in words] if not words or words[0] not in STATES else []
+            good, bad = good + max(known), bad + min(known)
+    return good, bad
+
+
+def names_around(nodes: Sequence[Node], held: Sequence[tuple[int, int, float]]) -> list[float]:
+    """Evidence of each element and those around it. ``held``: element, length and own evidence of each block.
+
+    A name against counts by the running text (blocks that are content by themselves) beside its element that
+    no name is against: inside the article or main around it; else in all articles; else, without any, on the
+    page. Elements are judged from the largest down, those with a name for them first, and one found to be a wrapper counts
+    as text beside the others. So a wrapper of what the page is about weighs next to nothing, and a part beside it all its weight.
+    """
+    n = len(nodes)
+    inner, running, regions, own = [0] * n, [0.0] * n, [0.0] * n, [0.0] * n
+    for i in range(1, n):
+        inner[i] = i if nodes[i].region and nodes[i].element > 0 else inner[nodes[i].around]
+    for node, length, odds in held:
+        if odds > 0 and nodes[node].element > -1.0:
+            own[node] += length
+    for i in range(n - 1, -1, -1):
+        running[i] += own[i]
+        regions[i] += own[i] if inner[i] else 0.0
+        if i:
+            running[nodes[i].around] += running[i]
+            regions[nodes[i].around] += regions[i]
+    against = {i for i in range(1, n) if nodes[i].bad}
+
+    def clean() -> list[float]:
+        """Running text that no name is against, for each article and (place 0) outside of them."""
+        dirty, sums = [False] * n, [own[0]] + [0.0] * (n - 1)
+        for i in range(1, n):
+            dirty[i] = inner[i] != i and (dirty[nodes[i].around] or i in against)
+            sums[inner[i]] += 0.0 if dirty[i] else own[i]
+        return sums
+
+    beside, weights = clean() if against else [], [1.0] * n
+    for i in sorted(against, key=lambda i: (nodes[i].good <= 0, -running[i], i)):
+        mine, near = running[i], beside[inner[i]]
+        if not inner[i] and regions[0]:
+            mine, near = regions[i], regions[0] - regions[i]
+        weights[i] = ((near + BESIDE) / (near + BESIDE + mine / WRAPS)) ** 2
+        if weights[i] < 0.5:
+            against.discard(i)
+            beside = clean()
+    names, around = [0.0] * n, [0.0] * n
+    for i in range(1, n):
+        names[i] = names[nodes[i].around] + nodes[i].good + weights[i] * nodes[i].bad
+        around[i] = nodes[i].element + names[i]
+    return around
 
 
 def evidence(around: float, length: int, linked: float) -> float:

@@ -63,3 +63,18 @@ def test_raw_elements_hide_only_what_is_theirs():
     assert m.main_text("<article>Code<xmp><p>&amp; raw</XMP >end</article>") == "Code\n\n<p>&amp; raw\n\nend"
     assert m.main_text("<article><p>One <select><option>a<option>b</select> <template><div>no</div></template>two</p></article>") == "One two"
     assert m.main_text("<article><p>One</p><textarea>rest <p>of the page") == "One"
+
+
+def test_names_of_wrappers_leave_the_article():
+    text = "A sentence of the article that goes on for quite some while, as such sentences do. " * 10
+    story = f"<h1>Title of it</h1><p>{text}</p><p>Short one.</p><p>{text}</p>"
+    side = "<div class=sidebar><p>Other things to read, a list of them, and some more words on top of that.</p></div>"
+    notes = f"<div id=comments>{'<p>A reader says a lot about it, sentence by sentence, for no good reason at all.</p>' * 4}</div>"
+    for name in ("content-sidebar-wrap", "main has-sidebar", "no-sidebar", "post category-social", "sidebar-layout", "page header-fixed"):
+        for inner in (story, f"<article>{story}</article>", f"<main><div>{story}</div></main>"):
+            for page in (f"<div class='{name}'>{inner}{side}</div>{notes}", f"<div class='{name}'><div class='{name}'>{inner}</div>{side}{notes}</div>"):
+                found = m.main_text(page)
+                assert found.count(text.strip()) == 2 and "Short one." in found, (name, page)
+                assert "Other things" not in found and "A reader" not in found, (name, page)
+    assert "A reader" not in m.main_text(f"<article class=post><div class=entry-content>{story}</div>{notes}</article>")
+    assert m.main_text("<div class=related><article><p>Read this</p></article></div><article><p>" + text + "</p></article>") == text.strip()
