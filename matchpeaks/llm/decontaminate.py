@@ -1,8 +1,10 @@
 """Benchmark passages in documents, found by the q-gram lemma and verified by banded alignment.
 
 Texts and items are lower-cased and their white space is reduced to single spaces. An item is
-cut into overlapping pieces of ``PIECE`` characters (a shorter item is one piece), so that a
+cut into overlapping pieces of ``PIECE`` characters (a shorter item is one piece), so that an edited
 passage of an item is found too. A piece of ``m`` characters may be edited in ``k = m // 10`` places.
+Longer items are also cut into short pieces of ``SHORT`` characters at so small a stride that every passage of
+``PASSAGE`` characters, wherever it begins, holds a whole one; these may be edited in ``m // 25`` places.
 If it occurs, then piece and place share at least ``m - q + 1 - k * q`` of their q-grams, on
 diagonals (place in the text less place in the piece) that lie within ``k`` of each other.
 Diagonals are put into bands of twice that width which overlap by half, so one band holds
@@ -31,7 +33,10 @@ from .common import as_batch, arrow_schema, pairs, table, texts
 from .hashing import mixed, powers
 
 Q, PIECE, EDITS = 8, 100, 0.1
-PART_CHARS = 4_000_000
+#: The shortest copied passage that must be caught, and the pieces and edits that catch it.
+PASSAGE, SHORT, SHORT_EDITS = 60, 50, 0.04
+#: A character of an item is in six or seven pieces.
+PART_CHARS = 1_200_000
 #: Characters of text per round of array work.
 GROUP = 1 << 20
 LEAKS = "doc_id bigint, item_id bigint, start bigint, end bigint, distance bigint, length bigint"
@@ -72,7 +77,7 @@ class Pieces(NamedTuple):
 
 
 def pieces_of(items: list[tuple[int | None, str]], q: int = Q, size: int = PIECE, edits: float = EDITS) -> Pieces:
-    names, codes, short = [], [], []
+    names, codes, shares, short = [], [], [], []
     for item, text in items:
         text = normal(text or "")
         if len(text) < q:
@@ -82,9 +87,15 @@ def pieces_of(items: list[tuple[int | None, str]], q: int = Q, size: int = PIECE
         for start in sorted({*range(0, max(1, len(whole) - size + 1), size // 2), max(0, len(whole) - size)}):
             names.append(item)
             codes.append(whole[start : start + size])
+            shares.append(edits)
+        # Every passage of PASSAGE characters holds a whole one of these, also the last.
+        for start in sorted({*range(0, len(whole) - SHORT, PASSAGE - SHORT + 1), len(whole) - SHORT}) if len(whole) > SHORT else ():
+            names.append(item)
+            codes.append(whole[start : start + SHORT])
+            shares.append(min(edits, SHORT_EDITS))
     lengths = np.array([len(c) for c in codes], np.int64)
     # A budget that leaves the lemma at least one q-gram.
-    budgets = np.minimum((lengths * edits).astype(np.int64), (lengths - q) // q)
+    budgets = np.minimum((lengths * np.array(shares)).astype(np.int64), (lengths - q) // q)
     least = lengths - q + 1 - budgets * q
     hashes = [gram_hashes(c, q) for c in codes] or [np.empty(0, np.uint64)]
     every = np.concatenate(hashes)

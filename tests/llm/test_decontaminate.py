@@ -72,3 +72,14 @@ def test_banded_distance():
         rows = np.array([d.code_points(piece)])
         cost, _ = d.banded(rows, np.array([len(piece)]), d.code_points(text), np.array([-len(piece)]), len(text) + 2 * len(piece))
         assert cost[0] == least_distance(piece, text)
+
+
+@pytest.mark.parametrize("n", [60, 75, 90, 100, 110, 120])
+def test_passages_at_all_offsets_of_an_item(n):
+    """A copied passage of 60 or more characters is found wherever it begins."""
+    rng = random.Random(n)
+    item = d.normal(prose(rng, 80))
+    p = d.pieces_of([(1, item)])
+    at = range(len(item) - n + 1)
+    docs = [d.normal(f"{prose(rng, 12)}{item[i : i + n]}{prose(rng, 12)}") for i in at]
+    assert {doc for doc, *_ in d.leaks_in(list(at), docs, p)} == set(at)
