@@ -1,7 +1,9 @@
 """Secrets in texts: fixed patterns, and tokens that a battery of tests takes for random.
 
-A token (a run of 20 or more letters, digits, ``+ / _ = -``) gets the smallest alphabet that
-holds it: hexadecimal, base 32, base 36, letters, letters and digits, or base 64. Under "each symbol is drawn
+A token (20 or more letters, digits, ``+ / _ -``) gets the smallest alphabet that
+holds it: hexadecimal, letters of one case, base 32, base 36, letters, letters and digits, or base 64. Runs are cut at
+``=`` inside them and at fixed-pattern spans; where no alphabet holds a part, it is cut both at ``+ /`` and at ``- _``, and of
+parts that overlap the one that looks most random is kept. Tokens of digits alone are not tested. Under "each symbol is drawn
 uniformly" three statistics have known laws: chi-squared of the symbol counts, the number of
 runs above and below the middle of the alphabet, and the correlation of neighbours. Fisher's
 method joins their p-values to one *randomness* between 0 and 1.
@@ -43,6 +45,8 @@ KINDS = ("assign", "access", "hex", "random")
 LEAST_ASSIGN, LEAST_ACCESS = 6, 20
 
 TOKEN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+PART = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])|[A-Za-z0-9+/_-]{20,}")
+PARTS = (re.compile(r"[A-Za-z0-9_-]{20,}={0,2}"), re.compile(r"[A-Za-z0-9+/]{20,}={0,2}"))
 LEAST_TOKEN = 20
 ALPHABETS = (
     ("hex", "0123456789abcdef"),
@@ -54,6 +58,8 @@ ALPHABETS = (
     ("base62", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"),
     ("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
     ("base64url", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),
+    ("lower", "abcdefghijklmnopqrstuvwxyz"),
+    ("upper", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
 )
 #: Ends of the length classes, levels of randomness, and the share of false discoveries allowed.
 MASK = "[SECRET]"
@@ -75,7 +81,7 @@ semaine toujours utilisateur vitesse ayuntamiento busqueda ciudad conocimiento c
 entonces gobierno herramienta informacion lenguaje mensaje nombre pagina palabra problema proyecto pruebas respuesta seguridad
 servicio siguiente tiempo trabajo usuario ventana""".split()
 NULL_DRAWS, NULL_TOKENS = 1000, 10**12
-FOUND = "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, base array<string>, starts array<int>, ends array<int>, classes array<int>, levels array<int>, nulls array<int>"
+FOUND = "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, base array<string>, starts array<int>, ends array<int>, classes array<int>, levels array<int>"
 RESULT = "doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, base_sha256 string, spans string, n_random bigint"
 _NOT_TOKEN = bytes(32 if not (chr(b).isascii() and (chr(b).isalnum() or chr(b) in "+/_=-.")) else b for b in range(256))
 
@@ -99,9 +105,9 @@ def named(spans: list[tuple[int, int, int]]) -> list[str]:
 
 
 def alphabet_of(token: str) -> str | None:
-    """The first alphabet that holds the token; padding at its end doesn't count."""
+    """The smallest alphabet that holds the token; padding at its end doesn't count."""
     symbols = set(token.rstrip("="))
-    return next((symbols_of for _, symbols_of in ALPHABETS if symbols <= set(symbols_of)), None)
+    return min((symbols_of for _, symbols_of in ALPHABETS if symbols <= set(symbols_of)), key=len, default=None)
 
 
 def _upper_tail(z: float) -> float:
@@ -191,6 +197,32 @@ def family_of(token: str, alphabet: str) -> int:
     return length_class(len(token)) * len(ALPHABETS) + [symbols for _, symbols in ALPHABETS].index(alphabet)
 
 
+def outside(start: int, end: int, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What is left of a run without the spans in it."""
+    left = []
+    for a, z in sorted(spans):
+        left, start = left + [(start, a)], max(start, z)
+    return [(a, z) for a, z in [*left, (start, end)] if z - a >= LEAST_TOKEN]
+
+
+def tokens_in(text: str, start: int, end: int) -> list[tuple[int, int, int, int]]:
+    """(start, end, family, level of randomness) of the tokens of a part without inner padding."""
+    places = [(start, end)]
+    if alphabet_of(text[start:end]) is None:
+        places = [m.span() for pattern in PARTS for m in pattern.finditer(text, start, end)]
+    rows = []
+    for a, z in places:
+        token = text[a:z]
+        if any(map(str.isalpha, token)):
+            alphabet = alphabet_of(token)
+            rows.append((a, z, family_of(token, alphabet), min(BINS - 1, int(randomness(token, alphabet) * BINS))))
+    kept: list[tuple[int, int, int, int]] = []
+    for row in sorted(rows, key=lambda r: (-r[3], r[0])):
+        if all(row[1] <= a or z <= row[0] for a, z, *_ in kept):
+            kept.append(row)
+    return sorted(kept)
+
+
 def scan(doc_id: int | None, text: str) -> tuple:
     """Base spans and the tested tokens of a text."""
     raw = text.encode()
@@ -200,16 +232,14 @@ def scan(doc_id: int | None, text: str) -> tuple:
     spans = base_spans(text) if long_run or named_key else []
     tested = []
     for m in TOKEN.finditer(text) if long_run else ():
-        token = m[0]
-        letters, digits = any(map(str.isalpha, token)), any(map(str.isdigit, token))
-        alphabet = alphabet_of(token)
-        if alphabet and letters and not any(start < m.end() and m.start() < end for start, _, end in spans):
-            level = min(BINS - 1, int(randomness(token, alphabet) * BINS))
-            tested.append((m.start(), m.end(), family_of(token, alphabet), level, int(not digits)))
+        near = [(max(start, m.start()), min(end, m.end())) for start, _, end in spans if start < m.end() and m.start() < end]
+        for start, end in outside(m.start(), m.end(), near):
+            for part in PART.finditer(text, start, end):
+                tested += tokens_in(text, part.start(), part.end())
     base = named(spans)
     counts = [sum(kind == k for _, kind, _ in spans) for k in range(3)]
     digest = hashlib.sha256(",".join(base).encode()).hexdigest()
-    return (doc_id, *counts, digest, base, *(list(map(list, zip(*tested))) or [[]] * 5))
+    return (doc_id, *counts, digest, base, *(list(map(list, zip(*tested))) or [[]] * 4))
 
 
 def thresholds(counts: dict[tuple[int, int, int], int], fdr: float = FDR) -> dict[int, int]:
@@ -230,8 +260,8 @@ def thresholds(counts: dict[tuple[int, int, int], int], fdr: float = FDR) -> dic
 
 
 def cut_levels(rows: DataFrame, fdr: float) -> dict[int, int]:
-    each = rows.select(F.explode(F.arrays_zip("classes", "levels", "nulls")).alias("t")).groupBy("t.classes", "t.levels", "t.nulls").count()
-    counts = {(r[0], r[1], 0): r[3] for r in each.collect() if not r[2]}
+    each = rows.select(F.explode(F.arrays_zip("classes", "levels")).alias("t")).groupBy("t.classes", "t.levels").count()
+    counts = {(r[0], r[1], 0): r[2] for r in each.collect()}
     for family in {f for f, _, _ in counts}:
         counts |= null_counts(family)
     return thresholds(counts, fdr)
@@ -242,8 +272,8 @@ def secret_scan(docs: DataFrame, fdr: float = FDR) -> DataFrame:
     rows = stored(map_texts(texts(docs), scan, FOUND), "secrets")
     cut = cut_levels(rows, fdr)
 
-    def spans(doc_id, _text, assign, access, hexes, digest, base, starts, ends, classes, levels, nulls):
-        found = [(s, 3, e) for s, e, c, level, null in zip(starts, ends, classes, levels, nulls) if not null and level >= cut.get(c, BINS)]
+    def spans(doc_id, _text, assign, access, hexes, digest, base, starts, ends, classes, levels):
+        found = [(s, 3, e) for s, e, c, level in zip(starts, ends, classes, levels) if level >= cut.get(c, BINS)]
         known = [(int(s), KINDS.index(kind), int(e)) for kind, s, e in (x.split(":") for x in base)]
         return doc_id, assign, access, hexes, digest, ",".join(named(sorted(known + found))), len(found)
 
@@ -266,8 +296,8 @@ def redact(docs: DataFrame, fdr: float = FDR, mask: str = MASK) -> DataFrame:
     cut = cut_levels(stored(map_texts(texts(docs), scan, FOUND), "secrets"), fdr)
 
     def row(text: str) -> tuple[str, bool]:
-        _, *_, base, starts, ends, classes, levels, nulls = scan(None, text)
-        found = [(s, e) for s, e, c, level, null in zip(starts, ends, classes, levels, nulls) if not null and level >= cut.get(c, BINS)]
+        _, *_, base, starts, ends, classes, levels = scan(None, text)
+        found = [(s, e) for s, e, c, level in zip(starts, ends, classes, levels) if level >= cut.get(c, BINS)]
         found += [(int(s), int(e)) for _, s, e in (x.split(":") for x in base)]
         return masked(text, found, mask), bool(found)
 

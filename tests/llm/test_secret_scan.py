@@ -104,3 +104,19 @@ def test_null_law_holds_for_text_like_tokens():
             assert all(x >= y for x, y in zip(law, law[1:]))
             for level in (10, 100, 500):
                 assert sum(x >= level for x in levels) / 300 <= law[level] + 4 * (law[level] / 300) ** 0.5 + 0.01
+
+
+def test_keys_in_assignments_and_keys_of_letters(spark):
+    """Keys after an inner "=", beside marks of another alphabet, after a fixed pattern, and without a digit."""
+    rng = random.Random(9)
+    symbols = dict(s.ALPHABETS)
+    forms = [("AWS_KEY={}", "base64"), ("sid={}", "base62"), ("a/b+c/{}", "base64url"), ("my-key_{}", "base64"), ("{}==", "base64"), ("{}", "letters"), ("AKIA" + "Q" * 20 + "-{}", "base62"), ("x=1&id={}&b=2", "upper")]
+    rows = []
+    for i in range(80):
+        form, name = forms[i % len(forms)]
+        key = "".join(rng.choices(symbols[name], k=56))
+        rows.append((i, f"see {form.format(key)} there"))
+    found = {r["doc_id"]: r for r in s.secret_scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    for at in range(len(forms)):
+        assert sum(found[i]["n_random"] >= 1 for i in range(at, 80, len(forms))) >= 8, forms[at]
+    assert [text[a:z] for text in ["NAME=" + "aB3" * 10 + "=="] for a, z, *_ in zip(*s.scan(1, text)[-4:])] == ["aB3" * 10 + "=="]
