@@ -4,8 +4,8 @@ A line's quote level is the number of ``>`` it begins with. Lines of one level t
 each other are a passage; passages and their single lines are normalised (lower case, white
 space to one space), hashed, and joined to the hashes of what messages say themselves: their
 whole own text and each of its lines. The original of a quote is the first message of the
-conversation that says it, before the quoting one; failing that, the quote may come from
-another conversation. A message answers the message from which most of its first-level quoted text comes.
+conversation that says it, before the quoting one; failing that, a whole passage or a line of ``LEAST_LINE``
+characters may come from another conversation. A message answers the message from which most of its first-level quoted text comes.
 Following the answers back gives each message the root of its thread and its depth, and
 ``(conv_id, root_turn, depth, turn)`` is the reply order of a conversation.
 
@@ -30,7 +30,7 @@ from .common import stored, table
 
 LEVEL = r"^(?:[ \t]*>)+"
 ATTRIBUTION = r"(?i)^.{0,200}\b(wrote|schrieb|escribió|a écrit) ?:[ \t]*$"
-#: Shorter passages are said by too many to name an original; lines are held to it, whole passages not.
+#: Shorter lines are said in too many conversations to name another one; inside their own they have a first speaker.
 LEAST_LINE = 20
 KEY = ["conv_id", "turn", "message"]
 
@@ -71,10 +71,12 @@ def without_quotes(text: Column) -> Column:
 
 
 def said(own: DataFrame) -> DataFrame:
-    """(conv_id, turn, hash) of every whole own text and of its lines."""
-    lines = F.filter(F.split("own", "\n"), lambda line: F.length(normal(line)) >= LEAST_LINE)
-    units = F.array_distinct(F.transform(F.concat(F.array("own"), lines), hashed))
-    return own.where(F.trim("own") != "").select("conv_id", "turn", F.explode(units).alias("hash"))
+    """(conv_id, turn, hash) of every whole own text and of its lines, and whether it may name another conversation."""
+    lines = F.filter(F.split("own", "\n"), lambda line: normal(line) != "")
+    wide = F.transform(lines, lambda line: F.struct(hashed(line).alias("hash"), (F.length(normal(line)) >= LEAST_LINE).alias("wide")))
+    whole = F.array(F.struct(hashed(F.col("own")).alias("hash"), F.lit(True).alias("wide")))
+    units = F.array_distinct(F.concat(whole, wide))
+    return own.where(F.trim("own") != "").select("conv_id", "turn", F.explode(units).alias("unit")).select("conv_id", "turn", "unit.hash", "unit.wide")
 
 
 def quoted(msgs: DataFrame) -> DataFrame:
@@ -86,20 +88,20 @@ def quoted(msgs: DataFrame) -> DataFrame:
     lines = lines.withColumn("passage", F.sum("starts").over(here)).where("level > 0")
     passages = lines.groupBy(*KEY, "passage", "level").agg(F.sort_array(F.collect_list(F.struct("at", "line"))).alias("lines"))
     each = F.transform("lines", lambda x: x["line"])
-    units = F.filter(each, lambda line: F.length(normal(line)) >= LEAST_LINE)
     whole = F.array_join(each, "\n")
-    rows = passages.select(*KEY, "passage", "level", F.explode(F.array_distinct(F.concat(F.array(whole), units))).alias("unit"))
-    return rows.where(normal(F.col("unit")) != "").select(*KEY, "passage", "level", F.length("unit").alias("size"), hashed(F.col("unit")).alias("hash"))
+    rows = passages.select(*KEY, "passage", "level", whole.alias("whole"), F.explode(F.array_distinct(F.concat(F.array(whole), each))).alias("unit"))
+    wide = (F.col("unit") == F.col("whole")) | (F.length(normal(F.col("unit"))) >= LEAST_LINE)
+    return rows.where(normal(F.col("unit")) != "").select(*KEY, "passage", "level", F.length("unit").alias("size"), hashed(F.col("unit")).alias("hash"), wide.alias("wide"))
 
 
 def linked(quotes: DataFrame, units: DataFrame) -> DataFrame:
     """Each quote with the turn of its original, or with the conversation it was first said in."""
     here = units.groupBy("conv_id", "hash").agg(F.min("turn").alias("original_turn"))
-    anywhere = units.where("conv_id is not null").groupBy("hash").agg(F.min("conv_id").alias("first_conv"), F.max("conv_id").alias("last_conv"))
+    anywhere = units.where("conv_id is not null and wide").groupBy("hash").agg(F.min("conv_id").alias("first_conv"), F.max("conv_id").alias("last_conv"))
     found = quotes.join(here, ["conv_id", "hash"], "left").join(anywhere, "hash", "left")
     inside = F.col("original_turn") < F.col("turn")
     other = F.when(F.col("first_conv") != F.col("conv_id"), F.col("first_conv")).when(F.col("last_conv") != F.col("conv_id"), F.col("last_conv"))
-    return found.withColumn("original_turn", F.when(inside, F.col("original_turn"))).withColumn("other_conv", F.when(~F.coalesce(inside, F.lit(False)), other))
+    return found.withColumn("original_turn", F.when(inside, F.col("original_turn"))).withColumn("other_conv", F.when(F.col("wide") & ~F.coalesce(inside, F.lit(False)), other))
 
 
 def answers(links: DataFrame) -> DataFrame:

@@ -53,3 +53,15 @@ def test_only_built_in_functions(spark):
     df = spark.createDataFrame(ROWS, "conv_id bigint, turn bigint, role string, text string")
     plan = q.link_quotations(df)._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "Arrow", "CartesianProduct"))
+
+
+def test_short_lines_are_linked_inside_their_conversation(spark):
+    rows = [
+        (1, 0, "user", "Shall I?\nYes, do it today\nBye"),
+        (1, 1, "user", "> Yes, do it today\nDone."),
+        (1, 2, "user", "> Shall I?\n> Bye\nWell."),
+        (2, 0, "user", "> Shall I?\n> Bye\nNot from here."),
+    ]
+    found = linked(spark, rows)
+    assert [found[1, t]["reply_to_turn"] for t in range(3)] == [None, 0, 0] and [found[1, t]["n_linked"] for t in range(3)] == [0, 1, 1]
+    assert found[1, 2]["root_turn"] == 0 and found[2, 0]["n_linked"] == 0
