@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 
+#: Longer words are hashed one by one: a polynomial modulo 2**64 takes some unlike strings of 512 bytes and more for equal.
+LONG_WORD = 64
 #: Fixed odd multiplier of the polynomial hash, its inverse modulo 2**64, and one random number for each byte.
 BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
@@ -52,7 +55,10 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     edges = np.flatnonzero(np.diff(space, prepend=True))
     starts, ends = edges[::2], edges[1::2]
     limits = np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts)))
-    return np.searchsorted(limits, starts, "right"), stretch_hashes(prefix_sums(data), starts, ends)
+    hashes = stretch_hashes(prefix_sums(data), starts, ends)
+    for i in np.flatnonzero(ends - starts > LONG_WORD):
+        hashes[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]].tobytes())
+    return np.searchsorted(limits, starts, "right"), hashes
 
 
 def groups_of(texts: list[bytes], size: int = 1 << 18):
