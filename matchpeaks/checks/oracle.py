@@ -68,16 +68,26 @@ def _records(
     return ",\n".join(parts)
 
 
-def _event_records(metrics: dict[str, str]) -> str:
-    ctes = _records(
-        "g", metrics, "user_id", "event_id", "event_type", "2024-01-30", "2023-12-30", "2024-01-29"
-    )
+def _event_records(
+    metrics: dict[str, str], today="2024-01-30", first="2023-12-30", last="2024-01-29"
+) -> str:
+    ctes = _records("g", metrics, "user_id", "event_id", "event_type", today, first, last)
     columns = ", ".join(f"{m}, {m}_meta" for m in metrics)
     return f"""WITH {EVENTS_K}, {ctes}
         SELECT c_custkey AS roster_ord, c_custkey AS source_nickname, {columns}
         FROM customer LEFT JOIN found ON player = c_custkey"""
 
 
+def _ten_days() -> str:
+    """The records of ten successive days over the seven days before each."""
+    parts = []
+    for as_of in range(22, 32):
+        days = [f"2024-01-{as_of - n:02d}" for n in (1, 8, 2)]
+        rows = _event_records({"value": "max", "k": "min"}, *days)
+        parts.append(f"SELECT DATE '2024-01-{as_of}' AS as_of, * FROM ({rows})")
+    return " UNION ALL ".join(parts)
+
+
 GAMES = (
     sql_raw()
     + ", games AS (SELECT source_nickname, match_id, champion_name, game_creation_ts, game_day AS day, "
@@ -379,6 +389,7 @@ def oracle_sql() -> dict[str, str]:
     }
     sql["snapshot_roundtrip"] = sql["record_detect"]
     sql["stream_refresh"] = sql["record_detect"]
+    sql["record_detect_incremental"] = _ten_days()
     sql["stream_ingest"] = DOCUMENT_ROWS
     # One step for each kept row: the first one behind it that the rows kept so far allow.
     sql["cap_in_order"] = f"""WITH RECURSIVE {EVENTS_K},

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 import functools
 from collections.abc import Callable
@@ -12,7 +13,7 @@ from ..fixed_values import TEMPLATES
 from ..functions import dates, text as tx, values as vl
 from ..metrics import MetricSpec, match_metrics
 from ..operators import assets, ingest, messages, ranking, records, sets, weekly
-from ..plans import daily
+from ..plans import daily, increments
 from ..schemas import PARTICIPANT
 from ..sources import dimensions, matches, partitions, snapshots
 from ..session import scratch_dir
@@ -77,6 +78,26 @@ def record_detect_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _double_decimals(_match_records(spark, sf_dir))
 
 
+def record_detect_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of ten successive days, each from that day's events and the stored window.
+
+    The window is seven days long, so that the stacks are turned twice on the way.
+    """
+    root = scratch_dir(spark, "increments")
+    games = derived.events(spark, sf_dir).withColumn("load_date", F.to_date("ts"))
+    partitions.write_partitions(games.drop("props"), f"{root}/games", sort_by=("user_id",))
+    by_day = dataclasses.replace(EVENTS, day="load_date", slack=0)
+    specs = [MetricSpec("value"), MetricSpec("k", "min")]
+    stored = spark.read.parquet(f"{root}/games")
+    window = increments.RecordWindow(stored, specs, f"{root}/window", by_day, lookback_days=7)
+    found = []
+    for back in range(9, -1, -1):
+        as_of = dt.date.fromisoformat(AS_OF) - dt.timedelta(days=back)
+        rows = window.records(derived.event_roster(spark, sf_dir), as_of, ("roster_ord",))
+        found.append(rows.withColumn("as_of", F.lit(as_of)))
+    return functools.reduce(DataFrame.unionByName, found)
+
+
 def today_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best game of the target day per user."""
     specs = [MetricSpec("value"), MetricSpec("k", "min")]
@@ -786,6 +807,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         record_detect,
         record_detect_min,
         record_detect_matches,
+        record_detect_incremental,
         today_metrics,
         historical_best,
         own_rows,

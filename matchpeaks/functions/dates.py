@@ -78,13 +78,18 @@ def game_date(df: DataFrame, column: str) -> Column:
 
 
 def in_days(
-    df: DataFrame, column: str, first: Column, last: Column, day_partition: str | None = None
+    df: DataFrame,
+    column: str,
+    first: Column,
+    last: Column,
+    day_partition: str | None = None,
+    slack: int = 1,
 ) -> Column:
     """Rows whose day is in ``[first, last]``, as a half-open range on the stored column.
 
     ``day_partition`` names the partition column of a table laid out by day, so
     that only those folders are opened. They may differ from the row's own day
-    by one, at the edge of a day.
+    by ``slack`` days, at the edge of a day.
     """
     kind = df.schema[column].dataType
     if isinstance(kind, T.LongType):
@@ -95,5 +100,5 @@ def in_days(
     inside = (value >= low) & (value < high)
     if day_partition is not None:
         folder = F.col(quoted(day_partition))
-        inside = folder.between(F.date_sub(first, 1), F.date_add(last, 1)) & inside
+        inside = folder.between(F.date_sub(first, slack), F.date_add(last, slack)) & inside
     return inside

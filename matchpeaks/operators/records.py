@@ -24,6 +24,8 @@ class GameTable:
     time: str = "game_creation_ts"
     # Partition column with the day, for tables laid out by day.
     day: str | None = None
+    # Days by which a row's folder may differ from its own day: 0 if it was written in this session's time zone.
+    slack: int = 1
 
 
 GAMES = GameTable()
@@ -82,7 +84,15 @@ def today_metrics(
     champion always come from one game; of equal games the lowest match id wins.
     """
     day = target_day(as_of)
-    rows = games.where(in_days(games, table.time, day, day, table.day))
+    rows = games.where(in_days(games, table.time, day, day, table.day, table.slack))
+    best = best_games(games, specs, table)
+    return rows.groupBy(F.col(quoted(table.player)).alias("nickname")).agg(*best)
+
+
+def best_games(
+    games: DataFrame, specs: list[MetricSpec], table: GameTable = GAMES
+) -> list[Column]:
+    """Aggregates that give each metric's best game as a struct (key, match, champion)."""
     match = F.col(quoted(table.match)).alias("match")
     champion = F.col(quoted(table.champion)).alias("champion")
     best = []
@@ -91,7 +101,7 @@ def today_metrics(
         value = no_nan(F.col(quoted(spec.name)), kind)
         candidate = F.struct(better_first(value, kind, spec.agg).alias("key"), match, champion)
         best.append(F.min(F.when(value.isNotNull(), candidate)).alias(spec.name))
-    return rows.groupBy(F.col(quoted(table.player)).alias("nickname")).agg(*best)
+    return best
 
 
 def historical_best(
@@ -108,7 +118,7 @@ def historical_best(
     in hash aggregation; only the single target day carries match and champion.
     """
     first, last = history_days(as_of, lookback_days)
-    rows = games.where(in_days(games, table.time, first, last, table.day))
+    rows = games.where(in_days(games, table.time, first, last, table.day, table.slack))
     best = []
     for spec in specs:
         value = no_nan(F.col(quoted(spec.name)), games.schema[spec.name].dataType)
@@ -144,11 +154,22 @@ def record_detect(
     """
     today = today_metrics(games, specs, as_of, table)
     history = historical_best(games, specs, as_of, lookback_days, table)
+    return beaten_records(today, history, roster, specs, carry)
+
+
+def beaten_records(
+    today: DataFrame,
+    history: DataFrame,
+    roster: DataFrame,
+    specs: list[MetricSpec],
+    carry: tuple[str, ...] = (),
+) -> DataFrame:
+    """Record rows of the roster from each player's best games and ``hist_`` values."""
     # A record needs both sides, so players missing in one can be left out here.
     compared = today.join(history, "nickname", "inner")
     columns = []
     for spec in specs:
-        kind = games.schema[spec.name].dataType
+        kind = today.schema[spec.name].dataType["key"].dataType
         best_game = F.col(quoted(spec.name))
         value = better_first(best_game["key"], kind, spec.agg)
         beaten = strict_record(value, F.col(quoted("hist_" + spec.name)), spec.agg)
