@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import functools
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..fixed_values import MESSAGES_PER_CHAMPION, TEMPLATES
 from ..functions.text import (
@@ -77,46 +79,81 @@ def cap_in_order(
     """Repeats and cap by the row-by-row rule, for any input.
 
     A row is kept when fewer than ``k`` kept rows of its champion and no kept row
-    of its player, metric and match precede it. Those two conditions only
-    depend on each other where one such key names several champions, so that is
-    the only place where more is done than in the two separate steps: the rule
-    is applied to a guess until nothing changes. Every round settles at least
-    the next row in order, and mostly all of them.
+    of its player, metric and match precede it. ``order`` must be unique.
+
+    Rows are the edges of a graph between champions and keys. Of the rows not yet
+    decided, one that is the first of its key and among the first of its champion that the cap still has
+    room for is kept, whatever the others come to. A row that only one undecided row stands in the way of is kept
+    exactly when that one isn't; such chains are contracted by pointer doubling, so a
+    chain of any length takes as many steps as its length has digits. What the decided rows
+    settle leaves the graph, and the rest goes into the next round. A task sees the first
+    ``k + 1`` rows of a champion and the first two of a key, never a whole champion.
     """
     columns = rows.columns
-    key = MESSAGE_KEY
     by = [F.col(quoted(name)) for name in order]
-    once = first_per_key(rows, [*key, "champion"], by).withColumn("__at", F.struct(*by))
-    several = (
-        once.groupBy(*key)
-        .agg(F.min("champion").alias("low"), F.max("champion").alias("high"))
-        .where("low <> high")
-        .select(*key, F.lit(True).alias("__shared"))
-    )
-    marked = cut_lineage(once.join(several, key, "left"))
-    alone = top_per_group(marked.where("__shared is null"), ["champion"], by, k)
-    # After k rows that only the cap can stop, nothing of that champion is kept.
-    full = alone.groupBy("champion").agg(
-        F.when(F.count(F.lit(1)) >= k, F.max("__at")).alias("__full")
-    )
-    contested = (
-        marked.where("__shared")
-        .join(full, "champion", "left")
-        .where(F.col("__full").isNull() | (F.col("__at") < F.col("__full")))
-        .drop("__full")
-    )
-    guess = cut_lineage(alone.unionByName(contested).withColumn("__kept", F.lit(True)))
-    earlier = (Window.unboundedPreceding, -1)
-    of_champion = Window.partitionBy("champion").orderBy("__at").rowsBetween(*earlier)
-    of_key = Window.partitionBy(*key).orderBy("__at").rowsBetween(*earlier)
+    once = first_per_key(rows, [*MESSAGE_KEY, "champion"], by)
+    once = cut_lineage(once.withColumn("__at", F.struct(*by)))
+    # As structs, so that a null key or champion meets itself in joins.
+    key, champion = F.struct(*MESSAGE_KEY), F.struct("champion")
+    undecided = once.select(key.alias("__key"), champion.alias("__champion"), "__at")
+    used, kept = None, []
     while True:
-        used = F.coalesce(F.sum(F.col("__kept").cast("int")).over(of_champion), F.lit(0))
-        repeated = F.coalesce(F.max("__kept").over(of_key), F.lit(False))
-        ruled = cut_lineage(guess.withColumn("__ruled", (used < k) & ~repeated))
-        settled = ruled.where("__ruled <> __kept").isEmpty()
-        guess = ruled.drop("__kept").withColumnRenamed("__ruled", "__kept")
-        if settled:
-            return guess.where("__kept").select(*[F.col(quoted(name)) for name in columns])
+        now = cut_lineage(_decided(undecided, used, k))
+        found = now.where("__kept")
+        kept.append(found.select("__at"))
+        counts = found.groupBy("__champion").agg(F.count(F.lit(1)).alias("__used"))
+        if used is not None:
+            both = used.unionByName(counts)
+            counts = both.groupBy("__champion").agg(F.sum("__used").alias("__used"))
+        used = cut_lineage(counts)
+        full = used.where(F.col("__used") >= k).select("__champion")
+        left = undecided.join(now.select("__at"), "__at", "left_anti")
+        left = left.join(full, "__champion", "left_anti")
+        undecided = cut_lineage(left.join(found.select("__key"), "__key", "left_anti"))
+        if undecided.isEmpty():
+            break
+    every = functools.reduce(DataFrame.unionAll, kept)
+    return once.join(every, "__at", "left_semi").select(*[F.col(quoted(name)) for name in columns])
+
+
+def _decided(undecided: DataFrame, used: DataFrame | None, k: int) -> DataFrame:
+    """Rows that this round decides, with ``__kept``; the very first row is always among them."""
+    at = [F.col("__at")]
+    heads = top_per_group(undecided, ["__champion"], at, k + 1, rank="__place")
+    if used is None:
+        heads = heads.withColumn("__room", F.lit(k).cast("bigint"))
+    else:
+        room = F.lit(k) - F.coalesce("__used", F.lit(0))
+        heads = heads.join(used, "__champion", "left").withColumn("__room", room).drop("__used")
+    firsts = top_per_group(undecided, ["__key"], at, 2, rank="__turn").select("__key", "__at", "__turn")
+    both = cut_lineage(heads.join(firsts.drop("__key"), "__at"))
+    free = F.col("__place") <= F.col("__room")
+    sure = both.where(free & (F.col("__turn") == 1)).select("__at", F.lit(True).alias("__kept"))
+    # One row in the way: the first of the key, or the only earlier one of a champion with room for one.
+    ahead = firsts.where("__turn = 1").select("__key", F.col("__at").alias("__on"))
+    of_key = both.where(free & (F.col("__turn") == 2)).join(ahead, "__key").select("__at", "__on")
+    last = (F.col("__room") == 1) & (F.col("__place") == 2) & (F.col("__turn") == 1)
+    leader = heads.where("__place = 1").select("__champion", F.col("__at").alias("__on"))
+    of_champion = both.where(last).join(leader, "__champion").select("__at", "__on")
+    links = cut_lineage(of_key.unionByName(of_champion).withColumn("__odd", F.lit(True)))
+    while True:
+        onward = links.select(
+            F.col("__at").alias("__on"), F.col("__on").alias("__next"), F.col("__odd").alias("__more")
+        )
+        doubled = links.join(onward, "__on", "left")
+        if doubled.where("__next is not null").isEmpty():
+            break
+        links = cut_lineage(
+            doubled.select(
+                "__at",
+                F.coalesce("__next", "__on").alias("__on"),
+                (F.col("__odd") != F.coalesce("__more", F.lit(False))).alias("__odd"),
+            )
+        )
+    roots = sure.select(F.col("__at").alias("__on"))
+    chained = links.join(roots, "__on").select("__at", (~F.col("__odd")).alias("__kept"))
+    placed = both.select("__at", "__champion", "__key")
+    return placed.join(sure.unionByName(chained), "__at")
 
 
 def message_text(rows: DataFrame, texts: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
