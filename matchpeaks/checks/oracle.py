@@ -445,7 +445,10 @@ def oracle_sql() -> dict[str, str]:
             event_type = 'view' AND CAST(json_extract_string(props, '$.k') AS BIGINT) = 50)
     ),
     raw AS""",
-    ) + " SELECT * EXCLUDE (roster_ord, metric_ord) FROM messages"
+    ) + (
+        " SELECT * EXCLUDE (roster_ord, metric_ord),"
+        " CASE WHEN champion <> 'view' THEN champion || '.jpg' END AS file FROM messages"
+    )
     return sql
 
 

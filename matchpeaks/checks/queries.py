@@ -689,6 +689,7 @@ def snapshot_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
     for step, options in enumerate(calls):
         rows = derived.events(spark, sf_dir).where(F.col("event_id") % (step + 1) == 0).select("event_id")
         found = snapshots.load_snapshot(spark, root, lambda rows=rows: rows, **options)
+        snapshots.wait_for_refresh(root)
         served.append(found.select(F.lit(step).alias("step"), "event_id"))
     return functools.reduce(DataFrame.unionAll, served)
 
@@ -755,18 +756,23 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "stream")
     _land(derived.documents(spark, sf_dir), f"{root}/landing")
     documents = stream_ingest_job.stream_matches(spark, f"{root}/landing", files_per_batch=16)
-    query = stream_ingest_job.ingest_stream(documents, f"{root}/table", f"{root}/at")
+    query = stream_ingest_job.ingest_stream(documents, f"{root}/table", f"{root}/at", compact_every=2)
     query.awaitTermination()
-    return _participant_view(partitions.read_partitions(spark, f"{root}/table"))
+    return _participant_view(stream_ingest_job.streamed_table(spark, f"{root}/table").read())
 
 
 # --- daily jobs -------------------------------------------------------------
 
 
 def daily_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landing, ingest, records and messages in one go, through stored tables."""
+    """Landing, ingest, records and messages with images in one go, through the catalog table."""
     root = scratch_dir(spark, "daily")
-    places = daily.Places(root)
+    name = "participants_" + root.rsplit("-", 1)[-1]
+    places = daily.Places(root, table=name, images=f"{root}/images")
+    champions = derived.events(spark, sf_dir).select("event_type").distinct()
+    listed = F.array(F.concat("event_type", F.lit(".jpg")))
+    shown = champions.where("event_type <> 'view'").select(F.to_json(F.create_map("event_type", listed)))
+    shown.write.text(places.images)
     _land(derived.documents(spark, sf_dir), places.landing)
     roster = derived.roster(spark, sf_dir)
     as_of = dt.date.fromisoformat(AS_OF)
@@ -799,7 +805,7 @@ def stream_ingest_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
         _append(derived.documents(spark, sf_dir), f"{root}/landing")
     documents = stream_ingest_job.stream_matches(spark, f"{root}/landing", files_per_batch=16)
     stream_ingest_job.ingest_stream(documents, f"{root}/table", f"{root}/at").awaitTermination()
-    return _participant_view(partitions.read_partitions(spark, f"{root}/table"))
+    return _participant_view(stream_ingest_job.streamed_table(spark, f"{root}/table").read())
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -116,32 +118,27 @@ def read_participants(spark: SparkSession, path: str, schema: T.StructType = RAW
     return spark.read.schema(schema).parquet(path)
 
 
-def landed_matches(
-    spark: SparkSession, path: str, documents: DataFrame, without_batch: int | None = None
-) -> DataFrame | None:
-    """Player and match of the table's rows on the days that ``documents`` are of.
+def days_of(documents: DataFrame) -> list[dt.date]:
+    """The days that ``documents`` are of: as many values reach the driver as there are days."""
+    days = documents.select("load_date").where("load_date is not null").distinct()
+    return sorted(row["load_date"] for row in days.collect())
+
+
+def landed_matches(spark: SparkSession, path: str, days: list[dt.date]) -> DataFrame:
+    """Player and match of the table's rows on exactly these days: two columns of those folders.
 
-    Two columns of a few day folders; the days are a first and a last one. None if there are no
-    documents. ``without_batch`` leaves out what an earlier try of that batch wrote.
+    Listing the days, not a first and a last one, keeps one wild date from opening all folders between.
     """
-    days = documents.agg(F.min("load_date").alias("first"), F.max("load_date").alias("last")).first()
-    if days["first"] is None:
-        return None
     schema = T.StructType(
         [RAW["source_nickname"], RAW["metadata.matchId"], T.StructField("load_date", T.DateType())]
     )
-    if without_batch is not None:
-        schema = schema.add("batch_id", T.LongType())
     try:
         rows = spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         rows = spark.createDataFrame([], schema)
-    rows = rows.where(F.col("load_date").between(days["first"], days["last"]))
-    if without_batch is not None:
-        rows = rows.where(F.col("batch_id") != without_batch)
-    return rows.select("source_nickname", "`metadata.matchId`")
+    return rows.where(F.col("load_date").isin(days)).select("source_nickname", "`metadata.matchId`")
 
 
 def create_participant_table(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import path_key
 from ..schemas import quoted
+from .retirement import folders_below
 
 DAY_LAYOUT = ("load_date",)
 PLAYER_DAY_LAYOUT = ("load_date", "player_key")
@@ -71,6 +72,25 @@ def register_all(spark: SparkSession, table: str) -> None:
     spark.catalog.recoverPartitions(table)
 
 
+def register_new(spark: SparkSession, table: str, root: str, level: str = "load_date") -> list[str]:
+    """Add the folders of ``root`` that the catalog table doesn't know; their values.
+
+    Spark lists the files and compares folders with partitions; only what is new reaches the driver.
+    """
+    known = spark.sql(f"SHOW PARTITIONS {table}").select(F.col("partition").alias("folder"))
+    new = folders_below(spark, root, f"{level}=*").join(known, "folder", "left_anti")
+    values = sorted(row["folder"].split("=", 1)[1] for row in new.select("folder").collect())
+    for start in range(0, len(values), 100):
+        added = " ".join(
+            f"PARTITION ({quoted(level)} = '{value}') LOCATION '{root}/{level}={value}'"
+            for value in values[start : start + 100]
+        )
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {added}")
+    # Files added to known partitions are found as well.
+    spark.catalog.refreshTable(table)
+    return values
+
+
 def materialize_table(df: DataFrame, table: str, path: str | None = None) -> None:
     """Replace a catalog table by the result of ``df``; ``path`` keeps it outside the warehouse."""
     writer = df.write.mode("overwrite").format("parquet")

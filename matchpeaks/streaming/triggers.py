@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -57,7 +58,8 @@ def on_trigger(
 
     The position moves on only after ``refresh`` returned; a batch whose refresh
     failed comes again on restart, with the same id. ``ledger`` keeps the
-    handled messages by batch, so a repeated batch replaces its own entry.
+    handled messages by batch, so a repeated batch replaces its own entry; with it, a message
+    that an earlier batch handled is not handled again, however long ago that was.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -67,9 +69,12 @@ def on_trigger(
         try:
             if batch.count() == 0:
                 return
-            refresh(batch, batch_id)
+            fresh = batch if ledger is None else unhandled(batch, batch_id, ledger)
+            if fresh.isEmpty():
+                return
+            refresh(fresh, batch_id)
             if ledger is not None:
-                write_by_batch(batch, batch_id, ledger)
+                write_by_batch(fresh, batch_id, ledger)
         finally:
             batch.unpersist()
 
@@ -81,6 +86,24 @@ def on_trigger(
     )
 
 
+def unhandled(batch: DataFrame, batch_id: int, ledger: str) -> DataFrame:
+    """Messages of the batch, each id once, that no other batch has entered in the ledger.
+
+    The ledger is reduced to the batch's ids first. That side is small, so the ledger's one column is
+    filtered where it is read and isn't shuffled.
+    """
+    once = batch.dropDuplicates(["msg_id"])
+    try:
+        entries = batch.sparkSession.read.schema("msg_id string, batch_id bigint").parquet(ledger)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return once
+        raise
+    others = entries.where(F.col("batch_id") != batch_id).select("msg_id")
+    known = others.join(once.select("msg_id"), "msg_id", "left_semi")
+    return once.join(known, "msg_id", "left_anti")
+
+
 def write_by_batch(
     rows: DataFrame,
     batch_id: int,

@@ -88,7 +88,8 @@ def test_each_file_is_ingested_once(spark, tmp_path):
         ingest.ingest_stream(
             stream, table, str(tmp_path / "at"), str(tmp_path / "rejected")
         ).awaitTermination()
-        return sorted(r["metadata.matchId"] for r in spark.read.parquet(table).collect())
+        rows = ingest.streamed_table(spark, table).read().collect()
+        return sorted(r["metadata.matchId"] for r in rows)
 
     land(landing, "2024-01-30", "Alpha#T1", [document("RU_1"), "{", document("RU_2")])
     land(landing, "2024-01-29", "Бета#T1", [document("RU_3")])
@@ -97,7 +98,7 @@ def test_each_file_is_ingested_once(spark, tmp_path):
     land(landing, "2024-01-30", "Alpha#T1", [document("RU_4")])
     assert ingest_all() == ["RU_1", "RU_2", "RU_3", "RU_4"]
     assert spark.read.parquet(str(tmp_path / "rejected")).count() == 1
-    keys = {r.player_key for r in spark.read.parquet(table).collect()}
+    keys = {r.player_key for r in ingest.streamed_table(spark, table).read().collect()}
     assert keys == {"Alpha_T1", "Бета_T1"}
 
 
@@ -107,10 +108,33 @@ def test_a_match_landed_again_counts_once(spark, tmp_path):
         land(landing, day, "Alpha#T1", [document("RU_1"), document("RU_1"), document("RU_2")])
         stream = ingest.stream_matches(spark, str(landing), files_per_batch=1)
         ingest.ingest_stream(stream, table, str(tmp_path / "at")).awaitTermination()
-    rows = spark.read.parquet(table).collect()
+    rows = ingest.streamed_table(spark, table).read().collect()
     assert sorted(r["metadata.matchId"] for r in rows) == ["RU_1", "RU_2"]
 
 
+def test_small_files_of_a_stream_are_merged(spark, tmp_path):
+    landing, table = tmp_path / "landing", str(tmp_path / "table")
+    for n in range(5):
+        land(landing, "2024-01-30", "Alpha#T1", [document(f"RU_{n}")])
+    stream = ingest.stream_matches(spark, str(landing), files_per_batch=1)
+    ingest.ingest_stream(stream, table, str(tmp_path / "at"), compact_every=4).awaitTermination()
+    found = ingest.streamed_table(spark, table)
+    assert sorted(r["metadata.matchId"] for r in found.read().collect()) == [f"RU_{n}" for n in range(5)]
+    assert found.files().count() == 2  # the first four, and the fifth
+
+
+def test_a_message_is_handled_once_however_late_its_repeat(spark, tmp_path):
+    """By the ledger, without any state: in one batch, in later ones, and after a new start."""
+    root, handled = str(tmp_path), []
+    for name in ("a", "b", "a", "c", "a"):
+        send(spark, f"{root}/in", name)
+        if name != "b":
+            stream = triggers.read_triggers(spark, f"{root}/in")
+            refresh = lambda batch, _: handled.append(sorted(r.msg_id for r in batch.collect()))
+            triggers.on_trigger(stream, refresh, f"{root}/at", f"{root}/ledger").awaitTermination()
+    assert handled == [["a"], ["b"], ["c"]]
+
+
 def test_a_batch_of_one_day_is_written_by_all_its_tasks(spark, tmp_path):
     rows = spark.range(1000, numPartitions=4).withColumn("load_date", F.lit("2024-01-30"))
     triggers.write_by_batch(rows, 0, str(tmp_path / "t"), ("load_date",))
