@@ -106,17 +106,27 @@ def cell_lists(keys: np.ndarray, cells: int) -> tuple[np.ndarray, np.ndarray]:
 def _sketches(slices: int, cells: int, width: int, block_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, ids, held in in_blocks(batches, block_bytes):
-            raw = [t.encode() for t in held]
-            found = Windows(raw, width)
+            found = Windows([t.encode() for t in held], width)
             documents = found.documents()
-            rows = [own_row(block, squeeze_bytes(raw), squeeze_bytes([block.encode(), pack_ids(ids)]))]
+            rows = []
             ends = by_bucket(found.keys, slices)
             for n in np.flatnonzero(np.diff(ends)).tolist():
                 mine = slice(ends[n], ends[n + 1])
                 distinct, where = cell_lists(found.keys[mine], cells)
                 counts = np.minimum(np.bincount(where.ravel(), np.tile(documents[mine], ROWS), len(distinct)), 2)
                 rows.append(key_row(block, n, squeeze_sorted(distinct.astype(np.uint64)), zstandard.compress(counts.astype(np.uint8).tobytes())))
-            yield exchange_batch(rows)
+            if rows:
+                yield exchange_batch(rows)
+
+    return run
+
+
+def _own(block_bytes: int):
+    """The block's texts. They are read again instead of travelling with the requests."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block, ids, held in in_blocks(batches, block_bytes):
+            yield exchange_batch([own_row(block, squeeze_bytes([t.encode() for t in held]), squeeze_bytes([block.encode(), pack_ids(ids)]))])
 
     return run
 
@@ -154,7 +164,8 @@ def _estimated(slices: int, cells: int, width: int):
             often = np.unpackbits(np.frombuffer(zstandard.decompress(reply), np.uint8), count=len(distinct)).astype(bool)
             repeated[mine] = often[where].all(axis=0)
         block = name.decode()
-        rows = [own_row(block, data, squeeze_bytes([packed, zstandard.compress(np.packbits(repeated).tobytes())]))]
+        # In front of the block's texts, which come again.
+        rows = [(f"d{block}", block, -2, zstandard.compress(np.packbits(repeated).tobytes()), packed)]
         keys, seconds, least = found.keys[repeated], found.seconds[repeated], least[repeated]
         ends = by_bucket(keys, slices)
         for n in np.flatnonzero(np.diff(ends)).tolist():
@@ -196,12 +207,11 @@ def _remove(slices: int, width: int):
     out = arrow_schema(KEPT)
 
     def run(data: bytes, more: bytes, replies: list[bytes]) -> Iterator[pa.RecordBatch]:
-        raw = unsqueeze_bytes(data)
+        raw = unsqueeze_bytes(replies.pop(0))
         found = Windows(raw, width)
-        packed, mask = unsqueeze_bytes(more)
-        given = unpack_ids(packed)
+        given = unpack_ids(more)
         ids = _with_ids(given)
-        repeated = np.unpackbits(np.frombuffer(zstandard.decompress(mask), np.uint8), count=len(found.keys)).astype(bool)
+        repeated = np.unpackbits(np.frombuffer(zstandard.decompress(data), np.uint8), count=len(found.keys)).astype(bool)
         sizes = np.diff(by_bucket(found.keys[repeated], slices))
         bits = [np.unpackbits(np.frombuffer(zstandard.decompress(r), np.uint8), count=n) for r, n in zip(replies, sizes[sizes > 0], strict=True)]
         elsewhere = np.zeros(len(found.keys), bool)
@@ -241,12 +251,14 @@ def remove_repeated_windows(docs: DataFrame, width: int = WINDOW, block_bytes: i
     """doc_id, n_words, n_removed, and the kept words of every document.
 
     A word goes if it lies in a window of ``width`` words whose sequence also starts in a document of a
-    smaller id. ``size`` overrides the sketch's slices and cells.
+    smaller id. ``size`` overrides the sketch's slices and cells. ``docs`` is read three times and must come in
+    the same order, as a stored table does; another order is an error, not another result.
     """
     slices, cells = size or sketch_size(docs)
     sketches = numbered(docs).mapInArrow(_sketches(slices, cells, width, block_bytes), EXCHANGE)
-    estimated = finished(answered(sketches, _merge(cells)), _estimated(slices, cells, width), EXCHANGE)
-    return finished(answered(estimated, _group), _remove(slices, width), KEPT)
+    own = numbered(docs).mapInArrow(_own(block_bytes), EXCHANGE)
+    estimated = finished(answered(sketches, _merge(cells)).union(own), _estimated(slices, cells, width), EXCHANGE)
+    return finished(answered(estimated, _group).union(own), _remove(slices, width), KEPT)
 
 
 def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
