@@ -32,7 +32,7 @@ from .common import arrow_schema, stored, table, texts
 
 LEAST_DOCUMENTS, SMOOTHING, SCALE, TOP_TERMS = 10, 2, 1_000_000_000, 10
 #: Bytes of text in a shard; slices up to this size are finished by sorting their symbols.
-SHARD_BYTES, SMALL_SLICE = 8 << 20, 1 << 12
+SHARD_BYTES, SMALL_SLICE = 16 << 20, 1 << 16
 #: About as many words and sources make a tile's side.
 TILE_TERMS, TILE_SOURCES = 4096, 128
 COUNTS = "lang string, source string, term string, n bigint, docs bigint"
@@ -55,55 +55,62 @@ def word_starts(data: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.nda
     return starts, ends - starts, np.searchsorted(edges, starts, "right") - 1
 
 
-def symbols(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, depth: int) -> np.ndarray:
+def symbols(eight: np.ndarray, starts: np.ndarray, lengths: np.ndarray, depth: int) -> np.ndarray:
     """Eight bytes of each word from ``depth`` on as a number; nothing follows a word's end."""
-    eight = np.lib.stride_tricks.sliding_window_view(data, 8)[starts + depth]
-    return eight.view(">u8").ravel().astype(np.uint64) & _LEADING[np.clip(lengths - depth, 0, 8)]
+    return eight[starts + depth].view(">u8").ravel().astype(np.uint64) & _LEADING[np.minimum(np.maximum(lengths - depth, 0), 8)]
 
 
 def sorted_pointers(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, small: int = SMALL_SLICE) -> tuple[np.ndarray, np.ndarray]:
     """Order of the words by their bytes, and the sizes of the runs of equal ones; equal words stay in their order.
 
     Multikey quicksort: a slice is parted into the words whose symbol is less than, equal to and greater
-    than a pivot; the equal ones go on with their next symbol. ``data`` ends with eight spare bytes.
+    than a pivot; the equal ones go on with their next symbol. A small slice is finished by sorting its symbols,
+    all its undecided runs at once. ``data`` ends with eight spare bytes.
     """
     order, sizes = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-    # Slices to sort from a depth on, the next one last; or, without a depth, settled ones with their runs.
+    eight = np.lib.stride_tricks.sliding_window_view(data, 8)
+    # Slices to sort from a depth on, with their symbols there if known; the next one is the last.
     waiting: list[tuple] = [(np.arange(len(starts)), 0, None)]
     while waiting:
         part, depth, known = waiting.pop()
-        if depth is None:
-            order.append(part)
-            sizes.append(known)
-            continue
         if not len(part):
             continue
         if known is None:
             if len(part) == 1 or lengths[part].max() <= depth:
-                waiting.append((part, None, np.array([len(part)])))
+                order.append(part)
+                sizes.append(np.array([len(part)]))
                 continue
-            known = symbols(data, starts[part], lengths[part], depth)
+            known = symbols(eight, starts[part], lengths[part], depth)
         if len(part) > small:
             pivot = np.sort(known[:: len(part) // 9])[4]
             less, same = known < pivot, known == pivot
             more = ~(less | same)
             waiting += [(part[more], depth, known[more]), (part[same], depth + 8, None), (part[less], depth, known[less])]
-            continue
-        by = np.argsort(known, kind="stable")
-        part, known = part[by], known[by]
-        edges = np.flatnonzero(np.concatenate([[True], known[1:] != known[:-1]]))
-        runs = np.diff(np.append(edges, len(part)))
-        unsettled = np.flatnonzero((runs > 1) & (np.maximum.reduceat(lengths[part], edges) > depth + 8))
-        found, at = [], 0
-        for i in unsettled.tolist():
-            found += [(part[edges[at] : edges[i]], None, runs[at:i]), (part[edges[i] : edges[i] + runs[i]], depth + 8, None)]
-            at = i + 1
-        if at < len(edges):
-            found.append((part[edges[at] :], None, runs[at:]))
-        waiting += found[::-1]
+        else:
+            for found, into in zip(_finished(eight, starts, lengths, part, known, depth), (order, sizes)):
+                into.append(found)
     return np.concatenate(order), np.concatenate(sizes)
 
 
+def _finished(eight: np.ndarray, starts: np.ndarray, lengths: np.ndarray, part: np.ndarray, known: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """A small slice in order, and the sizes of its runs: each pass sorts the runs that go on by their next symbol."""
+    by = np.argsort(known, kind="stable")
+    part, known = part[by], known[by]
+    begins = np.concatenate([[True], known[1:] != known[:-1]])
+    while True:
+        edges = np.flatnonzero(begins)
+        runs = np.diff(edges, append=len(part))
+        go_on = (runs > 1) & (np.maximum.reduceat(lengths[part], edges) > depth + 8)
+        if not go_on.any():
+            return part, runs
+        depth += 8
+        at = np.flatnonzero(np.repeat(go_on, runs))
+        key = symbols(eight, starts[part[at]], lengths[part[at]], depth)
+        by = np.lexsort((key, np.cumsum(begins)[at]))
+        part[at], key = part[at][by], key[by]
+        begins[at[1:]] |= key[1:] != key[:-1]
+
+
 def shard_counts(data: np.ndarray, edges: np.ndarray, group: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(words, then for each word and group: word number, group, occurrences, documents) of one shard."""
     lower = np.concatenate([_LOWER[data], np.zeros(8, np.uint8)])
@@ -144,11 +151,13 @@ def _count(shard_bytes: int):
                 part = text[edges[at] : edges[to]]
                 words, word, of, n, documents = shard_counts(part, edges[at : to + 1] - edges[at], group[at:to])
                 at = to
+                languages, sources = (pa.array([pair[i] for pair in named], pa.string()) for i in (0, 1))
+                spelled = pa.array(words, pa.string())
                 for begin in range(0, len(word), 1 << 16):
                     piece = slice(begin, begin + (1 << 16))
-                    languages, sources = ([named[g][i] for g in of[piece].tolist()] for i in (0, 1))
-                    columns = [languages, sources, [words[w] for w in word[piece].tolist()], n[piece], documents[piece]]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, out)], schema=out)
+                    group_of, word_of = pa.array(of[piece]), pa.array(word[piece])
+                    columns = [languages.take(group_of), sources.take(group_of), spelled.take(word_of), pa.array(n[piece]), pa.array(documents[piece])]
+                    yield pa.RecordBatch.from_arrays(columns, schema=out)
 
     return run
 
