@@ -438,14 +438,16 @@ def oracle_sql() -> dict[str, str]:
     sql["stream_ingest_repeats"] = DOCUMENT_ROWS
     sql["stream_dedupe"] = "SELECT event_id, props FROM events"
     # Only documents that are complete get into the table.
-    sql["daily_messages"] = MESSAGES.replace(
+    complete = (
         "        FROM events\n    ),\n    raw AS",
         """        FROM events
         WHERE event_type NOT IN ('error', 'signup') AND NOT (
             event_type = 'view' AND CAST(json_extract_string(props, '$.k') AS BIGINT) = 50)
     ),
     raw AS""",
-    ) + (
+    )
+    sql["daily_window_records"] = MATCH_RECORDS.replace(*complete) + " SELECT * FROM records"
+    sql["daily_messages"] = MESSAGES.replace(*complete) + (
         " SELECT * EXCLUDE (roster_ord, metric_ord),"
         " CASE WHEN champion <> 'view' THEN champion || '.jpg' END AS file FROM messages"
     )

@@ -780,6 +780,23 @@ def daily_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily.current_messages(spark, places, roster, as_of).drop("roster_ord", "metric_ord")
 
 
+def daily_window_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of the stored window: a third of the documents land two days before, the rest on the day.
+
+    So most days of the window get rows after the window has taken them in.
+    """
+    places = daily.Places(scratch_dir(spark, "daily"))
+    found, roster = derived.documents(spark, sf_dir), derived.roster(spark, sf_dir)
+    as_of = dt.date.fromisoformat(AS_OF)
+    early = as_of - dt.timedelta(days=2)
+    _land(found.where("event_id % 3 = 0"), places.landing)
+    daily.daily_ingest(spark, places, roster, early, days=32)
+    daily.update_records(spark, places, roster, early)
+    _append(found.where("event_id % 3 <> 0"), places.landing)
+    late = daily.daily_ingest(spark, places, roster, as_of, days=32)
+    return _double_decimals(daily.update_records(spark, places, roster, as_of, late_days=late))
+
+
 def daily_late_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that land after others of their player-day, and in a later folder, are loaded.
 
@@ -872,6 +889,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         stream_ingest,
         stream_ingest_repeats,
         daily_messages,
+        daily_window_records,
         daily_late_matches,
     ]
     return {query.__name__: query for query in listed}
