@@ -27,3 +27,22 @@ def components(edges: DataFrame) -> DataFrame:
         labels = moved.select("node", F.col("now").alias("component"))
         if moved.where("moved").isEmpty():
             return labels
+
+
+def contracted(found: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components ``found`` (node, component) after further links (a, b); only links between components count.
+
+    The links become links between component labels, mostly far fewer, and only those go through the rounds.
+    """
+    if found is None:
+        return components(links)
+    for side in ("a", "b"):
+        label = found.select(F.col("node").alias(side), "component")
+        links = links.join(label, side, "left").withColumn(side, F.coalesce("component", side)).drop("component")
+    edges = stored(links.where("a <> b").distinct(), "edges")
+    if edges.isEmpty():
+        return found
+    joined = components(edges)
+    lower = joined.select(F.col("node").alias("component"), F.col("component").alias("lower"))
+    moved = found.join(lower, "component", "left").select("node", F.coalesce("lower", "component").alias("component"))
+    return stored(moved.union(joined.join(found.select("node"), "node", "left_anti").select("node", "component")), "labels")

@@ -11,7 +11,9 @@
    it shares prefix tokens with, drawn anew each round, which joins most near copies without
    all their pairs. Then *all* sets of different components that share enough prefix tokens are
    compared, so no link between components is lost: pair by pair where they meet on short
-   lists, and part by part, as matrix products, where they meet on a long one.
+   lists, and part by part, as matrix products, where they meet on a long one. What a step joins is one
+   component in the next; parts are compared with themselves before they are with each other,
+   and of a comparison only a spanning forest of the components it joins comes out.
 
 Hot shingles come once per block when counted, are last in the order, and so reach no prefix but of
 sets that consist of them.
@@ -33,7 +35,7 @@ from pyspark.sql import functions as F
 
 from .blocks import BLOCK_BYTES, EXCHANGE, answered, bucket_count, by_bucket, exchange_batch, finished, in_blocks, key_row, merged_counts, numbered, own_row, pack_ids, squeeze, squeeze_bytes, squeeze_sorted, unpack_ids, unsqueeze, unsqueeze_bytes, unsqueeze_sorted
 from .common import arrow_schema, as_batch, stored, table
-from .components import components
+from .components import components, contracted
 from .hashing import mixed, shingles
 
 WORDS, PERCENT = 5, 75
@@ -41,6 +43,8 @@ WORDS, PERCENT = 5, 75
 MATCHES, VERIFY = 8, 50
 #: Rounds with drawn partners; lists longer than this are compared in parts of so many sets.
 ROUNDS, LONG_LIST, PART = 2, 32, 256
+#: About so many sets of a list draw the same partner.
+STRETCH = 32
 SETS = "doc_id bigint, n_shingles bigint, fp_a bigint, fp_b bigint, may_link boolean, shared binary"
 
 
@@ -171,13 +175,21 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _drawn(placed: DataFrame, turn: int) -> DataFrame:
-    """For each set one set of another component, the one that stands on most of its prefix lists among those drawn."""
-    drawn = F.struct(F.xxhash64("rep", F.lit(turn)).alias("o"), "rep", "component")
-    lists = placed.groupBy("token").agg(F.min(drawn).alias("one"), F.min("component").alias("low"), F.max("component").alias("high"))
-    lists = lists.where("low <> high").select("token", "one")
-    mixed_lists = placed.join(lists, "token")
-    second = mixed_lists.where("component <> one.component").groupBy("token").agg(F.min(drawn).alias("two"))
-    pairs = mixed_lists.join(second, "token").select("rep", F.when(F.expr("component <> one.component"), F.col("one.rep")).otherwise(F.col("two.rep")).alias("other"))
+    """For each set one set of another component, the one that stands on most of its prefix lists among those drawn.
+
+    The sets of a list are put in a random order and cut into stretches; a stretch shares a partner, so that partners differ.
+    """
+    sizes = placed.groupBy("token").agg(F.count("*").alias("listed"))
+    order = F.xxhash64("rep", F.lit(turn))
+    stretches = F.ceil(F.col("listed") / F.lit(STRETCH))
+    stretch = F.floor((F.col("o") / F.lit(2.0**64) + 0.5) * stretches).cast("int")
+    placed = placed.join(sizes.where("listed > 1"), "token").withColumn("o", order).withColumn("stretch", stretch)
+    place, drawn = ["token", "stretch"], F.struct("o", "rep", "component")
+    lists = placed.groupBy(*place).agg(F.min(drawn).alias("one"), F.min("component").alias("low"), F.max("component").alias("high"))
+    lists = lists.where("low <> high").select(*place, "one")
+    mixed_lists = placed.join(lists, place)
+    second = mixed_lists.where("component <> one.component").groupBy(*place).agg(F.min(drawn).alias("two"))
+    pairs = mixed_lists.join(second, place).select("rep", F.when(F.expr("component <> one.component"), F.col("one.rep")).otherwise(F.col("two.rep")).alias("other"))
     counted = pairs.groupBy("rep", "other").agg(F.count("*").alias("n"))
     best = counted.groupBy("rep").agg(F.max(F.struct("n", "other"))["other"].alias("other"))
     return best.select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
@@ -221,7 +233,7 @@ def _link_parts(percent: int):
 
 
 def links_between(one: tuple, two: tuple, percent: int) -> list[tuple[int, int]]:
-    """Links between two parts' sets of different components; of links that join the same two components one is enough."""
+    """Links between two parts' sets of different components: a spanning forest of the components that they join."""
     sides = []
     for reps, sizes, labels, sets in (one, two):
         keys = [unpack_set(x)[0] for x in unsqueeze_bytes(sets)]
@@ -241,18 +253,29 @@ def links_between(one: tuple, two: tuple, percent: int) -> list[tuple[int, int]]
             rows.append(matrix)
         both += (rows[0] @ rows[1].T).round().astype(np.int64)
     linked = (100 * both >= percent * (n[:, None] + n2[None, :] - both)) & (c[:, None] != c2[None, :])
-    found = {}
-    for i, j in zip(*np.nonzero(linked)):
-        found.setdefault((min(c[i], c2[j]), max(c[i], c2[j])), (int(r[i]), int(r2[j])))
-    return [(min(p), max(p)) for p in found.values()]
+    above: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (y := above.setdefault(x, x)) != x:
+            above[x] = x = above[y] if y in above else y
+        return x
+
+    forest = []
+    rows, columns = np.nonzero(linked)
+    for i, j in zip(rows.tolist(), columns.tolist()):
+        x, y = root(int(c[i])), root(int(c2[j]))
+        if x != y:
+            above[max(x, y)] = min(x, y)
+            forest.append((int(min(r[i], r2[j])), int(max(r[i], r2[j]))))
+    return forest
 
 
-def _long_list_links(crossing: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _long_list_links(crossing: DataFrame, sets: DataFrame, percent: int, inside: bool) -> DataFrame:
     """Links of different components between sets that meet on a long list.
 
     Sets that meet there are dealt to clusters by the longest list each is on, and clusters are cut
     into parts of about ``PART`` sets. Parts of clusters that meet are compared as wholes: pairs of sets are
-    never rows, and no task holds more than two parts.
+    never rows, and no task holds more than two parts. ``inside``: only each part with itself.
     """
     long = crossing.where(F.col("listed") > LONG_LIST)
     homes = stored(long.groupBy("rep", "component").agg(F.max(F.struct("listed", "token"))["token"].alias("cluster")), "homes")
@@ -260,6 +283,9 @@ def _long_list_links(crossing: DataFrame, sets: DataFrame, percent: int) -> Data
     dealt = homes.join(parts, "cluster").withColumn("part", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int"))
     packed = dealt.join(sets, "rep").select("cluster", "part", "rep", F.col("n_shingles").cast("long").alias("n_shingles"), "component", "shared")
     packed = stored(packed.groupBy("cluster", "part").applyInArrow(_packed, "cluster bigint, part int, reps array<bigint>, sizes array<bigint>, components array<bigint>, sets binary"), "parts")
+    columns = ("reps", "sizes", "components", "sets")
+    if inside:
+        return packed.select(*columns, *[F.col(c).alias(f"{c}_b") for c in columns]).mapInArrow(_link_parts(percent), "a bigint, b bigint")
     on = long.select("token", "rep").join(homes.select("rep", "cluster"), "rep").select("token", "cluster").distinct()
     met = on.join(on.withColumnRenamed("cluster", "cluster_b"), "token").where("cluster <= cluster_b").select("cluster", "cluster_b").distinct()
     met = met.join(parts, "cluster").join(parts.select(F.col("cluster").alias("cluster_b"), F.col("parts").alias("parts_b")), "cluster_b")
@@ -267,7 +293,6 @@ def _long_list_links(crossing: DataFrame, sets: DataFrame, percent: int) -> Data
     met = met.where("cluster < cluster_b or part <= part_b").select("cluster", "part", "cluster_b", "part_b")
     other = packed.select(*[F.col(c).alias(f"{c}_b") for c in packed.columns])
     pairs = met.join(packed, ["cluster", "part"]).join(other, ["cluster_b", "part_b"])
-    columns = ("reps", "sizes", "components", "sets")
     return pairs.select(*columns, *[f"{c}_b" for c in columns]).mapInArrow(_link_parts(percent), "a bigint, b bigint")
 
 
@@ -275,22 +300,23 @@ def joined_sets(sets: DataFrame, percent: int = PERCENT, rounds: int = ROUNDS) -
     """(rep, component) of the sets (rep, n_shingles, shared) that link to another one."""
     schema = "token bigint, rep bigint, ell int, n_shingles int, n_shared int"
     prefixes = stored(sets.select("rep", "n_shingles", "shared").mapInArrow(_prefixes(percent, schema), schema), "prefixes")
-    links, found = None, None
-    for turn in range(rounds + 1):
+    found = None
+
+    def placed() -> DataFrame:
         if found is None:
-            placed = prefixes.withColumn("component", F.col("rep"))
-        else:
-            placed = prefixes.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        if turn < rounds:
-            new = verified(_drawn(placed, turn), sets, percent).where("linked").select("a", "b")
-        else:
-            crossing = stored(_crossing(placed), "crossing")
-            new = verified(_short_list_pairs(crossing, percent), sets, percent).where("linked").select("a", "b")
-            new = new.union(_long_list_links(crossing, sets, percent))
-        new = stored(new, "links")
-        links = new if links is None else links.union(new)
-        if turn == rounds or not new.isEmpty():
-            found = components(links)
+            return prefixes.withColumn("component", F.col("rep"))
+        named = found.withColumnRenamed("node", "rep")
+        return prefixes.join(named, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+
+    for turn in range(rounds):
+        new = verified(_drawn(placed(), turn), sets, percent).where("linked").select("a", "b")
+        found = contracted(found, stored(new, "links"))
+    for inside in (True, False):
+        crossing = stored(_crossing(placed()), "crossing")
+        new = _long_list_links(crossing, sets, percent, inside)
+        if not inside:
+            new = new.union(verified(_short_list_pairs(crossing, percent), sets, percent).where("linked").select("a", "b"))
+        found = contracted(found, stored(new, "links"))
     return found.withColumnRenamed("node", "rep")
 
 

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from matchpeaks.llm import ngram_join as j
-from matchpeaks.llm.components import components
+from matchpeaks.llm.components import components, contracted
 from matchpeaks.llm.hashing import shingles
 
 
@@ -96,6 +96,39 @@ def test_shingles_match_words():
     assert {0, 1, 6} in by_key.values()
 
 
+def test_a_group_near_the_threshold_gives_few_edges(spark, monkeypatch):
+    """1,000 texts of one origin, any two of which are about as alike as the threshold asks: edges grow with the sets."""
+    rng = random.Random(21)
+    origin = [f"w{i}" for i in range(100)]
+    docs = []
+    for i in range(1000):
+        words = list(origin)
+        for at in rng.sample(range(100), 2):
+            words[at] = f"x{i}-{at}"
+        docs.append((i, " ".join(words)))
+    seen = []
+    whole = j.contracted
+
+    def counted(found, links):
+        seen.append(links.count())
+        return whole(found, links)
+
+    monkeypatch.setattr(j, "contracted", counted)
+    rows = j.ngram_components(spark.createDataFrame(docs, "doc_id bigint, text string").repartition(8)).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == plain(docs)
+    assert sum(seen) < 4 * len(docs)
+
+
+def test_components_by_and_by_are_those_of_all_edges(spark):
+    rng = random.Random(3)
+    edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(70)]
+    found, schema = None, "a bigint, b bigint"
+    for part in (edges[:20], edges[20:25], [], edges[25:]):
+        found = contracted(found, spark.createDataFrame(part, schema))
+    whole = components(spark.createDataFrame(edges, schema))
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, whole.collect()))
+
+
 def test_components_of_a_long_chain(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 102), (102, 101)]
     rows = components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()
