@@ -134,7 +134,7 @@ class FileTable:
     # Care.
 
     def compact(self, target_bytes: int = TARGET_BYTES, files_at_once: int = FILES_AT_ONCE) -> int:
-        """Merge small files of each day; how many files were replaced. None if another merge is running: 0."""
+        """Merge small files of each day; how many files were replaced, 0 while another merge is running."""
         lease = leases.acquire(self.spark, f"{self.root}/lease")
         if lease is None:
             return 0

@@ -1,0 +1,79 @@
+import datetime as dt
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from matchpeaks.plans import daily
+from matchpeaks.sources import matches, partitions
+from matchpeaks.sources.dimensions import roster_of
+
+from test_ingest import document, land
+
+DAY = dt.date(2024, 1, 30)
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    name = "places_" + tmp_path.name.replace("-", "_")
+    yield name
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_only_new_folders_are_added(spark, tmp_path, table):
+    root = str(tmp_path / "t")
+    matches.create_participant_table(spark, table, root)
+    days = ["2024-01-30", "2024-01-31"]
+    for known, day in enumerate(days):
+        row = spark.range(1).select(F.lit("RU_1").alias("metadata.matchId"), F.lit("a").alias("player_key"))
+        row.write.parquet(f"{root}/load_date={day}")
+        assert partitions.register_new(spark, table, root) == [day]
+        assert spark.table(table).count() == known + 1
+    assert partitions.register_new(spark, table, root) == []
+    # Files added to a known folder are seen as well.
+    row.write.mode("append").parquet(f"{root}/load_date={days[0]}")
+    partitions.register_new(spark, table, root)
+    assert spark.table(table).count() == 3
+
+
+def test_daily_jobs_through_the_catalog_with_images(spark, tmp_path, table):
+    images = tmp_path / "images"
+    images.mkdir()
+    (images / "a.json").write_text(json.dumps({"Ahri": ["ahri.jpg"]}))
+    places = daily.Places(str(tmp_path), table=table, images=str(images))
+    roster = roster_of(spark, ["Alpha#T1"])
+    own = {"riotIdGameName": "Alpha", "riotIdTagline": "T1", "championName": "Ahri", "assists": 0, "deaths": 1}
+    for match, kills, day in (("RU_1", 5, "2024-01-22"), ("RU_2", 9, "2024-01-30")):
+        land(tmp_path / "landing", day, "Alpha#T1", [document(match, [{**own, "kills": kills}], created=f"{day}T10:00:00")])
+    as_of = dt.date(2024, 1, 31)
+    assert daily.daily_ingest(spark, places, roster, as_of, days=9) == [dt.date(2024, 1, 22), DAY]
+    assert {r["partition"] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()} == {"load_date=2024-01-22", "load_date=2024-01-30"}
+    found = daily.current_messages(spark, places, roster, as_of).collect()
+    assert [(r.metric, r.file) for r in found] == [("kills", "ahri.jpg")]
+    assert daily.update_records(spark, places, roster, as_of).first().kills == 9
+
+
+def test_rejects_of_other_runs_stay_in_any_session(spark, tmp_path):
+    places = daily.Places(str(tmp_path))
+    roster = roster_of(spark, ["Alpha#T1"])
+    land(tmp_path / "landing", DAY, "Alpha#T1", ["{"])
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        for day in (31, 32):
+            daily.daily_ingest(spark, places, roster, dt.date(2024, 1, 1) + dt.timedelta(days=day - 1))
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    runs = {str(r.run) for r in spark.read.parquet(places.rejected_daily).collect()}
+    assert runs == {"2024-01-31", "2024-02-01"}
+
+
+def test_a_wild_date_opens_its_own_folder_only(spark, tmp_path):
+    days = [dt.date(2024, 1, 30), dt.date(1970, 1, 1)]
+    documents = spark.createDataFrame([(d,) for d in [*days, *days, None]], "load_date date")
+    assert matches.days_of(documents) == sorted(days)
+    spark.range(3).selectExpr(
+        "'a' AS source_nickname", "'m' AS `metadata.matchId`", "date_add(date'2024-01-29', int(id)) AS load_date"
+    ).write.partitionBy("load_date").parquet(str(tmp_path / "t"))
+    found = matches.landed_matches(spark, str(tmp_path / "t"), days)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [load_date#" in plan and "IN (2024-01-30,1970-01-01)" in plan and found.count() == 1
