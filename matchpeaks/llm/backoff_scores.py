@@ -83,17 +83,24 @@ def _blocks(block_bytes: int):
     return run
 
 
-def _without_own(doc: np.ndarray, grams: np.ndarray, keys: np.ndarray, totals: np.ndarray) -> np.ndarray:
-    """Counts of each place's n-gram in the other documents (0 where there is no n-gram)."""
-    order = np.lexsort((grams, doc))
-    g, d = grams[order], doc[order]
-    new = np.ones(len(g), bool)
-    new[1:] = (g[1:] != g[:-1]) | (d[1:] != d[:-1])
-    run = np.cumsum(new) - 1
-    own = np.bincount(run, minlength=1)[run] if len(g) else np.empty(0, np.int64)
-    others = np.empty(len(g), np.int64)
-    others[order] = totals[np.searchsorted(keys, g)] - own if len(g) else own
-    return np.where(grams == TOTAL, 0, others)
+def _without_own(doc: np.ndarray, grams: list[np.ndarray], totals: np.ndarray) -> list[np.ndarray]:
+    """For each order the counts of each place's n-gram in the other documents (0 where there is no n-gram).
+
+    ``totals`` are those of the block's keys in ascending order, ``TOTAL`` first. One sort serves all orders: it is
+    stable, so the places of a key come by document, and a document's own count is the length of its run.
+    """
+    every = np.concatenate([np.array([TOTAL]), *grams])
+    of = np.concatenate([[-1], *[doc] * len(grams)])
+    order = np.argsort(every, kind="stable")
+    key, of = every[order], of[order]
+    new_key = np.concatenate([[True], key[1:] != key[:-1]])
+    new_run = new_key | np.concatenate([[True], of[1:] != of[:-1]])
+    starts = np.flatnonzero(new_run)
+    own = np.diff(starts, append=len(key))
+    others = np.empty(len(key), np.int64)
+    others[order] = totals[np.cumsum(new_key) - 1] - np.repeat(own, own)
+    others[every == TOTAL] = 0
+    return np.split(others[1:], len(grams))
 
 
 def place_scores(doc: np.ndarray, counts: list[np.ndarray], totals: np.ndarray, discount: float) -> tuple[np.ndarray, np.ndarray]:
@@ -119,10 +126,9 @@ def _scored(order: int, discount: float):
     def run(data: bytes, more: bytes, replies: list[bytes]) -> Iterator[pa.RecordBatch]:
         lowered, ids = unsqueeze_bytes(data), unpack_ids(more)
         doc, grams = ngrams(lowered, order)
-        keys = np.unique(np.concatenate([np.array([TOTAL]), *grams]))
         totals = np.concatenate([unsqueeze(r, np.uint64) for r in replies]).astype(np.int64)
         n_words = np.bincount(doc, minlength=len(ids))
-        counts = [_without_own(doc, g, keys, totals) for g in grams]
+        counts = _without_own(doc, grams, totals)
         logs, used = place_scores(doc, counts, (totals[0] - n_words)[doc], discount)
         sums = np.bincount(doc, logs, len(ids))
         by_order = [np.bincount(doc, used == k, len(ids)).astype(np.int64).tolist() for k in range(order + 1)]
