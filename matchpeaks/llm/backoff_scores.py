@@ -90,16 +90,18 @@ def _without_own(doc: np.ndarray, grams: list[np.ndarray], totals: np.ndarray) -
     stable, so the places of a key come by document, and a document's own count is the length of its run.
     """
     every = np.concatenate([np.array([TOTAL]), *grams])
-    of = np.concatenate([[-1], *[doc] * len(grams)])
-    order = np.argsort(every, kind="stable")
-    key, of = every[order], of[order]
+    order = np.argsort(every, kind="stable").astype(np.int32)
+    key = every[order]
     new_key = np.concatenate([[True], key[1:] != key[:-1]])
+    none = every == TOTAL
+    del every, key
+    short = doc.astype(np.int32)
+    of = np.concatenate([np.array([-1], np.int32), *[short] * len(grams)])[order]
     new_run = new_key | np.concatenate([[True], of[1:] != of[:-1]])
-    starts = np.flatnonzero(new_run)
-    own = np.diff(starts, append=len(key))
-    others = np.empty(len(key), np.int64)
-    others[order] = totals[np.cumsum(new_key) - 1] - np.repeat(own, own)
-    others[every == TOTAL] = 0
+    own = np.diff(np.flatnonzero(new_run), append=len(of))
+    others = np.empty(len(of), np.int64)
+    others[order] = totals[np.cumsum(new_key, dtype=np.int32) - 1] - np.repeat(own, own)
+    others[none] = 0
     return np.split(others[1:], len(grams))
 
 
