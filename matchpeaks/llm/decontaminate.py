@@ -25,6 +25,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,8 +38,10 @@ Q, PIECE, EDITS = 8, 100, 0.1
 PASSAGE, SHORT, SHORT_EDITS = 60, 50, 0.04
 #: A character of an item is in six or seven pieces.
 PART_CHARS = 1_200_000
-#: Characters of text per round of array work.
-GROUP = 1 << 20
+#: Characters of text per round of array work, which takes some 150 bytes for each.
+GROUP = 1 << 18
+#: Documents per round, as each takes a gap of its own.
+ROWS = 512
 LEAKS = "doc_id bigint, item_id bigint, start bigint, end bigint, distance bigint, length bigint"
 
 
@@ -191,6 +194,16 @@ def leaks_in(ids: list[int | None], held: list[str], p: Pieces, q: int = Q) -> I
                 yield ids[doc], p.items[w], max(0, stop - int(m)), stop, int(d), int(m)
 
 
+def groups(batch: pa.RecordBatch, at: int) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch that end with the row that brings them to ``GROUP`` characters of column ``at``, or to ``ROWS`` rows."""
+    start = size = 0
+    for n, chars in enumerate(pc.utf8_length(batch.column(at)).to_pylist(), 1):
+        size += chars or 0
+        if size >= GROUP or n - start == ROWS or n == batch.num_rows:
+            yield batch.slice(start, n - start)
+            start, size = n, 0
+
+
 def _scan(part, q: int):
     out = arrow_schema(LEAKS)
 
@@ -202,7 +215,7 @@ def _scan(part, q: int):
             ids.append(doc_id)
             held.append(normal(text))
             size += len(text)
-            if size >= GROUP:
+            if size >= GROUP or len(ids) == ROWS:
                 yield as_batch(list(leaks_in(ids, held, part.value, q)), out)
                 ids, held, size = [], [], 0
         yield as_batch(list(leaks_in(ids, held, part.value, q)), out)
@@ -227,8 +240,7 @@ def keep_clean(docs: DataFrame, items: DataFrame, q: int = Q, size: int = PIECE,
     def without(part: Broadcast):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for start in range(0, batch.num_rows, 512):
-                    rows = batch.slice(start, 512)
+                for rows in groups(batch, at):
                     held = [normal(x or "") for x in rows.column(at).to_pylist()]
                     leaky = {i for i, *_ in leaks_in(list(range(len(held))), held, part.value, q)}
                     yield rows.filter(pa.array([i not in leaky for i in range(len(held))]))

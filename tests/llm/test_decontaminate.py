@@ -1,6 +1,8 @@
 import random
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from matchpeaks.llm import decontaminate as d
@@ -83,3 +85,22 @@ def test_passages_at_all_offsets_of_an_item(n):
     at = range(len(item) - n + 1)
     docs = [d.normal(f"{prose(rng, 12)}{item[i : i + n]}{prose(rng, 12)}") for i in at]
     assert {doc for doc, *_ in d.leaks_in(list(at), docs, p)} == set(at)
+
+
+def test_rounds_are_bounded_by_characters(monkeypatch):
+    """Long documents share no round of array work: memory goes by characters, not by rows."""
+    text = prose(random.Random(5), 16_000)
+    rows = [(n, text) for n in range(40)] + [(40, None), (41, "")]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["doc_id", "text"])
+    leaks_in, sizes = d.leaks_in, []
+
+    def counted(ids, held, *more):
+        sizes.append(sum(map(len, held)))
+        return leaks_in(ids, held, *more)
+
+    monkeypatch.setattr(d, "leaks_in", counted)
+    monkeypatch.setattr(d, "_parts", lambda *_: [SimpleNamespace(value=d.pieces_of([(1, "no such passage in any of these texts, whatever is done")]))])
+    docs = SimpleNamespace(columns=["doc_id", "text"], schema=None, mapInArrow=lambda run, schema: run(iter([batch])))
+    kept = pa.Table.from_batches(d.keep_clean(docs, None))
+    assert kept["doc_id"].to_pylist() == [n for n, _ in rows]
+    assert max(sizes) < 1 << 20
