@@ -31,11 +31,21 @@ def day_summaries(
     first: dt.date,
     last: dt.date,
     table: GameTable = GAMES,
+    only: list[dt.date] | None = None,
 ) -> DataFrame:
-    """Best games of every player and day from ``first`` to ``last``: nickname, day, a struct a metric."""
+    """Best games of every player and day from ``first`` to ``last``: nickname, day, a struct a metric.
+
+    ``only``: of these days alone.
+    """
     low, high = F.lit(first), F.lit(last)
     rows = games.where(in_days(games, table.time, low, high, table.day, table.slack))
     day = game_date(games, table.time).alias("day")
+    if only is not None:
+        rows = rows.where(day.isin(only))
+        if table.day is not None:
+            shifts = range(-table.slack, table.slack + 1)
+            folders = {d + dt.timedelta(days=n) for d in only for n in shifts}
+            rows = rows.where(F.col(quoted(table.day)).isin(sorted(folders)))
     player = F.col(quoted(table.player)).alias("nickname")
     return rows.groupBy(player, day).agg(*best_games(games, specs, table))
 

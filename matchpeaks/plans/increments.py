@@ -99,9 +99,9 @@ class RecordWindow:
 
     # Days.
 
-    def summarise(self, first: dt.date, last: dt.date) -> None:
-        """Write the summaries of these days anew, from the games of these days alone."""
-        found = day_summaries(self.games, self.specs, first, last, self.table)
+    def summarise(self, first: dt.date, last: dt.date, only: list[dt.date] | None = None) -> None:
+        """Write the summaries of these days anew, from the games of these days alone, all days at once."""
+        found = day_summaries(self.games, self.specs, first, last, self.table, only)
         (
             found.withColumn("summary_day", F.col("day"))
             .write.mode("overwrite")
@@ -179,9 +179,8 @@ class RecordWindow:
         """
         there = self._summarised()
         late = sorted(day for day in set(days) if day in there or self._reached(day))
-        for day in late:
-            self.summarise(day, day)
         if late:
+            self.summarise(late[0], late[-1], late)
             self._commit(None, None, None, None, late[0])
 
     def _reached(self, day: dt.date) -> bool:

@@ -126,3 +126,15 @@ def test_a_player_with_most_games_sends_one_row_a_task(spark, tmp_path):
     found = operators.day_summaries(spark.read.parquet(path), SPECS, START, START, TABLE)
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert plan.count("partial_min") >= len(SPECS)
+
+
+def test_late_days_are_summarised_in_one_job(spark, tmp_path, monkeypatch):
+    path = table_of(spark, tmp_path, games_of(random.Random(3), range(8)))
+    window = RecordWindow(spark.read.parquet(path), SPECS, str(tmp_path / "window"), TABLE, 5)
+    window.records(roster_of(spark), START + 8 * DAY)
+    before = sorted(window.summaries(START, START + 7 * DAY).collect(), key=str)
+    summarise, calls = RecordWindow.summarise, []
+    monkeypatch.setattr(RecordWindow, "summarise", lambda self, *days: calls.append(days) or summarise(self, *days))
+    window.refresh_days([START + n * DAY for n in (3, 4, 6)])
+    assert len(calls) == 1
+    assert sorted(window.summaries(START, START + 7 * DAY).collect(), key=str) == before
