@@ -8,8 +8,12 @@ from ..fixed_values import INGEST_DAYS, MATCHES_PER_PLAYER_DAY, META_COLUMNS
 from ..functions.dates import epoch_ms_to_date, ingest_days
 from ..functions.text import is_player_id, path_key, strip_isolates
 from ..schemas import quoted
+from ..session import cut_lineage
 from .ranking import first_per_key, top_per_group
 
+# Documents that one task takes: a few hundred MB of participant rows at ten a document.
+DOCUMENTS_A_TASK = 25_000
+
 
 def flatten_match(documents: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Meta values under their dotted names, next to the participant array."""
@@ -66,17 +70,30 @@ def own_day(documents: DataFrame) -> DataFrame:
     return documents.withColumn("load_date", epoch_ms_to_date(F.col("info.gameCreation")))
 
 
-def new_matches(documents: DataFrame, landed: DataFrame) -> DataFrame:
+def new_matches(documents: DataFrame, landed: DataFrame, row: str | None = None) -> DataFrame:
     """Documents whose (player, match) is not in ``landed`` yet, each once.
 
     Anti-join and repeats go by the same key, so documents are shuffled once. The player is
     compared by id; the path form of an id may belong to two players.
+
+    With ``row``, a column of stored documents that is unique, only keys and rows are sorted; whole documents
+    are shuffled once by row, hashed against the rows to keep, never sorted, and a task gets
+    about ``DOCUMENTS_A_TASK`` of them, however many there are.
     """
     key = ["source_nickname", "match"]
     keyed = documents.withColumn("match", F.col("metadata.matchId"))
-    known = landed.select("source_nickname", F.col("`metadata.matchId`").alias("match"))
-    fresh = keyed.join(known.distinct(), key, "left_anti")
-    return first_per_key(fresh, key, [F.col("info.gameCreation").desc()])
+    known = landed.select("source_nickname", F.col("`metadata.matchId`").alias("match")).distinct()
+    newest = F.col("info.gameCreation")
+    if row is None:
+        return first_per_key(keyed.join(known, key, "left_anti"), key, [newest.desc()])
+    narrow = keyed.select(*key, newest.alias("__created"), row).join(known, key, "left_anti")
+    fresh = cut_lineage(first_per_key(narrow, key, [F.col("__created").desc(), F.col(row)]).select(row))
+    count = fresh.count()
+    if not count:
+        return keyed.drop(row).limit(0)
+    parts = max(documents.sparkSession.sparkContext.defaultParallelism, count // DOCUMENTS_A_TASK + 1)
+    kept = fresh.repartition(parts, row).hint("shuffle_hash")
+    return keyed.repartition(parts, row).join(kept, row, "left_semi").drop(row)
 
 
 def ingest_grid(roster: DataFrame, as_of=None, days: int = INGEST_DAYS) -> DataFrame:

@@ -109,6 +109,8 @@ BY_DAY = GameTable(day="load_date")
 STREAM_BATCHES_TO_MERGE = 16
 
 STORED = STREAMED
+# Number of a stored document.
+ROW = "__row"
 
 
 def read_table(spark: SparkSession, places: Places) -> DataFrame:
@@ -146,9 +148,9 @@ def daily_ingest(
     check_roster(roster)
     day = as_of_date(as_of)
     filed = F.col("load_date").between(F.date_sub(day, days), F.date_sub(day, 1))
-    found = cut_lineage(read_matches(spark, places.landing).where(filed))
+    found = cut_lineage(read_matches(spark, places.landing).where(filed), row=ROW)
     run = F.date_format(day, "yyyy-MM-dd").alias("run")
-    rejects = rejected_matches(found).withColumn("run", run)
+    rejects = rejected_matches(found).drop(ROW).withColumn("run", run)
     (
         # On the writer, so that no session's setting can remove the rejects of other runs.
         rejects.write.mode("overwrite")
@@ -164,7 +166,7 @@ def daily_ingest(
         create_participant_table(spark, places.table, places.participants)
     if not days_due:
         return []
-    fresh = new_matches(due, landed_matches(spark, places.participants, days_due))
+    fresh = new_matches(due, landed_matches(spark, places.participants, days_due), ROW)
     if per_day is not None:
         newest = [F.col("info.gameCreation").desc(), F.col("match").desc()]
         fresh = limit_per_day(fresh, "source_nickname", "load_date", newest, per_day)

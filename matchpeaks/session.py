@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -75,12 +75,14 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, row: str | None = None) -> DataFrame:
     """Store ``df`` in the shared folder and read it back.
 
     A written table keeps columns apart, so a later pass over one of them reads
-    only that one.
+    only that one. ``row`` adds a column of that name with a number for each row, unique and stored.
     """
+    if row is not None:
+        df = df.withColumn(row, F.monotonically_increasing_id())
     path = scratch_dir(df.sparkSession, "stored")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

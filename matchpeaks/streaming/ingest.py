@@ -62,16 +62,16 @@ def ingest_stream(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         # Text is parsed once; the days, the rows and the rejects are read from what that gave.
-        parsed = cut_lineage(batch)
+        parsed = cut_lineage(batch, row="__row")
         name = f"batch-{batch_id}"
         if not table.has_commit(name):
             documents = own_day(add_source(valid_matches(parsed), F.col("source_nickname")))
             days = days_of(documents)
             landed = table.read(F.col("day").isin(days)).select("source_nickname", "`metadata.matchId`")
-            fresh = new_matches(documents, landed)
+            fresh = new_matches(documents, landed, "__row")
             table.append(with_player_key(participants_of(fresh, ("source_nickname", "load_date"))), name)
         if rejected_path is not None:
-            write_by_batch(rejected_matches(parsed), batch_id, rejected_path)
+            write_by_batch(rejected_matches(parsed).drop("__row"), batch_id, rejected_path)
         if compact_every and (batch_id + 1) % compact_every == 0:
             table.compact()
 

@@ -357,3 +357,17 @@ def test_read_roster(spark, tmp_path):
 def test_match_schema_shape():
     assert MATCH["info"].dataType["participants"].dataType.elementType["perks"] is not None
     assert len(MATCH["info"].dataType["participants"].dataType.elementType.fields) == 145
+
+
+def test_documents_are_dealt_by_number_and_never_sorted(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ingest, "DOCUMENTS_A_TASK", 2, raising=False)
+    land(tmp_path, DAY, "Alpha#T1", [document(f"RU_{n % 30}") for n in range(60)])
+    found = matches.read_matches(spark, str(tmp_path)).withColumn("at", F.monotonically_increasing_id())
+    documents = ingest.own_day(found.localCheckpoint())
+    landed = spark.createDataFrame([("Alpha#T1", "RU_1")], "source_nickname string, `metadata.matchId` string")
+    fresh = ingest.new_matches(documents, landed, "at")
+    assert "at" not in fresh.columns
+    assert sorted(r.match for r in fresh.select("match").collect()) == sorted(f"RU_{n}" for n in range(30) if n != 1)
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert "Sort [" not in plan and "ShuffledHashJoin" in plan
+    assert fresh.rdd.getNumPartitions() >= 15
