@@ -115,12 +115,24 @@ def own_participants(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def documents(
+    spark: SparkSession, sf_dir: str, a_file: int | None = None, days_later: int = 0, where: str = "true"
+) -> DataFrame:
     """Match documents as JSON text with two participants each.
 
     ``error`` events lack ``info``, ``signup`` events lack one meta value, and
-    ``view`` events with k = 50 have text that breaks off.
+    ``view`` events with k = 50 have text that breaks off. Of the events ``where`` holds for, filed ``days_later``.
+
+    With ``a_file``, events are dealt out in order of day, about so many a task, before they become
+    text: a writer by day then needs neither a shuffle nor a sort of text.
     """
+    found = _inputs(spark, sf_dir).withColumn("event_id", F.col("e")).where(where)
+    found = found.withColumn("load_date", F.date_add(F.to_date(F.timestamp_millis("ms")), days_later))
+    if a_file is None:
+        found = spread(found)
+    else:
+        parts = max(spark.sparkContext.defaultParallelism, found.count() // a_file + 1)
+        found = found.repartitionByRange(parts, "load_date", "e").sortWithinPartitions("load_date")
     pair = [
         F.struct(*[value.alias(name) for name, value in _participant(own).items()])
         for own in (True, False)
@@ -141,11 +153,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     cut = (F.col("event_type") == "view") & (F.col("k") == 50)
-    return spread(_inputs(spark, sf_dir)).select(
-        F.col("e").alias("event_id"),
+    return found.select(
+        "event_id",
         F.when(cut, F.substring(text, 1, 30)).otherwise(text).alias("text"),
         F.concat(F.lit("User"), F.col("u"), F.lit("#T1")).alias("source_nickname"),
-        F.to_date(F.timestamp_millis("ms")).alias("load_date"),
+        "load_date",
     )
 
 

@@ -16,12 +16,14 @@ from ..operators import assets, ingest, messages, ranking, records, sets, weekly
 from ..plans import daily, increments
 from ..schemas import PARTICIPANT
 from ..sources import dimensions, matches, partitions, snapshots
-from ..session import scratch_dir
+from ..session import frees_disk, scratch_dir
 from ..streaming import ingest as stream_ingest_job, triggers
 from . import derived
 from .derived import AS_OF, table
 
 EVENTS = records.GameTable("user_id", "event_id", "event_type", "ts")
+# Documents of one landed file at most, some 200 MB as plain text.
+DOCUMENTS_A_FILE = 200_000
 METRICS = [name for name, _ in TEMPLATES]
 EVENT_TEXTS = [
     ("click", "{nickname}: {value} in {matchId} as {champion} ({value})"),
@@ -375,6 +377,13 @@ def _append(documents: DataFrame, path: str) -> None:
     by_day.write.mode("append").partitionBy("load_date").text(path)
 
 
+def _file(spark: SparkSession, sf_dir: str, path: str, **which) -> None:
+    """Add documents to landing folders, as gzip: plain text would be most of all that the jobs write."""
+    with frees_disk(spark):
+        found = derived.documents(spark, sf_dir, DOCUMENTS_A_FILE, **which).select("text", "load_date")
+        found.write.mode("append").partitionBy("load_date").text(path, compression="gzip")
+
+
 def read_landed_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents written as landed JSON files, read back through the source."""
     root = scratch_dir(spark, "landing")
@@ -804,12 +813,11 @@ def daily_late_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     A third of them land for the first run; the second finds all, three days later.
     """
     places = daily.Places(scratch_dir(spark, "daily"))
-    found = derived.documents(spark, sf_dir)
     roster = derived.roster(spark, sf_dir)
     as_of = dt.date.fromisoformat(AS_OF)
-    _land(found.where("event_id % 3 = 0"), places.landing)
+    _file(spark, sf_dir, places.landing, where="event_id % 3 = 0")
     daily.daily_ingest(spark, places, roster, as_of, days=32)
-    _land(found.withColumn("load_date", F.date_add("load_date", 3)), f"{places.root}/late")
+    _file(spark, sf_dir, f"{places.root}/late", days_later=3)
     late = daily.Places(places.root, landing_folder="late")
     for _ in range(2):
         daily.daily_ingest(spark, late, roster, as_of + dt.timedelta(days=4), days=36)

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..fixed_values import INGEST_DAYS, STALE_AFTER_SECONDS
@@ -16,18 +16,21 @@ from ..functions.text import path_key, strip_isolates
 from ..metrics import MetricSpec, match_metrics
 from ..operators.assets import manifest_join, pick_random
 from ..operators.ingest import (
+    CREATED,
     add_source,
     check_roster,
+    keys_of,
     limit_per_day,
-    new_matches,
+    new_rows,
     own_day,
     participants_of,
+    rounds_of,
 )
 from ..operators.messages import build_messages, number_messages
 from ..operators.records import GameTable, match_games, record_detect
 from ..operators.weekly import weekly_avg_kda
 from ..schemas import quoted
-from ..session import cut_lineage
+from ..session import cut_lineage, frees_disk
 from ..sources.dimensions import read_manifest
 from ..sources.matches import (
     create_participant_table,
@@ -143,38 +146,48 @@ def daily_ingest(
     arrives after others of its day, or in another folder, is loaded as well; found
     twice, it counts once. Running the job again adds nothing. ``per_day`` keeps that many newest matches of a
     player and day only; by default nothing is left out. Documents that are none are
-    kept by run under ``rejected_daily``. Their text is parsed once and kept for the steps after it.
+    kept by run under ``rejected_daily``. Their text is parsed once and kept for the steps after it, until the job ends.
     """
     check_roster(roster)
-    day = as_of_date(as_of)
+    with frees_disk(spark):
+        days_due = _ingest(spark, places, roster, as_of_date(as_of), days, per_day)
+    if days_due and places.table is not None:
+        register_new(spark, places.table, places.participants)
+    return days_due
+
+
+def _ingest(
+    spark: SparkSession, places: Places, roster: DataFrame, day: Column, days: int, per_day: int | None
+) -> list[dt.date]:
     filed = F.col("load_date").between(F.date_sub(day, days), F.date_sub(day, 1))
-    found = cut_lineage(read_matches(spark, places.landing).where(filed), row=ROW)
+    found = cut_lineage(read_matches(spark, places.landing).where(filed), ROW, "zstd")
     run = F.date_format(day, "yyyy-MM-dd").alias("run")
     rejects = rejected_matches(found).drop(ROW).withColumn("run", run)
     (
         # On the writer, so that no session's setting can remove the rejects of other runs.
         rejects.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("compression", "zstd")
         .partitionBy("run")
         .parquet(places.rejected_daily)
     )
     tracked = roster.select(strip_isolates(F.col("nickname")).alias("source_nickname")).distinct()
-    documents = add_source(valid_matches(found), F.col("source_nickname"))
-    due = own_day(documents).join(tracked, "source_nickname", "left_semi")
+    documents = own_day(add_source(valid_matches(found), F.col("source_nickname")))
+    # Whom and what is due is decided by keys; a long roster would have whole documents shuffled.
+    due = keys_of(documents, ROW).join(tracked, "source_nickname", "left_semi")
     days_due = days_of(due)
     if places.table is not None:
         create_participant_table(spark, places.table, places.participants)
     if not days_due:
         return []
-    fresh = new_matches(due, landed_matches(spark, places.participants, days_due), ROW)
+    fresh = new_rows(due, landed_matches(spark, places.participants, days_due), ROW)
     if per_day is not None:
-        newest = [F.col("info.gameCreation").desc(), F.col("match").desc()]
+        newest = [F.col(CREATED).desc(), F.col("match").desc()]
         fresh = limit_per_day(fresh, "source_nickname", "load_date", newest, per_day)
-    keyed = fresh.withColumn("player_key", path_key(F.col("source_nickname")))
-    rows = participants_of(keyed, ("source_nickname", "load_date", "player_key"))
-    write_partitions(rows, places.participants)
-    if places.table is not None:
-        register_new(spark, places.table, places.participants)
+    for part in rounds_of(documents, cut_lineage(fresh.select(ROW), compression="zstd"), ROW):
+        keyed = part.withColumn("player_key", path_key(F.col("source_nickname")))
+        rows = participants_of(keyed, ("source_nickname", "load_date", "player_key"))
+        write_partitions(rows, places.participants)
     return days_due
 
 

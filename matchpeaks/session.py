@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -75,14 +78,52 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def cut_lineage(df: DataFrame, row: str | None = None) -> DataFrame:
+# Folders that the job around a call has stored, oldest first.
+_stored: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("stored", default=None)
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def frees_disk(spark: SparkSession) -> Iterator[None]:
+    """For jobs that return nothing lazy: what they have stored on the way is removed at the end of the block.
+
+    Shuffle files go when the query that wrote them ends, instead of when the driver next collects garbage.
+    Only folders of :func:`cut_lineage` calls in the block are removed. The setting is the session's and put back.
+    """
+    before = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    outer = _stored.set([])
+    try:
+        yield
+    finally:
+        for path in _stored.get():
+            remove(spark, [path])
+        _stored.reset(outer)
+        if before is None:
+            spark.conf.unset(FREE_SHUFFLES)
+        else:
+            spark.conf.set(FREE_SHUFFLES, before)
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Remove files or folders on whatever file system they are."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    for path in paths:
+        target = jvm.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def cut_lineage(df: DataFrame, row: str | None = None, compression: str = "snappy") -> DataFrame:
     """Store ``df`` in the shared folder and read it back.
 
     A written table keeps columns apart, so a later pass over one of them reads
-    only that one. ``row`` adds a column of that name with a number for each row, unique and stored.
+    only that one. ``row`` adds a column of that name with a number for each row, unique and stored; numbers of
+    one file are next to each other.
     """
     if row is not None:
         df = df.withColumn(row, F.monotonically_increasing_id())
     path = scratch_dir(df.sparkSession, "stored")
-    df.write.parquet(path)
+    if (stored := _stored.get()) is not None:
+        stored.append(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -13,6 +13,7 @@ import urllib.parse
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..session import remove
 from .snapshots import COMMIT_SCHEMA
 
 FOLDERS = "folder string, changed timestamp, bytes bigint"
@@ -42,14 +43,6 @@ def folders_below(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
     )
 
 
-def remove(spark: SparkSession, paths: list[str]) -> None:
-    """Remove files or folders on whatever file system they are."""
-    jvm = spark._jvm.org.apache.hadoop.fs
-    for path in paths:
-        target = jvm.Path(path)
-        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def unused(folders: DataFrame, used: DataFrame, older_than: dt.timedelta, now: dt.datetime | None = None) -> DataFrame:
     """Folders that are not in ``used`` and haven't changed for ``older_than``."""
     limit = (now or dt.datetime.now(dt.timezone.utc)) - older_than

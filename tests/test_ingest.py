@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+import pathlib
 
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -8,6 +9,7 @@ from matchpeaks.fixed_values import META_COLUMNS
 from matchpeaks.operators import ingest
 from matchpeaks.plans import daily
 from matchpeaks.schemas import MATCH, RAW
+from matchpeaks.session import FREE_SHUFFLES, cut_lineage, frees_disk, scratch_root
 from matchpeaks.sources import matches, partitions, snapshots
 from matchpeaks.sources.dimensions import read_roster, roster_of
 from matchpeaks.streaming import triggers
@@ -371,3 +373,83 @@ def test_documents_are_dealt_by_number_and_never_sorted(spark, tmp_path, monkeyp
     plan = fresh._jdf.queryExecution().executedPlan().toString()
     assert "Sort [" not in plan and "ShuffledHashJoin" in plan
     assert fresh.rdd.getNumPartitions() >= 15
+
+
+def stored_folders(spark):
+    root = pathlib.Path(scratch_root(spark).removeprefix("file:"))
+    return {path.name for path in root.glob("stored-*")}
+
+
+def test_stored_rows_and_shuffle_setting_last_as_long_as_the_job(spark):
+    setting = spark.conf.get(FREE_SHUFFLES, None)
+    kept = cut_lineage(spark.range(3))
+    before = stored_folders(spark)
+    with pytest.raises(ValueError), frees_disk(spark):
+        assert spark.conf.get(FREE_SHUFFLES) == "true"
+        with frees_disk(spark):
+            cut_lineage(spark.range(4))
+        assert stored_folders(spark) == before and spark.conf.get(FREE_SHUFFLES) == "true"
+        assert cut_lineage(spark.range(5), "row", "zstd").count() == 5
+        raise ValueError
+    assert stored_folders(spark) == before and spark.conf.get(FREE_SHUFFLES, None) == setting
+    assert kept.count() == 3
+
+
+def test_daily_ingest_writes_in_rounds_and_leaves_nothing_behind(spark, tmp_path, monkeypatch):
+    places = daily.Places(str(tmp_path))
+    players, days = ["Alpha#T1", "Beta#T1", "Gamma#T1"], ["2024-01-28", "2024-01-29", "2024-01-30"]
+    for day in days:
+        for player in players:
+            # Two files hold a match, and one was played the day before it was filed.
+            repeated = document("RU_0", created="2024-01-28T01:00:00")
+            own = [document(f"RU_{day}_{n}", created=f"{day}T1{n}:00:00") for n in range(4)]
+            land(tmp_path / "landing", day, player, [repeated, *own])
+    written, write = [], daily.write_partitions
+    monkeypatch.setattr(daily, "write_partitions", lambda rows, path: written.append(path) or write(rows, path))
+    monkeypatch.setattr(ingest, "DOCUMENTS_A_ROUND", 4, raising=False)
+    monkeypatch.setattr(ingest, "DOCUMENTS_A_TASK", 1, raising=False)
+    # One document a scan task, so that there are several stored files.
+    monkeypatch.setattr(daily, "read_matches", lambda spark, path: matches.read_matches(spark, path).repartition(20))
+    before = stored_folders(spark)
+    roster = roster_of(spark, players[:2])
+    assert len(daily.daily_ingest(spark, places, roster, dt.date(2024, 1, 31))) == 3
+    assert stored_folders(spark) == before
+    assert len(written) > 1
+    rows = daily.read_table(spark, places).select("source_nickname", "`metadata.matchId`").collect()
+    wanted = [(p, m) for p in players[:2] for m in ["RU_0", *[f"RU_{d}_{n}" for d in days for n in range(4)]]]
+    assert sorted(tuple(r) for r in rows) == sorted(wanted)
+    daily.daily_ingest(spark, places, roster, dt.date(2024, 1, 31))
+    assert daily.read_table(spark, places).count() == len(wanted)
+
+
+def test_rounds_keep_the_newest_of_a_player_and_day(spark, tmp_path, monkeypatch):
+    places = daily.Places(str(tmp_path))
+    for n in range(24):
+        land(tmp_path / "landing", DAY, "Alpha#T1", [document(f"RU_{n}", created=f"{DAY}T{n:02}:00:00")])
+    monkeypatch.setattr(ingest, "DOCUMENTS_A_ROUND", 1, raising=False)
+    monkeypatch.setattr(ingest, "DOCUMENTS_A_TASK", 1, raising=False)
+    monkeypatch.setattr(daily, "read_matches", lambda spark, path: matches.read_matches(spark, path).repartition(24))
+    daily.daily_ingest(spark, places, roster_of(spark, ["Alpha#T1"]), dt.date(2024, 1, 31), per_day=2)
+    rows = daily.read_table(spark, places).select("`metadata.matchId`").collect()
+    assert sorted(r[0] for r in rows) == ["RU_22", "RU_23"]
+
+
+def test_a_long_roster_does_not_have_documents_shuffled(spark, tmp_path, monkeypatch):
+    """By player only keys are shuffled: no exchange by player holds a document's info."""
+    places = daily.Places(str(tmp_path))
+    land(tmp_path / "landing", DAY, "Alpha#T1", [document("RU_1")])
+    plans, write = [], daily.write_partitions
+
+    def seen(rows, path):
+        plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        write(rows, path)
+
+    monkeypatch.setattr(daily, "write_partitions", seen)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        daily.daily_ingest(spark, places, roster_of(spark, ["Alpha#T1"]), dt.date(2024, 1, 31))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plans and not any("hashpartitioning(source_nickname" in plan for plan in plans)
+    assert daily.read_table(spark, places).count() == 1
