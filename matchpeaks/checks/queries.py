@@ -828,7 +828,7 @@ def stream_ingest_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document lands twice, in files of different batches."""
     root = scratch_dir(spark, "stream")
     for _ in range(2):
-        _append(derived.documents(spark, sf_dir), f"{root}/landing")
+        _file(spark, sf_dir, f"{root}/landing")
     documents = stream_ingest_job.stream_matches(spark, f"{root}/landing", files_per_batch=16)
     stream_ingest_job.ingest_stream(documents, f"{root}/table", f"{root}/at").awaitTermination()
     return _participant_view(stream_ingest_job.streamed_table(spark, f"{root}/table").read())

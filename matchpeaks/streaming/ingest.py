@@ -7,7 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.ingest import add_source, new_matches, own_day, participants_of
 from ..schemas import RAW
-from ..session import cut_lineage
+from ..session import cut_lineage, frees_disk
 from ..sources.file_tables import FileTable
 from ..sources.matches import (
     CORRUPT,
@@ -61,8 +61,14 @@ def ingest_stream(
     table = streamed_table(documents.sparkSession, table_path)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        with frees_disk(batch.sparkSession):
+            take_in(batch, batch_id)
+            if compact_every and (batch_id + 1) % compact_every == 0:
+                table.compact()
+
+    def take_in(batch: DataFrame, batch_id: int) -> None:
         # Text is parsed once; the days, the rows and the rejects are read from what that gave.
-        parsed = cut_lineage(batch, row="__row")
+        parsed = cut_lineage(batch, "__row", "zstd")
         name = f"batch-{batch_id}"
         if not table.has_commit(name):
             documents = own_day(add_source(valid_matches(parsed), F.col("source_nickname")))
@@ -72,8 +78,6 @@ def ingest_stream(
             table.append(with_player_key(participants_of(fresh, ("source_nickname", "load_date"))), name)
         if rejected_path is not None:
             write_by_batch(rejected_matches(parsed).drop("__row"), batch_id, rejected_path)
-        if compact_every and (batch_id + 1) % compact_every == 0:
-            table.compact()
 
     return (
         documents.writeStream.foreachBatch(handle)

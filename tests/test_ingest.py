@@ -453,3 +453,13 @@ def test_a_long_roster_does_not_have_documents_shuffled(spark, tmp_path, monkeyp
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert plans and not any("hashpartitioning(source_nickname" in plan for plan in plans)
     assert daily.read_table(spark, places).count() == 1
+
+
+def test_a_stream_batch_leaves_nothing_behind(spark, tmp_path):
+    places = daily.Places(str(tmp_path))
+    for n in range(2):
+        land(tmp_path / "landing", DAY, "Alpha#T1", [document("RU_1"), document(f"RU_{n + 2}")])
+    before = stored_folders(spark)
+    daily.stream_ingest(spark, places).awaitTermination()
+    assert stored_folders(spark) == before
+    assert daily.read_table(spark, places).count() == 3
