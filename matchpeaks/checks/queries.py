@@ -372,11 +372,6 @@ def _land(documents: DataFrame, path: str, compression: str = "none") -> None:
     by_day.write.partitionBy("load_date").text(path, compression=compression)
 
 
-def _append(documents: DataFrame, path: str) -> None:
-    by_day = documents.select("text", "load_date").hint("rebalance", F.col("load_date"))
-    by_day.write.mode("append").partitionBy("load_date").text(path)
-
-
 def _file(spark: SparkSession, sf_dir: str, path: str, **which) -> None:
     """Add documents to landing folders, as gzip: plain text would be most of all that the jobs write."""
     with frees_disk(spark):
@@ -796,13 +791,13 @@ def daily_window_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     So most days of the window get rows after the window has taken them in.
     """
     places = daily.Places(scratch_dir(spark, "daily"))
-    found, roster = derived.documents(spark, sf_dir), derived.roster(spark, sf_dir)
+    roster = derived.roster(spark, sf_dir)
     as_of = dt.date.fromisoformat(AS_OF)
     early = as_of - dt.timedelta(days=2)
-    _land(found.where("event_id % 3 = 0"), places.landing)
+    _file(spark, sf_dir, places.landing, where="event_id % 3 = 0")
     daily.daily_ingest(spark, places, roster, early, days=32)
     daily.update_records(spark, places, roster, early)
-    _append(found.where("event_id % 3 <> 0"), places.landing)
+    _file(spark, sf_dir, places.landing, where="event_id % 3 <> 0")
     late = daily.daily_ingest(spark, places, roster, as_of, days=32)
     return _double_decimals(daily.update_records(spark, places, roster, as_of, late_days=late))
 

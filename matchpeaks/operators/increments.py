@@ -25,6 +25,20 @@ from ..schemas import quoted
 from .records import GAMES, GameTable, best_games
 
 
+def games_of_days(
+    games: DataFrame, first: dt.date, last: dt.date, table: GameTable = GAMES, only: list[dt.date] | None = None
+) -> DataFrame:
+    """Games from ``first`` to ``last``; ``only``: of these days alone."""
+    rows = games.where(in_days(games, table.time, F.lit(first), F.lit(last), table.day, table.slack))
+    if only is not None:
+        rows = rows.where(game_date(games, table.time).isin(only))
+        if table.day is not None:
+            shifts = range(-table.slack, table.slack + 1)
+            folders = {d + dt.timedelta(days=n) for d in only for n in shifts}
+            rows = rows.where(F.col(quoted(table.day)).isin(sorted(folders)))
+    return rows
+
+
 def day_summaries(
     games: DataFrame,
     specs: list[MetricSpec],
@@ -37,15 +51,8 @@ def day_summaries(
 
     ``only``: of these days alone.
     """
-    low, high = F.lit(first), F.lit(last)
-    rows = games.where(in_days(games, table.time, low, high, table.day, table.slack))
+    rows = games_of_days(games, first, last, table, only)
     day = game_date(games, table.time).alias("day")
-    if only is not None:
-        rows = rows.where(day.isin(only))
-        if table.day is not None:
-            shifts = range(-table.slack, table.slack + 1)
-            folders = {d + dt.timedelta(days=n) for d in only for n in shifts}
-            rows = rows.where(F.col(quoted(table.day)).isin(sorted(folders)))
     player = F.col(quoted(table.player)).alias("nickname")
     return rows.groupBy(player, day).agg(*best_games(games, specs, table))
 

@@ -17,12 +17,16 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..fixed_values import LOOKBACK_DAYS
+from ..functions.dates import game_date
 from ..metrics import MetricSpec
-from ..operators.increments import day_summaries, keys_of, merge_keys, turned, window_best
+from ..operators.increments import day_summaries, games_of_days, keys_of, merge_keys, turned, window_best
 from ..operators.records import GAMES, GameTable, beaten_records
+from ..session import frees_disk
 
 COMMIT = "seq bigint, through date, turned date, front string, back string, late date"
 ONE_DAY = dt.timedelta(days=1)
+# Games summarised at once, unless one day has more.
+GAMES_A_ROUND = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -91,7 +95,8 @@ class RecordWindow:
 
     def _store(self, stack: DataFrame) -> str:
         name = uuid.uuid4().hex
-        stack.write.parquet(f"{self.root}/stacks/{name}")
+        with frees_disk(self.spark):
+            stack.write.parquet(f"{self.root}/stacks/{name}", compression="zstd")
         return name
 
     def _read(self, name: str) -> DataFrame:
@@ -100,15 +105,39 @@ class RecordWindow:
     # Days.
 
     def summarise(self, first: dt.date, last: dt.date, only: list[dt.date] | None = None) -> None:
-        """Write the summaries of these days anew, from the games of these days alone, all days at once."""
-        found = day_summaries(self.games, self.specs, first, last, self.table, only)
-        (
-            found.withColumn("summary_day", F.col("day"))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("summary_day")
-            .parquet(f"{self.root}/days")
-        )
+        """Write the summaries of these days anew, from the games of these days alone.
+
+        All days at once, or as many as have ``GAMES_A_ROUND`` games, which bounds the disk that shuffles take.
+        """
+        for begins, ends, some in self._rounds(first, last, only):
+            found = day_summaries(self.games, self.specs, begins, ends, self.table, some)
+            with frees_disk(self.spark):
+                (
+                    found.withColumn("summary_day", F.col("day"))
+                    .write.mode("overwrite")
+                    .option("partitionOverwriteMode", "dynamic")
+                    .option("compression", "zstd")
+                    .partitionBy("summary_day")
+                    .parquet(f"{self.root}/days")
+                )
+
+    def _rounds(
+        self, first: dt.date, last: dt.date, only: list[dt.date] | None
+    ) -> list[tuple[dt.date, dt.date, list[dt.date] | None]]:
+        """First day, last day and days of each round; a count a day reaches the driver."""
+        if first == last:
+            return [(first, last, only)]
+        games = games_of_days(self.games, first, last, self.table, only)
+        sizes = games.groupBy(game_date(games, self.table.time).alias("day")).count().orderBy("day")
+        rounds: list[tuple[list[dt.date], int]] = []
+        for day, count in sizes.collect():
+            if rounds and rounds[-1][1] + count <= GAMES_A_ROUND:
+                rounds[-1] = ([*rounds[-1][0], day], rounds[-1][1] + count)
+            else:
+                rounds.append(([day], count))
+        if len(rounds) < 2:
+            return [(first, last, only)]
+        return [(days[0], days[-1], days) for days, _ in rounds]
 
     def summaries(self, first: dt.date, last: dt.date) -> DataFrame:
         # The schema is that of no rows at all, so that days without games can be read as well.

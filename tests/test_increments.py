@@ -6,6 +6,7 @@ import pytest
 
 from matchpeaks.metrics import MetricSpec
 from matchpeaks.operators import increments as operators, records
+from matchpeaks.plans import increments
 from matchpeaks.plans.increments import RecordWindow
 from matchpeaks.sources.partitions import write_partitions
 
@@ -138,3 +139,32 @@ def test_late_days_are_summarised_in_one_job(spark, tmp_path, monkeypatch):
     window.refresh_days([START + n * DAY for n in (3, 4, 6)])
     assert len(calls) == 1
     assert sorted(window.summaries(START, START + 7 * DAY).collect(), key=str) == before
+
+
+@pytest.mark.parametrize("day", ["load_date", None])
+def test_days_with_many_games_are_summarised_in_rounds(spark, tmp_path, monkeypatch, day):
+    table = dataclasses.replace(TABLE, day=day)
+    path = table_of(spark, tmp_path, games_of(random.Random(4), [0, 1, 2, 4, 5, 6]))
+    games = spark.read.parquet(path)
+    once = RecordWindow(games, SPECS, str(tmp_path / "once"), table, 5)
+    last = START + 6 * DAY
+    once.summarise(START, last)
+    written, summaries = [], increments.day_summaries
+
+    def seen(games, specs, first, last, table, only=None):
+        written.append(only)
+        return summaries(games, specs, first, last, table, only)
+
+    monkeypatch.setattr(increments, "day_summaries", seen)
+    monkeypatch.setattr(increments, "GAMES_A_ROUND", 9, raising=False)
+    rounds = RecordWindow(games, SPECS, str(tmp_path / "rounds"), table, 5)
+    rounds.summarise(START, last)
+    assert len(written) > 1 and None not in written
+    assert [d for some in written for d in some] == [START + n * DAY for n in (0, 1, 2, 4, 5, 6)]
+    some = [START + n * DAY for n in (1, 2, 5)]
+    rounds.summarise(some[0], some[-1], some)
+    assert sorted(d for group in written[-2:] for d in group)[-1] == some[-1]
+    found = sorted(rounds.summaries(START, last).collect(), key=str)
+    assert found and found == sorted(once.summaries(START, last).collect(), key=str)
+    rounds.summarise(START + 90 * DAY, START + 95 * DAY)
+    assert sorted(rounds.summaries(START, last).collect(), key=str) == found
