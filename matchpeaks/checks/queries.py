@@ -778,7 +778,7 @@ def daily_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     listed = F.array(F.concat("event_type", F.lit(".jpg")))
     shown = champions.where("event_type <> 'view'").select(F.to_json(F.create_map("event_type", listed)))
     shown.write.text(places.images)
-    _land(derived.documents(spark, sf_dir), places.landing)
+    _file(spark, sf_dir, places.landing)
     roster = derived.roster(spark, sf_dir)
     as_of = dt.date.fromisoformat(AS_OF)
     daily.daily_ingest(spark, places, roster, as_of, days=32)
